@@ -50,12 +50,12 @@ _REFUSED = f"""
       WHEN filename IS NOT NULL AND size_bytes <= 52428800 AND verdict <> 'CLEAN' THEN 'QUARANTINED' END AS refused
     FROM redacted"""
 _CHAIN = """
-    SELECT message_id, min(received_at) AS at FROM refusal WHERE refused IS NULL GROUP BY message_id
-    UNION ALL SELECT c.message_id, (SELECT min(r.received_at) FROM refusal r WHERE r.refused IS NULL AND r.message_id = c.message_id AND r.received_at >= c.at + INTERVAL 604800 SECOND)
-    FROM chain c WHERE c.at IS NOT NULL"""
+    SELECT message_id, min(received_at) AS accepted_ts FROM refusal WHERE refused IS NULL GROUP BY message_id
+    UNION ALL SELECT c.message_id, (SELECT min(r.received_at) FROM refusal r WHERE r.refused IS NULL AND r.message_id = c.message_id AND r.received_at >= c.accepted_ts + INTERVAL 604800 SECOND)
+    FROM chain c WHERE c.accepted_ts IS NOT NULL"""
 _OUTCOME = """
-    SELECT r.msg_seq, coalesce(refused, CASE WHEN c.at IS NOT NULL THEN 'INGESTED' ELSE 'DUPLICATE' END) AS disposition
-    FROM refusal r LEFT JOIN chain c ON c.message_id = r.message_id AND c.at = r.received_at AND r.refused IS NULL"""
+    SELECT r.msg_seq, coalesce(refused, CASE WHEN c.accepted_ts IS NOT NULL THEN 'INGESTED' ELSE 'DUPLICATE' END) AS disposition
+    FROM refusal r LEFT JOIN chain c ON c.message_id = r.message_id AND c.accepted_ts = r.received_at AND r.refused IS NULL"""
 _OUTCOME_CTES = {"refusal": _REFUSED, "chain": _CHAIN, "outcome": _OUTCOME}
 
 
@@ -158,10 +158,10 @@ def mail_parse(spark, sf):
 
 
 _TTL_CHAIN = """
-    SELECT user_id, event_type, min(ts) AS at FROM events GROUP BY ALL
-    UNION ALL SELECT c.user_id, c.event_type, (SELECT min(e.ts) FROM events e WHERE e.user_id = c.user_id AND e.event_type = c.event_type AND e.ts >= c.at + INTERVAL 604800 SECOND)
-    FROM chain c WHERE c.at IS NOT NULL"""
-TTL_SQL = sql(f"SELECT user_id, event_type, {shown('at')} AS accepted_at FROM chain WHERE at IS NOT NULL", recursive=True, chain=_TTL_CHAIN)
+    SELECT user_id, event_type, min(ts) AS accepted_ts FROM events GROUP BY ALL
+    UNION ALL SELECT c.user_id, c.event_type, (SELECT min(e.ts) FROM events e WHERE e.user_id = c.user_id AND e.event_type = c.event_type AND e.ts >= c.accepted_ts + INTERVAL 604800 SECOND)
+    FROM chain c WHERE c.accepted_ts IS NOT NULL"""
+TTL_SQL = sql(f"SELECT user_id, event_type, {shown('accepted_ts')} AS accepted_at FROM chain WHERE accepted_ts IS NOT NULL", recursive=True, chain=_TTL_CHAIN)
 
 
 @query("ttl_dedup", TTL_SQL)

@@ -225,9 +225,9 @@ def report_rows(spark, sf):
       '</td><td>', split_part(faculty_email, '@', 1), '</td></tr>') AS line
     FROM papers p JOIN names USING (paper_id) JOIN esc USING (paper_id) JOIN manifest m ON m.department_code = p.department_code AND m.status = 'COMPLETED'
       AND p.year BETWEEN CAST(split_part(m.academic_year, '-', 1) AS INTEGER) AND CAST(split_part(m.academic_year, '-', 2) AS INTEGER)
-    WHERE p.status = 'PUBLISHED'""", "papers_raw", "issues", "authors_long", names=_AUTHOR_NAMES, esc="""
+    WHERE p.status = 'PUBLISHED'""", "papers_raw", "issues", "authors_long", names=_AUTHOR_NAMES, **_REPORT_CTES, esc="""
       SELECT paper_id, replace(replace(replace(replace(replace(title, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&#34;'), '''', '&#39;') AS title FROM papers
-    """, **_REPORT_CTES))
+    """))
 def report_html_lines(spark, sf):
     cells = reports.report_rows(d.settled(d.papers_with_authors(spark, sf)), manifest(spark, sf), "pdf")
     return reports.html_lines(cells).select("report_id", "paper_id", "line")

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paperloom.schemas import ACTION_TOPIC, INGEST_TOPIC
+from paperloom.schemas import ACTION_TOPIC, INGEST_TOPIC, struct
 
-ENVELOPE = T.StructType.fromDDL("key string, value string, topic string, timestamp timestamp")
+ENVELOPE = struct(key="string", value="string", topic="string", timestamp="timestamp")
 CORRUPT = "_corrupt"
 
 
