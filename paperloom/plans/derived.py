@@ -179,7 +179,7 @@ def entities() -> Column:
 
 
 def registry_works(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registry records for every second document, with gaps in each field."""
+    """A registry record per document, with gaps in each field; odd ones are registered under a DOI no message mentions."""
     i = F.col("doc_id")
 
     def parts(condition: Column, year: Column) -> Column:
@@ -193,11 +193,11 @@ def registry_works(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit(None).cast("string").alias("given"), F.lit(None).cast("string").alias("family")),
     )
     none = F.array().cast("array<string>")
-    docs = table(spark, sf_dir, "documents").select("doc_id")
-    return docs.withColumn("known", i % 2 == 0).filter("known").select(
-        F.concat(F.lit("10."), text_of(1000 + i % 9000), F.lit("/P."), text_of(i)).alias("DOI"),
+    suffix = F.when(i % 2 == 0, "/P.").otherwise("/other.")
+    return table(spark, sf_dir, "documents").select("doc_id").select(
+        F.concat(F.lit("10."), text_of(1000 + i % 9000), suffix, text_of(i)).alias("DOI"),
         F.when(i % 10 == 0, none).otherwise(F.array(F.concat(F.lit("Registry title "), text_of(i)))).alias("title"),
-        F.when(i % 14 == 0, F.array().cast(f"array<struct<given:string,family:string>>")).otherwise(names).alias("author"),
+        F.when(i % 14 == 0, F.array().cast("array<struct<given:string,family:string>>")).otherwise(names).alias("author"),
         parts(i % 3 == 0, 2001 + i % 20).alias("published-print"), parts(i % 3 <= 1, 2002 + i % 20).alias("published-online"),
         parts(i % 5 != 4, 2003 + i % 20).alias("created"),
         F.when(i % 4 == 0, none).otherwise(F.array(F.concat(F.lit("Container "), text_of(i % 11)))).alias("container-title"),
@@ -207,10 +207,10 @@ def registry_works(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_answers(spark: SparkSession, sf_dir: str, key: Column) -> DataFrame:
-    """Answers for low-confidence messages, keyed by the message number."""
+    """Model answers keyed by message number; every sixth belongs to no message."""
     i = F.col("doc_id")
-    return table(spark, sf_dir, "documents").select("doc_id").withColumn("answered", i % 6 != 0).filter("answered").select(
-        key.alias("msg_seq"), F.concat(F.lit("Model title "), text_of(i)).alias("title"),
+    return table(spark, sf_dir, "documents").select("doc_id").select(
+        F.when(i % 6 == 0, -1 - key).otherwise(key).alias("msg_seq"), F.concat(F.lit("Model title "), text_of(i)).alias("title"),
         F.when(i % 5 != 0, F.array(F.lit("Model One"), F.lit("Model Two"))).alias("authors"),
         F.when(i % 7 == 0, "n.d.").otherwise(text_of(2005 + i % 15)).alias("year"),
         F.when(i % 4 != 1, F.concat(F.lit("Model venue "), text_of(i % 9))).alias("venue"),

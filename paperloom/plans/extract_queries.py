@@ -64,11 +64,11 @@ def entity_pick(spark, sf):
 
 
 _REGISTRY = """
-    SELECT lower(concat('10.', 1000 + i % 9000, '/P.', i)) AS doi_key, CASE WHEN i % 10 <> 0 THEN concat('Registry title ', i) END AS title,
+    SELECT lower(concat('10.', 1000 + i % 9000, CASE WHEN i % 2 = 0 THEN '/P.' ELSE '/other.' END, i)) AS doi_key, CASE WHEN i % 10 <> 0 THEN concat('Registry title ', i) END AS title,
       CASE WHEN i % 14 = 0 THEN CAST([] AS VARCHAR[]) ELSE [concat('Ada Family', i % 23), 'Solo'] END AS authors,
       CAST(CASE WHEN i % 3 = 0 THEN 2001 + i % 20 WHEN i % 3 <= 1 THEN 2002 + i % 20 WHEN i % 5 <> 4 THEN 2003 + i % 20 END AS INTEGER) AS year,
       CASE WHEN i % 4 <> 0 THEN concat('Container ', i % 11) WHEN i % 8 <> 0 THEN 'Some Press' END AS venue, CASE WHEN i % 3 = 1 THEN concat('About ', i) END AS abstract
-    FROM (SELECT doc_id AS i FROM documents WHERE doc_id % 2 = 0)"""
+    FROM (SELECT doc_id AS i FROM documents)"""
 
 
 @query("registry_metadata", sql("SELECT doi_key, title, array_to_string(authors, '|') AS authors, year, venue, abstract FROM registry", registry=_REGISTRY))
@@ -117,9 +117,9 @@ def extraction_cascade(spark, sf):
 
 
 _ANSWERS = """
-    SELECT doc_id AS msg_seq, concat('Model title ', doc_id) AS m_title, CASE WHEN doc_id % 5 <> 0 THEN ['Model One', 'Model Two'] ELSE CAST([] AS VARCHAR[]) END AS m_authors,
+    SELECT CASE WHEN doc_id % 6 = 0 THEN -1 - doc_id ELSE doc_id END AS msg_seq, concat('Model title ', doc_id) AS m_title, CASE WHEN doc_id % 5 <> 0 THEN ['Model One', 'Model Two'] ELSE CAST([] AS VARCHAR[]) END AS m_authors,
       CASE WHEN doc_id % 7 <> 0 THEN CAST(2005 + doc_id % 15 AS INTEGER) END AS m_year, CASE WHEN doc_id % 4 <> 1 THEN concat('Model venue ', doc_id % 9) END AS m_venue,
-      CASE WHEN doc_id % 2 = 1 THEN concat('10.5555/m.', doc_id) END AS m_doi FROM documents WHERE doc_id % 6 <> 0"""
+      CASE WHEN doc_id % 2 = 1 THEN concat('10.5555/m.', doc_id) END AS m_doi FROM documents"""
 _GATED = f"""
     SELECT s.*, a.msg_seq IS NOT NULL AND s.confidence < 0.7 AS used, m_title, m_authors, m_year, m_venue, m_doi,
       least(0.7 + (CASE WHEN m_title IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN len(m_authors) > 0 THEN 1 ELSE 0 END + CASE WHEN m_year IS NOT NULL THEN 1 ELSE 0 END
@@ -222,9 +222,9 @@ def integrity_check(spark, sf):
         i, "body_text", F.when(i % 10 == 3, F.sha2(F.lit("x"), 256)).otherwise(F.sha2("body_text", 256)).alias("text_hash"),
         (F.size("attachments") > 0).alias("has_file"), first["checksum_sha256"].alias("recorded"), F.concat(F.lit("key/"), i.cast("string")).alias("s3_key"),
     )
-    keys = d.table(spark, sf, "documents").select(F.col("doc_id")).withColumn("lost", F.col("doc_id") % 7 == 0).filter(~F.col("lost"))
-    files = keys.select(
-        F.concat(F.lit("key/"), F.col("doc_id").cast("string")).alias("s3_key"),
+    folder = F.when(F.col("doc_id") % 7 == 0, "elsewhere/").otherwise("key/")
+    files = d.table(spark, sf, "documents").select(
+        F.concat(folder, F.col("doc_id").cast("string")).alias("s3_key"),
         F.sha2(F.when(F.col("doc_id") % 11 == 0, F.lit("other")).otherwise(F.concat(F.lit("file"), F.col("doc_id").cast("string"))), 256).alias("file_hash"),
     )
     checked = rows.join(files, "s3_key", "left").withColumn("r", x.integrity(F.col("body_text"), F.col("text_hash"), F.col("has_file"), F.col("file_hash"), F.col("recorded")))

@@ -259,6 +259,5 @@ def checksum_verify(spark, sf):
     pages = d.table(spark, sf, "pages")
     i = F.col("page_id")
     recorded = pages.select(i.alias("report_id"), F.when(i % 7 == 0, F.upper(F.sha2("html", 256))).when(i % 7 == 1, F.sha2("url", 256)).otherwise(F.sha2("html", 256)).alias("checksum_sha256"))
-    stored = pages.withColumn("missing", i % 5 == 0).filter(~F.col("missing"))
-    files = stored.select(i.alias("report_id"), F.encode("html", "utf-8").alias("content"))
+    files = pages.select(F.when(i % 5 == 0, -1 - i).otherwise(i).alias("report_id"), F.encode("html", "utf-8").alias("content"))
     return reports.verify_checksums(files, recorded, d.as_of()).select("report_id", "checksum_sha256", "event_type")
