@@ -1,11 +1,13 @@
 """English text analysis as column expressions: tokens, stop words and the published Porter2 stemming rules.
 
-A stemming step is one CASE over suffixes, longest first; the steps are stacked as separate projections so that each
-reads a bound column. Everything stays in generated JVM code, no Python worker is involved.
+A stemming step is one CASE over suffixes, longest first; each step binds its input once and hands its result to the next.
+Everything runs in the JVM, no Python worker is involved.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +49,6 @@ _V, _C = "[aeiouy]", "[^aeiouy]"
 _R1 = rf"^(?:gener|commun|arsen|(?!gener|commun|arsen).*?{_V}{_C})"
 _R2 = rf"{_R1}.*?{_V}{_C}"
 _SHORT_END = rf"(?:{_C}{_V}[^aeiouywxY]|^{_V}{_C})$"
-_WORK = "__stem"
 
 
 def _cut(c: Column, suffix: str, replacement: str) -> Column:
@@ -121,23 +122,37 @@ def _final(c: Column) -> Column:
     return _by_suffix(c, [("e", drop_e, _cut(c, "e", "")), ("l", _in(_R2, c, "l", "l"), _cut(c, "l", ""))])
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` over `value`, evaluated once: a lambda over a one-element array. Without the binding every step would repeat
+    the text of the step before it, and the expression would grow with the product of the steps."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _after_plural(word: Column) -> Column:
+    past = _let(
+        _let(word, _past),
+        lambda c: F.when(c.startswith("\u0001"), _let(F.regexp_replace(c, "^\u0001", ""), _repair)).otherwise(c),
+    )
+    out = F.regexp_replace(past, f"(?<=.{_C})[yY]$", "i")
+    for step in (_derived, _adjectival, _dropped, _final):
+        out = _let(out, step)
+    return out
+
+
+def stem_word(term: Column) -> Column:
+    """The stem of one lower-case word."""
+    marked = F.regexp_replace(term, r"^y|(?<=[aeiouy])y", "Y")
+    whole = F.create_map(*[F.lit(x) for pair in WHOLE_WORDS.items() for x in pair])
+    stemmed = _let(_let(marked, _plural), lambda c: F.when(c.isin(*KEPT_AFTER_PLURAL), c).otherwise(_after_plural(c)))
+    return (
+        F.when(F.length(term) <= 2, term).when(term.isin(*WHOLE_WORDS), F.element_at(whole, term))
+        .otherwise(F.translate(stemmed, "Y", "y"))
+    )
+
+
 def stem(df: DataFrame, term: str = "term") -> DataFrame:
     """Replace `term` by its stem."""
-    c = F.col(_WORK)
-    settled = F.col(term).isin(*WHOLE_WORDS) | (F.length(term) <= 2)
-    out = df.withColumn(_WORK, F.regexp_replace(term, r"^y|(?<=[aeiouy])y", "Y")).withColumn(_WORK, _plural(c))
-    out = out.withColumn("__kept", settled | c.isin(*KEPT_AFTER_PLURAL)).withColumn(_WORK, _past(c))
-    marked = c.startswith("\u0001")
-    out = out.withColumn("__repair", marked).withColumn(_WORK, F.regexp_replace(c, "^\u0001", ""))
-    out = out.withColumn(_WORK, F.when(F.col("__repair"), _repair(c)).otherwise(c))
-    out = out.withColumn(_WORK, F.regexp_replace(c, f"(?<=.{_C})[yY]$", "i"))
-    for step in (_derived, _adjectival, _dropped, _final):
-        out = out.withColumn(_WORK, step(c))
-    whole = F.element_at(F.create_map(*[F.lit(x) for pair in WHOLE_WORDS.items() for x in pair]), F.col(term))
-    kept = F.coalesce(whole, F.when(F.length(term) <= 2, F.col(term)), _plural(F.col(term)))
-    return out.withColumn(
-        term, F.when(F.col("__kept"), kept).otherwise(F.translate(c, "Y", "y"))
-    ).drop(_WORK, "__kept", "__repair")
+    return df.withColumn(term, stem_word(F.col(term)))
 
 
 def tokens(text: Column) -> Column:

@@ -13,7 +13,9 @@ from paperloom.session import ship_package
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 SQL: dict[str, str] = {}
-MODULES = ("paper_queries", "access_queries", "intake_queries", "extract_queries", "store_queries")
+MODULES = (
+    "paper_queries", "access_queries", "intake_queries", "extract_queries", "store_queries", "search_queries", "stream_queries",
+)
 
 
 def query(name: str, sql: str | None = None):

@@ -86,9 +86,9 @@ CTES: dict[str, str] = {
           CASE WHEN event_id % 2 = 0 THEN concat('edit ', event_id % 10) END AS change_reason
         FROM events""",
     "centroids": """
-        SELECT query_id, list(m ORDER BY at) AS embedding FROM (
-          SELECT CAST(label AS BIGINT) AS query_id, at, avg(CAST(v AS DOUBLE)) AS m FROM (
-            SELECT label, generate_subscripts(embedding, 1) AS at, unnest(embedding) AS v FROM embeddings) GROUP BY ALL) GROUP BY query_id""",
+        SELECT query_id, list(m ORDER BY pos_no) AS embedding FROM (
+          SELECT CAST(label AS BIGINT) AS query_id, pos_no, avg(CAST(v AS DOUBLE)) AS m FROM (
+            SELECT label, generate_subscripts(embedding, 1) AS pos_no, unnest(embedding) AS v FROM embeddings) GROUP BY ALL) GROUP BY query_id""",
     "vectors": "SELECT p.*, m.embedding, m.label FROM papers p JOIN embeddings m ON m.vec_id = p.paper_id",
 }
 CTES["papers_raw"] = CTES["papers"]
