@@ -235,3 +235,9 @@ def label_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return means.groupBy(F.col("label").cast("bigint").alias("query_id")).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("at", "m"))), lambda x: x.m).alias("embedding")
     )
+
+
+def label_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request vectors: the first vector of every label, so that each request is close to at least one paper."""
+    rows = table(spark, sf_dir, "embeddings")
+    return rows.groupBy(F.col("label").cast("bigint").alias("query_id")).agg(F.min_by("embedding", "vec_id").alias("embedding"))

@@ -89,6 +89,7 @@ CTES: dict[str, str] = {
         SELECT query_id, list(m ORDER BY pos_no) AS embedding FROM (
           SELECT CAST(label AS BIGINT) AS query_id, pos_no, avg(CAST(v AS DOUBLE)) AS m FROM (
             SELECT label, generate_subscripts(embedding, 1) AS pos_no, unnest(embedding) AS v FROM embeddings) GROUP BY ALL) GROUP BY query_id""",
+    "seeds": "SELECT CAST(label AS BIGINT) AS query_id, CAST(arg_min(embedding, vec_id) AS DOUBLE[]) AS embedding FROM embeddings GROUP BY label",
     "vectors": "SELECT p.*, m.embedding, m.label FROM papers p JOIN embeddings m ON m.vec_id = p.paper_id",
 }
 CTES["papers_raw"] = CTES["papers"]

@@ -135,27 +135,27 @@ def headline(spark, sf):
 def _similar(threshold: float, where: str = "") -> str:
     return f"""
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, paper_id) AS position, count(*) OVER (PARTITION BY query_id) AS total FROM (
-      SELECT c.query_id, v.paper_id, round(list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), c.embedding), 9) AS similarity FROM vectors v CROSS JOIN centroids c
+      SELECT c.query_id, v.paper_id, round(list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), c.embedding), 9) AS similarity FROM vectors v CROSS JOIN seeds c
       WHERE v.status = 'PUBLISHED' {where}) WHERE similarity >= {threshold}"""
 
 
-@query("semantic_topk", sql("SELECT query_id, paper_id, round(similarity, 6) AS similarity, position, total FROM similar_rows WHERE position <= 20", "vectors", "centroids", similar_rows=_similar(0.5)))
+@query("semantic_topk", sql("SELECT query_id, paper_id, round(similarity, 6) AS similarity, position, total FROM similar_rows WHERE position <= 20", "vectors", "seeds", similar_rows=_similar(0.5)))
 def semantic_topk(spark, sf):
-    found = vector_search.semantic_search(d.papers_with_vectors(spark, sf), d.label_centroids(spark, sf), digits=9)
+    found = vector_search.semantic_search(d.papers_with_vectors(spark, sf), d.label_seeds(spark, sf), digits=9)
     return found.withColumn("similarity", F.round("similarity", 6))
 
 
-@query("semantic_filtered", sql("SELECT query_id, paper_id, round(similarity, 6) AS similarity, position, total FROM similar_rows WHERE position <= 10", "vectors", "centroids",
-                                similar_rows=_similar(0.3, "AND v.year = 2010")))
+@query("semantic_filtered", sql("SELECT query_id, paper_id, round(similarity, 6) AS similarity, position, total FROM similar_rows WHERE position <= 10", "vectors", "seeds",
+                                similar_rows=_similar(0.1, "AND v.year BETWEEN 2010 AND 2010")))
 def semantic_filtered(spark, sf):
-    found = vector_search.semantic_search(d.papers_with_vectors(spark, sf), d.label_centroids(spark, sf), threshold=0.3, limit=10, digits=9, year=2010)
+    found = vector_search.semantic_search(d.papers_with_vectors(spark, sf), d.label_seeds(spark, sf), threshold=0.1, limit=10, digits=9, year=2010)
     return found.withColumn("similarity", F.round("similarity", 6))
 
 
 @query("semantic_by_distance", sql("""
-    SELECT query_id, paper_id, round(1 - similarity, 6) AS distance, position FROM similar_rows WHERE position <= 10""", "vectors", "centroids", similar_rows=_similar(0.7, "AND v.department_code = 'CSE'")))
+    SELECT query_id, paper_id, round(1 - similarity, 6) AS distance, position FROM similar_rows WHERE position <= 10""", "vectors", "seeds", similar_rows=_similar(0.7, "AND v.department_code = 'CSE'")))
 def semantic_by_distance(spark, sf):
-    found = vector_search.nearest_by_distance(d.papers_with_vectors(spark, sf), d.label_centroids(spark, sf), department_code="CSE", digits=9)
+    found = vector_search.nearest_by_distance(d.papers_with_vectors(spark, sf), d.label_seeds(spark, sf), department_code="CSE", digits=9)
     return found.select("query_id", "paper_id", F.round("distance", 6).alias("distance"), "position")
 
 
@@ -166,7 +166,7 @@ def cosine_to_centroid(spark, sf):
     return rows.select("paper_id", F.round(vector_search.cosine(F.col("embedding"), F.col("centre")), 6).alias("similarity"))
 
 
-# Each label asks for one text and its mean vector.
+# Each label asks for one text and its first vector.
 _HYBRID_WORDS = """SELECT CAST(label AS BIGINT) AS query_id, 0 AS grp, item, false AS negated, 0 AS offs, 1 AS n_words, term FROM (SELECT DISTINCT label FROM embeddings)
     JOIN (VALUES (0, 0, 'attion'), (1, 0, 'thble'), (2, 0, 'journal'), (3, 0, 'tion')) t(kind, item, term) ON label % 4 = kind"""
 _FUSED = """
@@ -185,10 +185,10 @@ def _hybrid_ctes(pool: int) -> dict[str, str]:
 
 def hybrid_requests(spark, sf):
     text = d.pick(F.col("query_id") % 4, "attion", "thble", "journal", "tion")
-    return d.label_centroids(spark, sf).withColumn("query_text", text)
+    return d.label_seeds(spark, sf).withColumn("query_text", text)
 
 
-@query("hybrid_search", sql("SELECT query_id, paper_id, round(relevance_score, 6) AS relevance_score, dominant_mode, position, total FROM fused WHERE position <= 20", "vectors", "centroids", **_hybrid_ctes(60)))
+@query("hybrid_search", sql("SELECT query_id, paper_id, round(relevance_score, 6) AS relevance_score, dominant_mode, position, total FROM fused WHERE position <= 20", "vectors", "seeds", **_hybrid_ctes(60)))
 def hybrid_search(spark, sf):
     found = fusion.hybrid_search(d.papers_with_vectors(spark, sf), hybrid_requests(spark, sf), limit=20, stemmed=False, digits=9)
     return found.select("query_id", "paper_id", F.round("relevance_score", 6).alias("relevance_score"), "dominant_mode", "position", "total")
@@ -217,7 +217,7 @@ _BATCH = """
     UNION ALL SELECT query_id, 'hybrid', position, paper_id, round(relevance_score, 6), total FROM fused WHERE position <= 10 AND query_id % 3 = 2"""
 
 
-@query("search_requests", sql(_BATCH, "vectors", "centroids", **_hybrid_ctes(30), loose=_similar(0.5)))
+@query("search_requests", sql(_BATCH, "vectors", "seeds", **_hybrid_ctes(30), loose=_similar(0.5)))
 def search_requests(spark, sf):
     """A table of requests in three modes, one per label."""
     asked = hybrid_requests(spark, sf).withColumn("mode", d.pick(F.col("query_id") % 3, "keyword", "semantic", "hybrid"))

@@ -94,11 +94,21 @@ def rate_gate(stream: DataFrame, keys: list[str], ts: str, row_id: str, limit: i
 
 
 def run_to_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> None:
-    """Process everything available into files, then stop."""
-    query = (
-        stream.writeStream.format(fmt).option("checkpointLocation", checkpoint).outputMode("append")
-        .trigger(availableNow=True).start(path)
-    )
+    """Process everything available into files, then stop.
+
+    Processing-time state asks for another batch after every batch, so batches without data are switched off for this run;
+    otherwise it would never end.
+    """
+    spark, setting = stream.sparkSession, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(setting, "true")
+    spark.conf.set(setting, "false")
+    try:
+        query = (
+            stream.writeStream.format(fmt).option("checkpointLocation", checkpoint).outputMode("append")
+            .trigger(availableNow=True).start(path)
+        )
+    finally:
+        spark.conf.set(setting, before)
     query.awaitTermination()
 
 
