@@ -76,6 +76,16 @@ def version_rows(changes: DataFrame, key: str, ts: str, seq: str, state: list[st
     )
 
 
+def first_versions(papers: DataFrame, key: str, ts: str, state: list[str]) -> DataFrame:
+    """Version rows of newly stored papers: number 1, nothing before. No window is needed, the papers are new."""
+    number = F.lit(1).cast("bigint")
+    return papers.select(
+        stable_id(F.lit("version"), F.col(key), number).alias("version_id"), F.col(key).cast("string").alias("paper_id"), number.alias("version_number"),
+        F.lit(SYSTEM_ACTOR).alias("changed_by"), F.col(ts).cast("timestamp").alias("changed_at"), F.lit(FIRST_REASON).alias("change_reason"),
+        F.lit(None).cast("string").alias("before_state"), F.to_json(F.struct(*state)).alias("after_state"),
+    )
+
+
 def latest_versions(papers: DataFrame, versions: DataFrame) -> DataFrame:
     """Latest version number of every paper, 0 without any."""
     top = versions.groupBy("paper_id").agg(F.max("version_number").alias("latest"))

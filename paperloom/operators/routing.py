@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -109,8 +111,8 @@ def route(
     )
 
 
-def build_extracted(df: DataFrame, worker_id: str = "extract") -> DataFrame:
-    """The nested `paper.extracted.v1` event next to its `target_topic`.
+def build_extracted(df: DataFrame, worker_id: str = "extract", carry: Sequence[str] = ()) -> DataFrame:
+    """The nested `paper.extracted.v1` event next to its `target_topic` and the columns to `carry`.
 
     Expects ingested-event columns plus the outputs of `extract`, `enrich`, `issue_rules` and `route`. Ids and the trace
     header are derived from the event, so a retry produces the same message.
@@ -167,7 +169,7 @@ def build_extracted(df: DataFrame, worker_id: str = "extract") -> DataFrame:
             nothing.cast(EXTRACTED_EVENT["processing"].dataType["attempts"].dataType).alias("attempts"),
             F.lit(worker_id).alias("worker_id"), F.col("event_id").alias("source_event_id"),
         ).alias("processing"),
-        "target_topic",
+        "target_topic", *carry,
     )
     return event
 

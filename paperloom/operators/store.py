@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.columns import blank_to_null, key_width_64, lookup, stable_id
-from paperloom.functions.rules import HEX64, Rule, longer_than, off_unit_interval, outside
+from paperloom.functions.rules import HEX64, Rule, longer_than, off_unit_interval, outside, violations
 from paperloom.operators.dedup import absent_from, first_per_key
 from paperloom.schemas import ACTION_STATUS, ACTIONS, PAPER_STATUSES, PAPER_TYPES, SEVERITIES, UNRESOLVED_FACULTY_ID
 from paperloom.settings import DEFAULTS, Settings
@@ -26,7 +28,7 @@ def status_of(action: Column) -> Column:
     return lookup(ACTION_STATUS, F.coalesce(action, F.lit(DEFAULT_ACTION)), "DRAFT")
 
 
-def flatten_extracted(events: DataFrame, as_of: Column, settings: Settings = DEFAULTS) -> DataFrame:
+def flatten_extracted(events: DataFrame, as_of: Column, settings: Settings = DEFAULTS, carry: Sequence[str] = ()) -> DataFrame:
     """Extracted events to paper rows. Missing or null fields take their defaults; keys are 64 wide on both sides of every
     later comparison."""
     meta, ctx = "extraction_result.metadata", "enriched_context"
@@ -65,6 +67,7 @@ def flatten_extracted(events: DataFrame, as_of: Column, settings: Settings = DEF
         F.col("extraction_result.embedding").alias("embedding"),
         as_of.alias("created_at"),
         as_of.alias("updated_at"),
+        *carry,
     )
 
 
@@ -98,7 +101,7 @@ def issue_rows(events: DataFrame, as_of: Column) -> DataFrame:
     action = F.coalesce("i.action", F.lit(DEFAULT_ACTION))
     rows = events.select(
         stable_id(F.lit("paper"), key_width_64(F.col("idempotency_key"))).alias("paper_id"),
-        F.posexplode("validation_issues").alias("at", "i"),
+        as_of.alias("created_at"), F.posexplode("validation_issues").alias("at", "i"),
     )
     return rows.select(
         stable_id(F.lit("issue"), F.col("paper_id"), F.col("at")).alias("issue_id"), "paper_id",
@@ -111,7 +114,7 @@ def issue_rows(events: DataFrame, as_of: Column) -> DataFrame:
         F.coalesce("i.source", F.lit("module3")).alias("source"),
         F.coalesce("i.message", F.lit("")).alias("message"),
         F.lit(None).cast("timestamp").alias("resolved_at"), F.lit(None).cast("string").alias("resolved_by"),
-        as_of.alias("created_at"),
+        "created_at",
     )
 
 
@@ -157,8 +160,6 @@ def patch_rules() -> list[Rule]:
 
 def apply_patches(papers: DataFrame, patches: DataFrame, key: str = "paper_id") -> DataFrame:
     """Papers after valid patches: only present values overwrite, `updated_at` moves to the patch time."""
-    from paperloom.functions.rules import violations
-
     valid = patches.filter(F.size(violations(patch_rules())) == 0)
     latest = latest_patches(valid, key)
     joined = papers.join(latest, key, "left")

@@ -12,7 +12,7 @@ from paperloom.plans.derived_sql import DOMAIN, sql, strip
 from paperloom.plans.extract_queries import _REGISTRY, _TIER1
 from paperloom.plans.intake_queries import _REFUSED, RATE_SQL, TTL_SQL
 from paperloom.plans.store_queries import _FLAT, _NAMES, extracted_events
-from paperloom.session import scratch_path
+from paperloom.session import cut_lineage, scratch_path
 from paperloom.settings import DEFAULTS
 from paperloom.sources.events import file_stream
 from paperloom.sources.sinks import event_records
@@ -86,11 +86,11 @@ def route_stage(spark, sf):
     return stage
 
 
-def route_outcomes(outputs):
-    """(idempotency_key, destination) over all three outputs."""
-    routed = outputs["routed"].select(F.col("key").alias("idempotency_key"), F.col("topic").alias("destination"))
-    dead = outputs["dead_letters"].select("idempotency_key", F.split_part("reason", F.lit(":"), F.lit(1)).alias("destination"))
-    return routed.unionByName(dead).unionByName(outputs["skipped"].select("idempotency_key", F.lit("skipped").alias("destination")))
+def route_outcomes(outcomes):
+    """(idempotency_key, destination) of every message."""
+    failed = F.split_part("reason", F.lit(":"), F.lit(1))
+    destination = F.when(F.col("kind") == "routed", F.col("topic")).when(F.col("kind") == "dead_letter", failed).otherwise(F.lit("skipped"))
+    return outcomes.select(F.col("key").alias("idempotency_key"), destination.alias("destination"))
 
 
 # Messages with the same (message id, file name) share one stored file; its smallest hash stands for it.
@@ -127,15 +127,16 @@ def route_batch(spark, sf):
 def replay(spark, messages, label, files=3):
     """The messages as a file stream: a few files, one per micro-batch."""
     path = scratch_path(spark, f"{label}-topic")
-    messages.repartition(files, "value").write.parquet(path)
+    messages.repartition(files, "key").write.parquet(path)
     return file_stream(spark, path, files_per_trigger=1)
 
 
 @query("route_stream", ROUTE_SQL)
 def route_stream(spark, sf):
     base = scratch_path(spark, "route")
-    jobs.run_stage(replay(spark, ingest_messages(spark, sf), "route"), route_stage(spark, sf), base, scratch_path(spark, "route-checkpoint"), keys_from="processed")
-    return route_outcomes({n: jobs.read_output(spark, base, n) for n in ("routed", "dead_letters", "skipped")})
+    stream = replay(spark, ingest_messages(spark, sf), "route")
+    jobs.run_stage(stream, route_stage(spark, sf), jobs.split_routed, base, scratch_path(spark, "route-checkpoint"), "processed")
+    return route_outcomes(jobs.read_output(spark, base, "_outcomes"))
 
 
 def extracted_messages(spark, sf):
@@ -153,22 +154,17 @@ def store_stage(batch, earlier):
 
 
 def store_outcomes(outputs):
-    """Per key: how many papers, issues, versions and audit rows were stored, and how many messages were refused or skipped."""
-    papers = outputs["papers"].select("paper_id", F.col("ingestion_idempotency_key").alias("key"), "status")
-    children = {}
+    """Per message: its outcome, and how many issues, versions and audit rows its paper has."""
+    stored = outputs["papers"].select("paper_id", F.col("ingestion_idempotency_key").alias("key"), F.col("status").alias("outcome"))
     for name, column in (("issues", "paper_id"), ("versions", "paper_id"), ("audit", "resource_id")):
-        children[name] = outputs[name].groupBy(F.col(column).alias("paper_id")).agg(F.count("*").alias(name))
-    stored = papers
-    for name, counts in children.items():
+        counts = outputs[name].groupBy(F.col(column).alias("paper_id")).agg(F.count("*").alias(name))
         stored = stored.join(counts, "paper_id", "left").withColumn(name, F.coalesce(name, F.lit(0)))
-    refused = outputs["rejected"].join(outputs["papers"].select(F.col("ingestion_idempotency_key").alias("idempotency_key")), "idempotency_key", "left_anti")
-    skipped = outputs["skipped"].select(F.col("paper_key").alias("key"))
-    zero = F.lit(0).cast("bigint")
-    return (
-        stored.select("key", F.col("status").alias("outcome"), "issues", "versions", "audit")
-        .unionByName(refused.filter(F.length("idempotency_key") == 64).select(F.col("idempotency_key").alias("key"), F.lit("rejected").alias("outcome"), zero.alias("issues"), zero.alias("versions"), zero.alias("audit")))
-        .unionByName(skipped.select("key", F.lit("skipped").alias("outcome"), zero.alias("issues"), zero.alias("versions"), zero.alias("audit")))
-    )
+
+    def without(name, outcome):
+        zero = [F.lit(0).cast("bigint").alias(c) for c in ("issues", "versions", "audit")]
+        return outputs[name].select("key", F.lit(outcome).alias("outcome"), *zero)
+
+    return stored.drop("paper_id").unionByName(without("rejected", "rejected")).unionByName(without("skipped", "skipped"))
 
 
 _STORE_BATCH = """
@@ -178,14 +174,17 @@ _STORE_BATCH = """
     FROM flat JOIN (VALUES (0), (1)) c(copy) ON copy = 0 OR event_no % 10 = 0"""
 
 
-@query("store_batch", sql(_STORE_BATCH, "papers", "authors_long", names=_NAMES, flat=_FLAT))
+_STORE_SQL = sql(_STORE_BATCH, "papers", "authors_long", names=_NAMES, flat=_FLAT)
+
+
+@query("store_batch", _STORE_SQL)
 def store_batch(spark, sf):
-    return store_outcomes(store_stage(extracted_messages(spark, sf), None))
+    return store_outcomes(jobs.split_stored(cut_lineage(store_stage(extracted_messages(spark, sf), None))))
 
 
-@query("store_stream")
+@query("store_stream", _STORE_SQL)
 def store_stream(spark, sf):
-    """Several micro-batches. A copy in a later batch than its original is skipped as stored; a refused title is refused again."""
     base = scratch_path(spark, "store")
-    jobs.run_stage(replay(spark, extracted_messages(spark, sf), "store"), store_stage, base, scratch_path(spark, "store-checkpoint"), keys_from="papers")
+    stream = replay(spark, extracted_messages(spark, sf), "store")
+    jobs.run_stage(stream, store_stage, jobs.split_stored, base, scratch_path(spark, "store-checkpoint"), "papers")
     return store_outcomes({n: jobs.read_output(spark, base, n) for n in ("papers", "issues", "versions", "audit", "rejected", "skipped")})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,11 +12,11 @@ from paperloom.operators.facets import export_rows
 from paperloom.operators.reports import REPORT_COLUMNS, html_lines
 
 
-def event_records(events: DataFrame, topic: str = "target_topic", key: str = "idempotency_key") -> DataFrame:
-    """(topic, key, value) for a sink that routes per row; every other column goes into the JSON value."""
-    payload = [c for c in events.columns if c != topic]
+def event_records(events: DataFrame, topic: str = "target_topic", key: str = "idempotency_key", extra: Sequence[str] = ()) -> DataFrame:
+    """(topic, key, value) for a sink that routes per row; every column but topic and `extra` goes into the JSON value."""
+    payload = [c for c in events.columns if c != topic and c not in extra]
     return events.select(
-        F.col(topic).alias("topic"), F.col(key).alias("key"), F.to_json(F.struct(*payload), {"ignoreNullFields": "false"}).alias("value")
+        F.col(topic).alias("topic"), F.col(key).alias("key"), F.to_json(F.struct(*payload), {"ignoreNullFields": "false"}).alias("value"), *extra
     )
 
 

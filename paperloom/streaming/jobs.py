@@ -12,9 +12,8 @@ from paperloom.functions.columns import key_width_64
 from paperloom.functions.rules import split_by_rules, violations
 from paperloom.operators import extract as x
 from paperloom.operators import history, routing, store
-from paperloom.operators.dedup import absent_from, first_per_key
 from paperloom.operators.intake import contract_rules
-from paperloom.schemas import EXTRACTED_EVENT, INGESTED_EVENT
+from paperloom.schemas import DEAD_LETTER_TOPIC, ENTITY, EXTRACTED_EVENT, INGESTED_EVENT, array
 from paperloom.settings import DEFAULTS, Settings
 from paperloom.sources.events import EXTRACTED_REQUIRED, INGESTED_REQUIRED, contract_reader
 from paperloom.sources.sinks import event_records
@@ -22,31 +21,41 @@ from paperloom.sources.sinks import event_records
 PAYLOAD_REASON = "; "
 
 
+def mark_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Add `is_first`: true for the first row of each key. Only keys and ids are aggregated (copies collapse before the
+    shuffle); the wide rows are joined with one id per key. `event_id` identifies a row."""
+    firsts = df.groupBy(key).agg(F.min_by("event_id", F.struct(*order)).alias("first_event"))
+    return df.join(firsts, key, "left").withColumn("is_first", F.col("event_id") == F.col("first_event")).drop("first_event")
+
+
 def extract_and_route(
     batch: DataFrame, users: DataFrame, registry: DataFrame, as_of: Column, processed: DataFrame | None = None,
     model_output: DataFrame | None = None, file_hashes: DataFrame | None = None, entities: DataFrame | None = None,
     settings: Settings = DEFAULTS,
-) -> dict[str, DataFrame]:
-    """One batch of ingested-event messages (`key`, `value`, ...) to `routed` (topic, key, value), `dead_letters` and
-    `skipped`. Every input message is in exactly one of them.
+) -> DataFrame:
+    """One batch of ingested-event messages (`key`, `value`, ...) to one outcome row per message: (kind, topic, key, value,
+    reason, at), kind being `routed`, `dead_letter` or `skipped`.
 
     `processed` holds keys done earlier; `file_hashes` (s3_bucket, s3_key, file_hash) are hashes of stored files; `entities`
     (idempotency_key, entities) are recognised names per message.
     """
     valid, rejected = contract_reader(INGESTED_EVENT, INGESTED_REQUIRED)(batch)
-    rule_list = violations(contract_rules(as_of, settings))
-    rows = valid.select("key", "value", "event.*").withColumn("violations", rule_list)
+    rows = valid.select("key", "value", "event.*").withColumn("violations", violations(contract_rules(as_of, settings)))
     rows = rows.withColumn("idempotency_key", F.col("email.idempotency_key"))
     lawful = rows.filter(F.size("violations") == 0)
-    broken = rows.filter(F.size("violations") > 0).withColumn(
-        "reason", F.concat(F.lit("schema_validation_failed: "), F.array_join(F.transform("violations", lambda v: v.message), PAYLOAD_REASON))
-    )
-    ordered = first_per_key(lawful, ["idempotency_key"], ["created_at", "event_id"])
-    fresh = ordered if processed is None else absent_from(ordered, processed, ["idempotency_key"])
-    skipped = lawful.select("event_id", "idempotency_key").join(fresh.select("event_id"), "event_id", "left_anti")
+    texts = F.array_join(F.transform("violations", lambda v: v.message), PAYLOAD_REASON)
+    broken = rows.filter(F.size("violations") > 0).withColumn("reason", F.concat(F.lit("schema_validation_failed: "), texts))
+    marked = mark_first(lawful, "idempotency_key", ["created_at", "event_id"])
+    if processed is None:
+        marked = marked.withColumn("is_done", F.lit(False))
+    else:
+        done = processed.select("idempotency_key").distinct().withColumn("is_done", F.lit(True))
+        marked = marked.join(done, "idempotency_key", "left").withColumn("is_done", F.coalesce("is_done", F.lit(False)))
+    live = F.col("is_first") & ~F.col("is_done")
+    skipped = marked.filter(~live)
 
     first = F.get("content.attachments", F.lit(0))
-    verified = fresh.withColumn("s3_bucket", first["s3_bucket"]).withColumn("s3_key", first["s3_key"])
+    verified = marked.filter(live).withColumn("s3_bucket", first["s3_bucket"]).withColumn("s3_key", first["s3_key"])
     if file_hashes is None:
         verified = verified.withColumn("file_hash", first["checksum_sha256"])
     else:
@@ -54,33 +63,46 @@ def extract_and_route(
     verified = verified.withColumn("check", x.integrity(
         F.col("content.raw_text"), F.col("content.raw_text_hash"), first.isNotNull(), F.col("file_hash"), first["checksum_sha256"]
     )).drop("s3_bucket", "s3_key", "file_hash")
-    damaged = verified.filter(~F.col("check.passed"))
     sound = verified.filter("check.passed").withColumn("raw_text", F.col("content.raw_text")).withColumn(
         "lookup_key", routing.lookup_key(F.col("email.sender"))
     )
     if entities is None:
-        sound = sound.withColumn("entities", F.array().cast("array<struct<label:string,text:string>>"))
+        sound = sound.withColumn("entities", F.array().cast(array(ENTITY)))
     else:
         sound = sound.join(entities, "idempotency_key", "left")
-
     extracted = x.extract(sound, registry, model_output, settings=settings)
     enriched = routing.enrich(extracted, users).withColumn("issues", routing.issue_rules())
-    routed = routing.build_extracted(routing.route(enriched, settings=settings))
-    failed = event_records(routing.build_extracted(routing.failed_events(damaged, settings=settings)))
-    reasons = damaged.select("idempotency_key", F.concat(F.lit("integrity_check_failed: "), F.col("check.failure_reason")).alias("reason"))
-    damaged_letters = failed.join(reasons, F.col("key") == F.col("idempotency_key")).drop("idempotency_key")
-
-    def letters(df: DataFrame, key: Column) -> DataFrame:
-        return routing.dead_letters(df, F.col("value"), key, F.col("reason"), as_of, settings=settings)
-
-    dead = (
-        letters(rejected, F.coalesce("key", F.lit("unknown")))
-        .unionByName(letters(broken, F.col("idempotency_key")))
-        .unionByName(letters(damaged_letters, F.col("key")))
+    routed = event_records(routing.build_extracted(routing.route(enriched, settings=settings)))
+    damaged = verified.filter(~F.col("check.passed"))
+    failed = event_records(routing.build_extracted(routing.failed_events(damaged, settings=settings), carry=["check"]), extra=["check"])
+
+    def outcome(df: DataFrame, kind: str, topic: Column, key: Column, value: Column, reason: Column) -> DataFrame:
+        return df.select(F.lit(kind).alias("kind"), topic.alias("topic"), key.alias("key"), value.alias("value"), reason.alias("reason"), as_of.alias("at"))
+
+    def dead(df: DataFrame, key: Column, reason: Column) -> DataFrame:
+        payload = F.substring("value", 1, settings.dead_letter_chars)
+        return outcome(df, "dead_letter", F.lit(DEAD_LETTER_TOPIC), key, payload, reason)
+
+    no_reason = F.lit(None).cast("string")
+    return (
+        outcome(routed, "routed", F.col("topic"), F.col("key"), F.col("value"), no_reason)
+        .unionByName(outcome(skipped, "skipped", no_reason, F.col("idempotency_key"), no_reason, no_reason))
+        .unionByName(dead(rejected, F.coalesce("key", F.lit("unknown")), F.col("reason")))
+        .unionByName(dead(broken, F.col("idempotency_key"), F.col("reason")))
+        .unionByName(dead(failed, F.col("key"), F.concat(F.lit("integrity_check_failed: "), F.col("check.failure_reason"))))
     )
-    records = event_records(routed)
-    done = records.select(F.col("key").alias("idempotency_key"), as_of.alias("processed_at"))
-    return {"routed": records, "dead_letters": dead, "skipped": skipped, "processed": done}
+
+
+def split_routed(outcomes: DataFrame) -> dict[str, DataFrame]:
+    """Outputs of the extraction stage: routed records, dead-letter envelopes, skipped keys and keys now done."""
+    def of(kind: str) -> DataFrame:
+        return outcomes.filter(F.col("kind") == kind)
+
+    letters = routing.dead_letters(of("dead_letter"), F.col("value"), F.col("key"), F.col("reason"), F.col("at"))
+    return {
+        "routed": of("routed").select("topic", "key", "value"), "dead_letters": letters, "skipped": of("skipped").select(F.col("key").alias("idempotency_key")),
+        "processed": of("routed").select(F.col("key").alias("idempotency_key"), F.col("at").alias("processed_at")),
+    }
 
 
 def still_remembered(processed: DataFrame, as_of: Column, settings: Settings = DEFAULTS) -> DataFrame:
@@ -91,41 +113,54 @@ def still_remembered(processed: DataFrame, as_of: Column, settings: Settings = D
 def store_batch(
     batch: DataFrame, existing: DataFrame | None, as_of: Column, as_of_year: Column, settings: Settings = DEFAULTS,
     encoder: Callable[[DataFrame], DataFrame] | None = None,
-) -> dict[str, DataFrame]:
-    """One batch of extracted-event messages to the rows it adds: `papers`, `issues`, `versions`, `audit`, plus `rejected`
-    (with reason) and `skipped` (stored before, or a copy inside the batch)."""
+) -> DataFrame:
+    """One batch of extracted-event messages to one outcome row per message: (kind, key, reason, paper columns,
+    validation_issues, trace), kind being `stored`, `rejected` or `skipped` (stored before, or a copy in the batch).
+
+    A message's paper, issues, version and audit row all come from its one outcome row, so they appear together or not at all.
+    """
     valid, unreadable = contract_reader(EXTRACTED_EVENT, EXTRACTED_REQUIRED)(batch)
-    events = valid.select("key", "value", "topic", "event.*").withColumn("paper_key", key_width_64(F.col("idempotency_key")))
-    firsts = first_per_key(events, ["paper_key"], ["event_id"])
-    if existing is not None:
-        stored = existing.select(F.col("ingestion_idempotency_key").alias("paper_key"))
-        firsts = absent_from(firsts, stored, ["paper_key"])
-    skipped = events.select("event_id", "paper_key").join(firsts.select("event_id"), "event_id", "left_anti")
-
-    flat = store.flatten_extracted(firsts, as_of, settings)
-    papers, refused = split_by_rules(flat, store.paper_rules(as_of_year, settings))
+    events = valid.select("value", "topic", "event.*").withColumn("paper_key", key_width_64(F.col("idempotency_key")))
+    marked = mark_first(events, "paper_key", ["event_id"])
+    if existing is None:
+        marked = marked.withColumn("is_stored", F.lit(False))
+    else:
+        stored = existing.select(F.col("ingestion_idempotency_key").alias("paper_key")).distinct().withColumn("is_stored", F.lit(True))
+        marked = marked.join(stored, "paper_key", "left").withColumn("is_stored", F.coalesce("is_stored", F.lit(False)))
+    fresh = F.col("is_first") & ~F.col("is_stored")
+    carry = ["validation_issues", "audit_trail", "idempotency_key", "is_first", "is_stored"]
+    flat = store.flatten_extracted(marked, as_of, settings, carry)
+    checked = flat.withColumn("violations", violations(store.paper_rules(as_of_year, settings)))
+    texts = F.array_join(F.transform("violations", lambda v: v.message), PAYLOAD_REASON)
+    kind = F.when(~fresh, "skipped").when(F.size("violations") > 0, "rejected").otherwise("stored")
+    outcomes = checked.withColumn("kind", kind).withColumn("reason", F.when(F.col("kind") == "rejected", texts)).withColumn(
+        "trace", F.col("audit_trail.trace_id")
+    ).withColumn("key", F.col("ingestion_idempotency_key")).drop("violations", "audit_trail", "is_first", "is_stored")
     if encoder is not None:
-        papers = encoder(papers)
-    accepted_events = firsts.join(papers.select(F.col("ingestion_idempotency_key").alias("paper_key")), "paper_key", "left_semi")
-    issues, bad_issues = split_by_rules(store.issue_rows(accepted_events, as_of), store.stored_issue_rules())
-
-    trace = firsts.select("paper_key", F.col("audit_trail.trace_id").alias("trace"))
-    traced = papers.join(trace, F.col("ingestion_idempotency_key") == F.col("paper_key"), "left")
-    snapshot = [c for c in flat.columns if c != "embedding"]
-    versions = history.version_rows(
-        papers.withColumn("change_seq", F.lit(0)), "paper_id", "created_at", "change_seq", snapshot
-    )
+        outcomes = encoder(outcomes)
+    unread = unreadable.select(F.lit("rejected").alias("kind"), F.coalesce("key", F.lit("unknown")).alias("key"), "reason")
+    return outcomes.unionByName(unread, allowMissingColumns=True)
+
+
+def split_stored(outcomes: DataFrame) -> dict[str, DataFrame]:
+    """Outputs of the storage stage: rows for papers, issues, versions and audit, plus rejected and skipped keys."""
+    stored = outcomes.filter(F.col("kind") == "stored")
+    columns = [c for c in outcomes.columns if c not in ("kind", "key", "reason", "trace", "validation_issues", "idempotency_key")]
+    as_of = F.col("created_at")
+    issues, bad_issues = split_by_rules(store.issue_rows(stored, as_of), store.stored_issue_rules())
+    snapshot = [c for c in columns if c != "embedding"]
+    first_version = history.first_versions(stored, "paper_id", "created_at", snapshot)
     audit = history.audit_rows(
-        traced, F.lit(history.PAPER_AUDIT_ACTIONS["INSERT"]), "paper", F.col("paper_id"),
-        F.struct("title", "status", "department_code", "overall_confidence"), F.col("created_at"), trace=F.col("trace"),
-    )
-    reasons = F.array_join(F.transform("violations", lambda v: v.message), PAYLOAD_REASON)
-    rejected = (
-        unreadable.select(F.coalesce("key", F.lit("unknown")).alias("idempotency_key"), "reason")
-        .unionByName(refused.select(F.col("ingestion_idempotency_key").alias("idempotency_key"), reasons.alias("reason")))
-        .unionByName(bad_issues.select(F.col("issue_id").alias("idempotency_key"), reasons.alias("reason")))
+        stored, F.lit(history.PAPER_AUDIT_ACTIONS["INSERT"]), "paper", F.col("paper_id"),
+        F.struct("title", "status", "department_code", "overall_confidence"), as_of, trace=F.col("trace"),
     )
-    return {"papers": papers, "issues": issues, "versions": versions, "audit": audit, "rejected": rejected, "skipped": skipped}
+    texts = F.array_join(F.transform("violations", lambda v: v.message), PAYLOAD_REASON)
+    return {
+        "papers": stored.select(*columns), "issues": issues, "versions": first_version, "audit": audit,
+        "rejected": outcomes.filter(F.col("kind") == "rejected").select("key", "reason"),
+        "rejected_issues": bad_issues.select(F.col("issue_id").alias("key"), texts.alias("reason")),
+        "skipped": outcomes.filter(F.col("kind") == "skipped").select("key"),
+    }
 
 
 def write_outputs(outputs: dict[str, DataFrame], base: str, batch_id: int) -> None:
@@ -144,18 +179,24 @@ def read_output(spark: SparkSession, base: str, name: str, before: int | None =
     return spark.read.parquet(f"{base}/{name}").join(complete, "batch_id", "left_semi").drop("batch_id")
 
 
-def run_stage(stream: DataFrame, stage: Callable[[DataFrame, DataFrame | None], dict[str, DataFrame]], base: str, checkpoint: str, keys_from: str | None = None) -> None:
-    """Run a stage over everything available. `stage(batch, earlier)` gets the rows of output `keys_from` from earlier batches
-    (None in the first), which is how keys that are already done are recognised."""
+def run_stage(
+    stream: DataFrame, stage: Callable[[DataFrame, DataFrame | None], DataFrame], split: Callable[[DataFrame], dict[str, DataFrame]],
+    base: str, checkpoint: str, keys_from: str,
+) -> None:
+    """Run a stage over everything available.
+
+    A batch is computed once into `outcomes`; the outputs are plain reads of those files, so a lost executor never repeats the
+    stage. `stage(batch, earlier)` gets the rows of output `keys_from` of earlier batches (None in the first), by which keys
+    that are already done are recognised.
+    """
     spark = stream.sparkSession
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        earlier = None
-        if keys_from is not None and batch_id > 0:
-            earlier = read_output(spark, base, keys_from, before=batch_id)
-        batch.persist()
-        write_outputs(stage(batch, earlier), base, batch_id)
-        batch.unpersist()
+        earlier = read_output(spark, base, keys_from, before=batch_id) if batch_id > 0 else None
+        path = f"{base}/_outcomes/batch_id={batch_id}"
+        outcomes = stage(batch, earlier)
+        outcomes.write.mode("overwrite").parquet(path)
+        write_outputs(split(spark.read.schema(outcomes.schema).parquet(path)), base, batch_id)
 
     query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
