@@ -7,13 +7,15 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# (?U) makes \s, \d and \b Unicode-aware; the four separator controls count as whitespace too.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# Every character that counts as whitespace: ASCII blanks and controls, then the Unicode spaces and separators.
+_ASCII_SPACE = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0]))
+_WIDE_SPACE = "".join(map(chr, [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+WHITESPACE = _ASCII_SPACE + _WIDE_SPACE
 
 
 def strip(c: Column) -> Column:
     """Remove leading and trailing whitespace of any kind, line breaks included."""
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def blank_to_null(c: Column) -> Column:

@@ -15,7 +15,8 @@ from paperloom.session import cut_lineage
 
 def ttl_accepted(df: DataFrame, keys: list[str], ts: str, row_id: str, ttl_seconds: int) -> DataFrame:
     """Accepted rows as (keys..., ts, row_id). Within one timestamp the smaller `row_id` comes first."""
-    rows = df.select(*keys, F.col(ts).cast("timestamp").alias(ts), row_id).filter(F.col(ts).isNotNull())
+    # Keys and times only, materialised: the rounds below must not repeat whatever text work `df` stands for.
+    rows = cut_lineage(df.select(*keys, F.col(ts).cast("timestamp").alias(ts), row_id).filter(F.col(ts).isNotNull()))
     accepted, frontier = None, None
     while True:
         open_rows = rows

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.columns import blank_to_null, strip, truthy
+from paperloom.session import cut_lineage
 from paperloom.settings import DEFAULTS, Settings
 
 # Patterns, keywords, scores and weights.
@@ -186,8 +187,10 @@ def merge_tiers(df: DataFrame) -> DataFrame:
 def fill_low_confidence(df: DataFrame, model_output: DataFrame, key: str = "idempotency_key", settings: Settings = DEFAULTS) -> DataFrame:
     """Rows below the gate take missing fields from a table of model answers, scores capped.
 
-    Only rows below the gate are joined; the others pass by. `model_output` has one row per key.
+    Only rows below the gate are joined; the others pass by. `model_output` has one row per key. The tiers are materialised
+    before the split, or both sides would run the text patterns again.
     """
+    df = cut_lineage(df)
     cap = settings.gate_cap
     below = df.filter(F.col("confidence") < settings.gate_threshold)
     above = df.filter(~(F.col("confidence") < settings.gate_threshold)).withColumn("gate_used", F.lit(False))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.operators.intake import idempotency_key
+from paperloom.session import spread
 from paperloom.settings import DEFAULTS
 
 DOMAIN = DEFAULTS.institution_domain
@@ -34,7 +35,7 @@ def shown_time(c: Column) -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
     return docs.join(events, F.col("event_id") == F.col("doc_id")).drop("event_id")
 
 

@@ -83,15 +83,11 @@ EXTRACTED_REQUIRED = [
 ]
 
 
-def contract_reader(schema: T.StructType, required: list[str]):
-    """A function df(key, value, ...) -> (valid rows with `event`, rejected rows with `reason`)."""
-    def read(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-        parsed = parse_json(df, schema)
-        missing = missing_fields(F.col("event"), required)
-        checked = parsed.withColumn("missing", F.when(F.col("parse_error").isNull(), missing))
-        reason = F.coalesce("parse_error", F.concat(F.lit("missing fields: "), F.array_join("missing", ", ")))
-        bad = F.col("parse_error").isNotNull() | (F.size("missing") > 0)
-        rejected = checked.filter(bad).withColumn("reason", F.concat(F.lit("schema_validation_failed: "), reason))
-        return checked.filter(~bad).drop("parse_error", "missing"), rejected.drop("parse_error", "missing", "event")
-
-    return read
+def read_contract(df: DataFrame, schema: T.StructType, required: list[str]) -> DataFrame:
+    """Add `event` and `reason` to messages (`key`, `value`, ...); `reason` is null for messages that follow the contract."""
+    parsed = parse_json(df, schema)
+    missing = F.when(F.col("parse_error").isNull(), missing_fields(F.col("event"), required))
+    checked = parsed.withColumn("missing", missing)
+    absent = F.when(F.size("missing") > 0, F.concat(F.lit("missing fields: "), F.array_join("missing", ", ")))
+    reason = F.concat(F.lit("schema_validation_failed: "), F.coalesce("parse_error", absent))
+    return checked.withColumn("reason", reason).drop("parse_error", "missing")

@@ -14,8 +14,9 @@ from paperloom.operators import extract as x
 from paperloom.operators import history, routing, store
 from paperloom.operators.intake import contract_rules
 from paperloom.schemas import DEAD_LETTER_TOPIC, ENTITY, EXTRACTED_EVENT, INGESTED_EVENT, array
+from paperloom.session import cut_lineage
 from paperloom.settings import DEFAULTS, Settings
-from paperloom.sources.events import EXTRACTED_REQUIRED, INGESTED_REQUIRED, contract_reader
+from paperloom.sources.events import EXTRACTED_REQUIRED, INGESTED_REQUIRED, read_contract
 from paperloom.sources.sinks import event_records
 
 PAYLOAD_REASON = "; "
@@ -39,12 +40,13 @@ def extract_and_route(
     `processed` holds keys done earlier; `file_hashes` (s3_bucket, s3_key, file_hash) are hashes of stored files; `entities`
     (idempotency_key, entities) are recognised names per message.
     """
-    valid, rejected = contract_reader(INGESTED_EVENT, INGESTED_REQUIRED)(batch)
-    rows = valid.select("key", "value", "event.*").withColumn("violations", violations(contract_rules(as_of, settings)))
-    rows = rows.withColumn("idempotency_key", F.col("email.idempotency_key"))
-    lawful = rows.filter(F.size("violations") == 0)
-    texts = F.array_join(F.transform("violations", lambda v: v.message), PAYLOAD_REASON)
-    broken = rows.filter(F.size("violations") > 0).withColumn("reason", F.concat(F.lit("schema_validation_failed: "), texts))
+    rows = read_contract(batch, INGESTED_EVENT, INGESTED_REQUIRED).select("key", "value", "reason", "event.*")
+    rows = rows.withColumn("violations", violations(contract_rules(as_of, settings)))
+    texts = F.concat(F.lit("schema_validation_failed: "), F.array_join(F.transform("violations", lambda v: v.message), PAYLOAD_REASON))
+    reason = F.coalesce("reason", F.when(F.size("violations") > 0, texts))
+    # Parsed once here: a filter on the checks would otherwise be pushed below the parse and repeat it per rule.
+    rows = cut_lineage(rows.withColumn("reason", reason).withColumn("idempotency_key", F.col("email.idempotency_key")).drop("violations"))
+    lawful, rejected = rows.filter(F.col("reason").isNull()), rows.filter(F.col("reason").isNotNull())
     marked = mark_first(lawful, "idempotency_key", ["created_at", "event_id"])
     if processed is None:
         marked = marked.withColumn("is_done", F.lit(False))
@@ -87,8 +89,7 @@ def extract_and_route(
     return (
         outcome(routed, "routed", F.col("topic"), F.col("key"), F.col("value"), no_reason)
         .unionByName(outcome(skipped, "skipped", no_reason, F.col("idempotency_key"), no_reason, no_reason))
-        .unionByName(dead(rejected, F.coalesce("key", F.lit("unknown")), F.col("reason")))
-        .unionByName(dead(broken, F.col("idempotency_key"), F.col("reason")))
+        .unionByName(dead(rejected, F.coalesce("idempotency_key", "key", F.lit("unknown")), F.col("reason")))
         .unionByName(dead(failed, F.col("key"), F.concat(F.lit("integrity_check_failed: "), F.col("check.failure_reason"))))
     )
 
@@ -119,8 +120,9 @@ def store_batch(
 
     A message's paper, issues, version and audit row all come from its one outcome row, so they appear together or not at all.
     """
-    valid, unreadable = contract_reader(EXTRACTED_EVENT, EXTRACTED_REQUIRED)(batch)
-    events = valid.select("value", "topic", "event.*").withColumn("paper_key", key_width_64(F.col("idempotency_key")))
+    rows = cut_lineage(read_contract(batch, EXTRACTED_EVENT, EXTRACTED_REQUIRED))
+    unreadable = rows.filter(F.col("reason").isNotNull())
+    events = rows.filter(F.col("reason").isNull()).select("topic", "event.*").withColumn("paper_key", key_width_64(F.col("idempotency_key")))
     marked = mark_first(events, "paper_key", ["event_id"])
     if existing is None:
         marked = marked.withColumn("is_stored", F.lit(False))
