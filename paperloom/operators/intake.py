@@ -10,6 +10,7 @@ from paperloom.functions.pii import redact
 from paperloom.functions.rules import Rule, violations
 from paperloom.operators.dedup import ttl_accepted
 from paperloom.schemas import CONTRACT_VERSION, INGESTED_STATUS
+from paperloom.session import cut_lineage
 from paperloom.settings import DEFAULTS, Settings
 
 CLEAN = "CLEAN"
@@ -79,7 +80,7 @@ def check_contract(events: DataFrame, as_of: Column, settings: Settings = DEFAUL
 
 
 def screen(messages: DataFrame, settings: Settings = DEFAULTS, bucket: str = "ingest") -> DataFrame:
-    """Every message with its redacted text, keys and a `disposition`.
+    """Every message with its redacted text, keys, and `refused`: why it cannot be ingested, or null.
 
     Needs `message_id`, `sender`, `body_text`, `received_at`, `attachments` (filename, content_type, size_bytes,
     checksum_sha256, scan_verdict) and a unique `msg_seq`. Only messages that pass all other checks take part in the
@@ -106,10 +107,14 @@ def screen(messages: DataFrame, settings: Settings = DEFAULTS, bucket: str = "in
 
 
 def dispositions(screened: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Finish `screen`: apply the duplicate gate and name the outcome of every message in `disposition`."""
-    candidates = screened.filter(F.col("refused").isNull())
+    """The outcome of every message of `screen` after the duplicate gate: (msg_seq, message_id, received_at, disposition).
+
+    Only these narrow columns are materialised and joined. Join the result with the messages where their text is needed.
+    """
+    narrow = cut_lineage(screened.select("msg_seq", "message_id", "received_at", "refused"))
+    candidates = narrow.filter(F.col("refused").isNull())
     accepted = ttl_accepted(candidates, ["message_id"], "received_at", "msg_seq", settings.dedup_ttl_seconds)
-    marked = screened.join(accepted.select("msg_seq", F.lit(True).alias("accepted")), "msg_seq", "left")
+    marked = narrow.join(accepted.select("msg_seq", F.lit(True).alias("accepted")), "msg_seq", "left")
     outcome = F.coalesce(F.col("refused"), F.when(F.col("accepted"), "INGESTED").otherwise("DUPLICATE"))
     return marked.withColumn("disposition", outcome).drop("refused", "accepted")
 

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions.columns import strip
-from paperloom.functions.english import append_positions, positioned, stem, tokens
+from paperloom.functions.english import WHOLE_WORDS, append_positions, positioned, stem, tokens
+from paperloom.session import cut_lineage
 from paperloom.settings import DEFAULTS, Settings
 
 # Position weights and highlight markers.
@@ -92,15 +93,36 @@ def _finish_queries(queries: DataFrame, items: Column, stemmed: bool) -> DataFra
     return rows.withColumn("needed_items", needed)
 
 
-def matches(index: DataFrame, words: DataFrame, key: str = "paper_id") -> DataFrame:
-    """(query_id, key) pairs whose paper satisfies at least one group of the query.
+def occurrences(index: DataFrame, words: DataFrame) -> DataFrame:
+    """Postings of query words: the equi join on the term. Both matching and ranking read its (much smaller) result."""
+    return index.join(words, "term")
+
+
+def head_filter(index: DataFrame, words: DataFrame) -> DataFrame:
+    """Unstemmed postings that can possibly stem to one of `words`.
+
+    No stemming rule changes a word's first two letters, but for a few whole-word exceptions, whose heads are added. So words
+    with another head need not be stemmed at all. There are few distinct heads, whatever the number of queries.
+    """
+    spark = words.sparkSession
+    special = sorted({w[:2] for w, s in WHOLE_WORDS.items() if w[:2] != s[:2]})
+    heads = words.select(F.substring("term", 1, 2).alias("head")).distinct()
+    heads = heads.union(spark.createDataFrame([(h,) for h in special], "head string")).distinct()
+    head = F.substring("term", 1, 2)
+    single = heads.filter(F.length("head") == 1)
+    both = index.withColumn("head", head).join(heads, "head", "left_semi").drop("head")
+    one = index.withColumn("head", F.substring("term", 1, 1)).join(single, "head", "left_semi").drop("head")
+    return both.unionByName(one.filter(F.length("term") > 1))
+
+
+def matches(found: DataFrame, key: str = "paper_id") -> DataFrame:
+    """(query_id, key) pairs whose paper satisfies at least one group of the query, from `occurrences`.
 
     A word sequence matches where all its words sit at one common base position; the first aggregation runs on
     (query, item, paper, base), so a frequent term is pre-aggregated per paper and never gathered by term.
     """
     at_base = (
-        index.join(words, "term")
-        .groupBy("query_id", "grp", "item", "negated", "n_words", "needed_items", key, (F.col("pos") - F.col("offset")).alias("base"))
+        found.groupBy("query_id", "grp", "item", "negated", "n_words", "needed_items", key, (F.col("pos") - F.col("offset")).alias("base"))
         .agg(F.count("*").alias("found"))
         .filter(F.col("found") == F.col("n_words"))
     )
@@ -111,7 +133,7 @@ def matches(index: DataFrame, words: DataFrame, key: str = "paper_id") -> DataFr
     return satisfied.select("query_id", key).distinct()
 
 
-def cover_rank(index: DataFrame, words: DataFrame, hits: DataFrame, key: str = "paper_id") -> DataFrame:
+def cover_rank(found: DataFrame, words: DataFrame, hits: DataFrame, key: str = "paper_id") -> DataFrame:
     """Cover-density rank of every hit: (query_id, key, rank).
 
     A cover is a shortest stretch of positions that satisfies a group. Each adds (occurrences / sum of 1/weight) divided
@@ -122,10 +144,9 @@ def cover_rank(index: DataFrame, words: DataFrame, hits: DataFrame, key: str = "
         wanted.groupBy("query_id", "grp").agg(F.collect_set("term").alias("terms"))
         .groupBy("query_id").agg(F.collect_list("terms").alias("groups"))
     )
-    terms = wanted.select("query_id", "term").distinct()
-    occurrences = (
-        index.join(terms, "term").join(hits, ["query_id", key], "left_semi")
-        .groupBy("query_id", key).agg(F.sort_array(F.collect_list(F.struct("pos", "term", "weight"))).alias("occ"))
+    per_paper = (
+        found.filter(~F.col("negated")).join(hits, ["query_id", key], "left_semi")
+        .groupBy("query_id", key).agg(F.sort_array(F.collect_set(F.struct("pos", "term", "weight"))).alias("occ"))
     )
     occ = F.col("occ")
 
@@ -160,7 +181,7 @@ def cover_rank(index: DataFrame, words: DataFrame, hits: DataFrame, key: str = "
         return F.size(inside) / inverse / (F.lit(1) + noise)
 
     scored = (
-        occurrences.join(groups, "query_id").withColumn("begins", F.transform(occ, begin_of))
+        per_paper.join(groups, "query_id").withColumn("begins", F.transform(occ, begin_of))
         .withColumn("covers", covers)
     )
     rank = F.aggregate(F.col("covers"), F.lit(0.0), lambda acc, c: acc + cover_score(c))
@@ -231,12 +252,15 @@ def keyword_search(
     postings table; it is then semi-joined with the filtered papers.
     """
     scope = facet_filters(papers, status=status, **filters)
-    words = (web_queries if web else plain_queries)(queries, stemmed)
+    words = cut_lineage((web_queries if web else plain_queries)(queries, stemmed))
     if index is None:
-        index = postings(scope, weighted=weighted, stemmed=stemmed)
-        hits = matches(index, words)
+        index = postings(scope, weighted=weighted, stemmed=False)
+        index = stem(head_filter(index, words)) if stemmed else index
+        found = occurrences(index, words)
     else:
-        hits = matches(index, words).join(scope.select("paper_id"), "paper_id", "left_semi")
+        found = occurrences(index, words).join(scope.select("paper_id"), "paper_id", "left_semi")
+    found = cut_lineage(found)
+    hits = matches(found)
     totals = hits.groupBy("query_id").agg(F.count("*").alias("total"))
-    page = top_per_query(cover_rank(index, words, hits), limit, offset=offset)
+    page = top_per_query(cover_rank(found, words, hits), limit, offset=offset)
     return page.join(totals, "query_id")

@@ -99,7 +99,7 @@ def keyword_filtered(spark, sf):
 @query("keyword_match", sql("SELECT query_id, paper_id FROM hits", "papers", **_search_ctes(_PLAIN_INDEX, _WEB_WORDS, "SELECT * FROM papers")))
 def keyword_match(spark, sf):
     index = text_search.postings(d.papers(spark, sf), stemmed=False)
-    return text_search.matches(index, text_search.web_queries(requests(spark), stemmed=False))
+    return text_search.matches(text_search.occurrences(index, text_search.web_queries(requests(spark), stemmed=False)))
 
 
 @query("keyword_stemmed")
