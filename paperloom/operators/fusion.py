@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom.operators.text_search import headline, keyword_search, top_per_query, web_queries
 from paperloom.operators.vector_search import semantic_search
+from paperloom.session import cut_lineage
 from paperloom.settings import DEFAULTS, Settings
 
 
@@ -48,15 +49,15 @@ def hybrid_search(
 ) -> DataFrame:
     """Keyword and semantic search of the same queries (`query_id`, `query_text`, `embedding`), fused.
 
-    Each list is cut to a candidate pool first, so the merge handles a bounded number of rows per query. `total` is the
-    size of the fused pool.
+    Each list is cut to a candidate pool first, so the merge handles a bounded number of rows per query. The pools are
+    materialised (they are tiny) because fusion reads them several times. `total` is the size of the fused pool.
     """
     pool = pool_size(limit, settings)
-    keyword = keyword_search(papers, queries, limit=pool, stemmed=stemmed, index=index, **filters)
-    semantic = semantic_search(
+    keyword = cut_lineage(keyword_search(papers, queries, limit=pool, stemmed=stemmed, index=index, **filters))
+    semantic = cut_lineage(semantic_search(
         papers, queries, threshold=settings.hybrid_semantic_threshold, limit=pool, settings=settings, digits=digits, **filters
-    )
-    fused = fuse(keyword, semantic, settings)
+    ))
+    fused = cut_lineage(fuse(keyword, semantic, settings))
     totals = fused.groupBy("query_id").agg(F.count("*").alias("total"))
     page = fused.filter(F.col("position").between(offset + 1, offset + limit))
     return page.join(totals, "query_id")
@@ -93,9 +94,9 @@ def search_batch(
     def of(mode: str) -> DataFrame:
         return requests.filter(F.col("mode") == mode)
 
-    keyword = keyword_search(papers, of("keyword"), limit=limit, stemmed=stemmed, **filters)
+    keyword = cut_lineage(keyword_search(papers, of("keyword"), limit=limit, stemmed=stemmed, **filters))
     keyword = keyword.withColumnRenamed("rank", "relevance_score")
-    semantic = semantic_search(papers, of("semantic"), limit=limit, settings=settings, **filters)
+    semantic = cut_lineage(semantic_search(papers, of("semantic"), limit=limit, settings=settings, **filters))
     semantic = semantic.withColumnRenamed("similarity", "relevance_score")
     hybrid = hybrid_search(papers, of("hybrid"), limit=limit, stemmed=stemmed, settings=settings, **filters)
     words = web_queries(requests, stemmed)

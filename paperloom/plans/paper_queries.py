@@ -148,19 +148,15 @@ _AUTHOR_NAMES = "SELECT paper_id, string_agg(name, ', ' ORDER BY ord) AS authors
 
 
 @query("department_report_rows", sql("""
-    SELECT row_number() OVER (ORDER BY year DESC, title, paper_id) AS row_no, title AS "Title", authors AS "Authors",
+    SELECT paper_id, title AS "Title", authors AS "Authors",
       coalesce(venue, '—') AS "Venue", year AS "Year", coalesce(doi, '—') AS "DOI",
       concat(upper(substr(paper_type, 1, 1)), lower(substr(paper_type, 2))) AS "Type", printf('%.2f', CAST(overall_confidence AS DOUBLE)) AS "Confidence",
       split_part(faculty_email, '@', 1) AS "Faculty Email"
     FROM papers JOIN names USING (paper_id) WHERE department_code = 'CSE' AND year BETWEEN 2023 AND 2024 AND status = 'PUBLISHED'
     """, "papers", "authors_long", names=_AUTHOR_NAMES))
 def department_report_rows(spark, sf):
-    from pyspark.sql import Window
-
     rows = reports.published_in(d.papers_with_authors(spark, sf), "CSE", 2023, 2024)
-    # one report of one department and two years, numbered to check its order
-    order = Window.orderBy(F.desc("year"), "title", "paper_id")
-    return rows.withColumn("row_no", F.row_number().over(order).cast("bigint")).select("row_no", *reports.report_cells("pdf"))
+    return rows.select("paper_id", *reports.report_cells("pdf"))
 
 
 @query("faculty_report_rows", sql("""
