@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +18,12 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` over `value`, evaluated once: a lambda over a one-element array. Without the binding every use would repeat the
+    expression behind `value`, also below a pushed-down filter."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 

@@ -6,11 +6,11 @@ Everything runs in the JVM, no Python worker is involved.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.functions.columns import bind
+
 # The common English stop-word list used by full-text configurations.
 STOP_WORDS = (
     "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it "
@@ -122,20 +122,14 @@ def _final(c: Column) -> Column:
     return _by_suffix(c, [("e", drop_e, _cut(c, "e", "")), ("l", _in(_R2, c, "l", "l"), _cut(c, "l", ""))])
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body` over `value`, evaluated once: a lambda over a one-element array. Without the binding every step would repeat
-    the text of the step before it, and the expression would grow with the product of the steps."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _after_plural(word: Column) -> Column:
-    past = _let(
-        _let(word, _past),
-        lambda c: F.when(c.startswith("\u0001"), _let(F.regexp_replace(c, "^\u0001", ""), _repair)).otherwise(c),
+    past = bind(
+        bind(word, _past),
+        lambda c: F.when(c.startswith("\u0001"), bind(F.regexp_replace(c, "^\u0001", ""), _repair)).otherwise(c),
     )
     out = F.regexp_replace(past, f"(?<=.{_C})[yY]$", "i")
     for step in (_derived, _adjectival, _dropped, _final):
-        out = _let(out, step)
+        out = bind(out, step)
     return out
 
 
@@ -143,7 +137,7 @@ def stem_word(term: Column) -> Column:
     """The stem of one lower-case word."""
     marked = F.regexp_replace(term, r"^y|(?<=[aeiouy])y", "Y")
     whole = F.create_map(*[F.lit(x) for pair in WHOLE_WORDS.items() for x in pair])
-    stemmed = _let(_let(marked, _plural), lambda c: F.when(c.isin(*KEPT_AFTER_PLURAL), c).otherwise(_after_plural(c)))
+    stemmed = bind(bind(marked, _plural), lambda c: F.when(c.isin(*KEPT_AFTER_PLURAL), c).otherwise(_after_plural(c)))
     return (
         F.when(F.length(term) <= 2, term).when(term.isin(*WHOLE_WORDS), F.element_at(whole, term))
         .otherwise(F.translate(stemmed, "Y", "y"))

@@ -13,16 +13,23 @@ from pyspark.sql import functions as F
 from paperloom.session import cut_lineage
 
 
-def ttl_accepted(df: DataFrame, keys: list[str], ts: str, row_id: str, ttl_seconds: int) -> DataFrame:
-    """Accepted rows as (keys..., ts, row_id). Within one timestamp the smaller `row_id` comes first."""
+def ttl_accepted(
+    df: DataFrame, keys: list[str], ts: str, row_id: str, ttl_seconds: int, remembered: DataFrame | None = None
+) -> DataFrame:
+    """Accepted rows as (keys..., ts, row_id). Within one timestamp the smaller `row_id` comes first.
+
+    `remembered` (keys..., last_accepted) continues after earlier batches.
+    """
     # Keys and times only, materialised: the rounds below must not repeat whatever text work `df` stands for.
     rows = cut_lineage(df.select(*keys, F.col(ts).cast("timestamp").alias(ts), row_id).filter(F.col(ts).isNotNull()))
+    due = F.col(ts) >= F.timestamp_add("SECOND", F.lit(ttl_seconds), F.col("last_accepted"))
     accepted, frontier = None, None
     while True:
         open_rows = rows
         if frontier is not None:
-            due = F.col(ts) >= F.timestamp_add("SECOND", F.lit(ttl_seconds), F.col("last_accepted"))
             open_rows = rows.join(frontier, keys).filter(due)
+        elif remembered is not None:
+            open_rows = rows.join(remembered, keys, "left").filter(F.col("last_accepted").isNull() | due)
         first = open_rows.groupBy(*keys).agg(F.min(F.struct(ts, row_id)).alias("first"))
         first = cut_lineage(first.select(*keys, F.col(f"first.{ts}").alias(ts), F.col(f"first.{row_id}").alias(row_id)))
         if first.isEmpty():

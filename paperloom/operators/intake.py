@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.functions.columns import blank_to_null, dated_key, sha256, stable_id, strip
+from paperloom.functions.columns import bind, blank_to_null, dated_key, sha256, stable_id, strip
 from paperloom.functions.pii import redact
 from paperloom.functions.rules import Rule, violations
 from paperloom.operators.dedup import ttl_accepted
@@ -95,12 +95,12 @@ def screen(messages: DataFrame, settings: Settings = DEFAULTS, bucket: str = "in
         .withColumn("raw_text_hash", sha256(F.col("redacted_text")))
         .withColumn("attachments", within_size(F.col("attachments"), settings))
     )
-    refused = (
-        F.when(~in_domain(F.col("sender_address"), settings), "DOMAIN_REJECTED")
-        .when(~long_enough(F.col("redacted_text"), settings), "BODY_TOO_SHORT")
-        .when(hashes_collide(F.col("attachments"), F.col("raw_text_hash")), "HASH_COLLISION")
-        .when(needs_quarantine(F.col("attachments")), "QUARANTINED")
-    )
+    files = F.col("attachments")
+    by_content = bind(F.col("redacted_text"), lambda text: (
+        F.when(~long_enough(text, settings), "BODY_TOO_SHORT").when(hashes_collide(files, sha256(text)), "HASH_COLLISION")
+        .when(needs_quarantine(files), "QUARANTINED")
+    ))
+    refused = F.when(~in_domain(F.col("sender_address"), settings), "DOMAIN_REJECTED").otherwise(by_content)
     return checked.withColumn("refused", refused).withColumn(
         "s3_prefix", dated_key("attachments", F.col("received_at"), F.col("idempotency_key"), F.lit(""))
     ).withColumn("s3_bucket", F.lit(bucket))

@@ -39,6 +39,13 @@ def ttl_dedup_stream(spark, sf):
     return drained(spark, gated, "ttl").select("user_id", "event_type", d.shown_time(F.col("ts")).alias("accepted_at"))
 
 
+@query("ttl_dedup_batches", TTL_SQL)
+def ttl_dedup_batches(spark, sf):
+    base = scratch_path(spark, "ttl-batches")
+    jobs.run_ttl_gate(event_stream(spark, sf), ["user_id", "event_type"], "ts", "event_id", base, scratch_path(spark, "ttl-batches-checkpoint"))
+    return jobs.read_output(spark, base, "accepted").select("user_id", "event_type", d.shown_time(F.col("ts")).alias("accepted_at"))
+
+
 @query("rate_limit_stream", RATE_SQL)
 def rate_limit_stream(spark, sf):
     gated = gates.rate_gate(event_stream(spark, sf), ["user_id"], "ts", "event_id", window_seconds=6 * 3600)

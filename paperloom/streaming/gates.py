@@ -80,7 +80,11 @@ class SlidingLog(StatefulProcessor):
 
 
 def ttl_gate(stream: DataFrame, keys: list[str], ts: str, row_id: str, ttl_seconds: int) -> DataFrame:
-    """Accepted rows of a stream. Rules run on event time; the state itself expires by the same TTL."""
+    """Accepted rows of a stream. Rules run on event time; the state itself expires by the same TTL.
+
+    A key's rows of one micro-batch are sorted in one task, so limit the batch (files or offsets per trigger). Where single keys
+    are too hot for that, `jobs.run_ttl_gate` gives the same result without keyed state.
+    """
     columns = stream.columns
     processor = AcceptOncePerTtl(ts, row_id, ttl_seconds, columns)
     return stream.groupBy(*keys).transformWithStateInPandas(processor, stream.schema, "Append", "ProcessingTime")

@@ -12,6 +12,7 @@ from paperloom.functions.columns import key_width_64
 from paperloom.functions.rules import split_by_rules, violations
 from paperloom.operators import extract as x
 from paperloom.operators import history, routing, store
+from paperloom.operators.dedup import ttl_accepted
 from paperloom.operators.intake import contract_rules
 from paperloom.schemas import DEAD_LETTER_TOPIC, ENTITY, EXTRACTED_EVENT, INGESTED_EVENT, array
 from paperloom.session import cut_lineage
@@ -202,3 +203,26 @@ def run_stage(
 
     query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+
+
+def run_ttl_gate(
+    stream: DataFrame, keys: list[str], ts: str, row_id: str, base: str, checkpoint: str, settings: Settings = DEFAULTS
+) -> None:
+    """The TTL duplicate gate as micro-batches, for keys too hot for keyed state.
+
+    Each batch walks acceptances like the batch form, so no key's rows meet in one task. What earlier batches accepted is read
+    from their output; only acceptances younger than the TTL before the batch's first row still count. Output: `accepted`.
+    """
+    spark = stream.sparkSession
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        remembered = None
+        if batch_id > 0:
+            horizon = batch.agg(F.timestamp_add("SECOND", F.lit(-settings.dedup_ttl_seconds), F.min(F.col(ts).cast("timestamp")))).first()[0]
+            recent = read_output(spark, base, "accepted", before=batch_id).filter(F.col(ts) > F.lit(horizon))
+            remembered = recent.groupBy(*keys).agg(F.max(ts).alias("last_accepted"))
+        accepted = ttl_accepted(batch, keys, ts, row_id, settings.dedup_ttl_seconds, remembered)
+        write_outputs({"accepted": accepted}, base, batch_id)
+
+    query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
