@@ -35,7 +35,7 @@ def fuse(keyword: DataFrame, semantic: DataFrame, settings: Settings = DEFAULTS)
     return (
         merged.withColumn("relevance_score", F.col("fused_score") / best)
         .withColumn("dominant_mode", F.when(keyword_better, "keyword").otherwise("semantic"))
-        .withColumn("position", F.row_number().over(order))
+        .withColumn("position", F.row_number().over(order).cast("bigint"))
     )
 
 

@@ -196,6 +196,7 @@ def top_per_query(scored: DataFrame, limit: int, score: str = "rank", key: str =
     """
     w = Window.partitionBy("query_id").orderBy(F.desc(score), F.asc(key))
     ranked = scored.withColumn("position", F.row_number().over(w)).filter(F.col("position") <= limit + offset)
+    ranked = ranked.withColumn("position", F.col("position").cast("bigint"))
     return ranked.filter(F.col("position") > offset) if offset else ranked
 
 

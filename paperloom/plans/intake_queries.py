@@ -71,7 +71,7 @@ def intake_summary(spark, sf):
 
 @query("text_hashes", sql("SELECT msg_seq, sha256(redacted_text) AS raw_text_hash, length(" + strip("redacted_text") + ") AS n_chars FROM redacted", "redacted"))
 def text_hashes(spark, sf):
-    return intake.screen(d.messages(spark, sf)).select("msg_seq", "raw_text_hash", F.length("raw_text").alias("n_chars"))
+    return intake.screen(d.messages(spark, sf)).select("msg_seq", "raw_text_hash", F.length("raw_text").cast("bigint").alias("n_chars"))
 
 
 def broken_events(spark, sf):

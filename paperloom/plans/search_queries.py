@@ -61,7 +61,7 @@ _RANKED = """
 
 def _search_ctes(index: str, words: str, scope: str = _SCOPE) -> dict[str, str]:
     return {
-        "scope": scope, "postings": index, "words": f"SELECT * FROM (VALUES {words}) t{_COLUMNS}", "at_base": _AT_BASE, "hits": _HITS, "occ": _OCC, "ends": _ENDS,
+        "scope": scope, "postings": index, "words": f"SELECT * REPLACE (CAST(query_id AS BIGINT) AS query_id) FROM (VALUES {words}) t{_COLUMNS}", "at_base": _AT_BASE, "hits": _HITS, "occ": _OCC, "ends": _ENDS,
         "covers": _COVERS, "ranked": _RANKED,
         "keyword_page": """SELECT * FROM (SELECT query_id, paper_id, rank, row_number() OVER (PARTITION BY query_id ORDER BY round(rank, 9) DESC, paper_id) AS position,
           count(*) OVER (PARTITION BY query_id) AS total FROM ranked)""",

@@ -106,7 +106,7 @@ def store_rules(spark, sf):
     SELECT paper_id AS event_no, CASE WHEN paper_id % 9 <> 0 THEN concat('CODE', paper_id % 4) ELSE 'UNKNOWN' END AS issue_code,
       CASE WHEN paper_id % 5 = 0 THEN 'error' WHEN paper_id % 7 = 0 THEN 'error' ELSE 'warning' END AS severity,
       CASE WHEN paper_id % 7 = 0 THEN 'BLOCK' WHEN paper_id % 7 = 1 THEN 'UNHEARD' ELSE 'REVIEW_REQUIRED' END AS action, least(paper_id % 700, 500) AS value_length,
-      'module3' AS source, CASE WHEN paper_id % 2 = 0 THEN 0.695 ELSE 1.695 END AS confidence,
+      'module3' AS source, CAST(CASE WHEN paper_id % 2 = 0 THEN 0.695 ELSE 1.695 END AS DOUBLE) AS confidence,
       concat_ws(',', CASE WHEN paper_id % 7 = 1 THEN 'action' END, CASE WHEN paper_id % 2 = 1 THEN 'confidence' END) AS broken
     FROM papers WHERE paper_id % 3 = 0""", "papers"))
 def store_issues(spark, sf):

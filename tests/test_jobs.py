@@ -232,3 +232,12 @@ def test_filters_reach_the_scan(spark, tmp_path):
     papers = spark.read.parquet(str(tmp_path / "p"))
     plan = facets.list_papers(papers, 10, status="PUBLISHED", year=2010).select("paper_id")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(status,PUBLISHED)" in plan and "TakeOrderedAndProject" in plan and "title" not in plan.split("ReadSchema")[1]
+
+
+def test_top_per_query_limits_groups_before_the_shuffle(spark):
+    from paperloom.operators.text_search import top_per_query
+
+    rows = spark.range(1000).select((F.col("id") % 3).alias("query_id"), F.col("id").alias("paper_id"), (F.col("id") % 7).alias("rank"))
+    top = top_per_query(rows, 5)
+    assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
+    assert top.count() == 15
