@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 UPPER_TO_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 """Lower-cases A-Z in UTF-8 bytes and nothing else."""
@@ -41,3 +44,32 @@ def free_name(df: DataFrame, wanted: str) -> str:
 def column(df: DataFrame, name: str) -> Column:
     """The column of exactly this name, also when the name holds dots or backticks."""
     return df["`" + re.sub("`", "``", name) + "`"]
+
+
+def append_by_batch(
+    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list]], inputs: Sequence[str], added: Sequence[tuple[str, str]],
+    carry: Sequence[str] | None = None,
+) -> DataFrame:
+    """`df`'s columns `carry` (all if None) followed by the columns `added` as (name, type), computed an Arrow batch at a time.
+
+    `make` runs once in each task and returns the function from a batch, whose columns are `inputs` in that order, to arrays.
+    Input columns travel under positional names, so that no name of `df` can clash with an added one inside the task."""
+    carried = list(df.columns) if carry is None else list(carry)
+    clash = {c.lower() for c in carried} & {n.lower() for n, _ in added}
+    if clash:
+        raise ValueError(f"the result columns {sorted(clash)} exist already; rename them first")
+    sent = df.select(*[column(df, c).alias(f"i{k}") for k, c in enumerate(inputs)], *[column(df, c).alias(f"c{k}") for k, c in enumerate(carried)])
+    out = StructType([StructField(f"c{k}", df.schema[c].dataType) for k, c in enumerate(carried)])
+    for k, (_, kind) in enumerate(added):
+        out = out.add(f"a{k}", DataType.fromDDL(kind))
+    n_in, names = len(inputs), out.fieldNames()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            own = batch.select(list(range(n_in)))
+            arrays = work(own)
+            yield pa.RecordBatch.from_arrays([*batch.columns[n_in:], *arrays], names=names)
+
+    done = sent.mapInArrow(run, out)
+    return done.toDF(*carried, *[n for n, _ in added])

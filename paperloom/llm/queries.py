@@ -34,3 +34,54 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paperloom.llm.sharding import document_shards
 
     return document_shards(table(spark, sf_dir, "documents"))
+
+
+@query("op10_aho_corasick_decontamination", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i : i + least(len(w), 13) - 1], ' ') AS s
+        FROM b, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS t(i) WHERE len(w) > 0),
+lengths AS (SELECT DISTINCT n FROM win),
+pieces AS (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS s FROM d JOIN lengths ON len(w) >= n, unnest(range(1, len(w) - n + 2)) AS t(i)),
+hits AS (SELECT doc_id, item_id, n, i FROM pieces JOIN win USING (n, s)),
+marked AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + n)) AS u(p) GROUP BY doc_id),
+owners AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+           FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN marked USING (doc_id) LEFT JOIN owners USING (doc_id)
+""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paperloom.llm.decontaminate import contamination_report
+
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op5_karmarkar_karp_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from paperloom.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op3_warc_salvage", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+g AS (SELECT page_id, strlen(h) AS n, sha256(h) AS d, min(page_id) OVER (PARTITION BY sha256(h)) AS first FROM p)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+FROM g
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paperloom.llm.warc import archive_round_trip
+
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op6_compression_quality")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paperloom.llm.quality import quality_scores
+
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
