@@ -85,3 +85,61 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paperloom.llm.quality import quality_scores
 
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_block_tree_extraction")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paperloom.llm.html_text import extract_text
+
+    return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"), carry=["page_id", "url"])
+
+
+@query("op9_convolutional_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paperloom.llm.toxicity import toxicity_scores
+
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_minhash_components", r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0),
+size AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+half AS (SELECT a, b FROM shared JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * i >= 75 * (x.n + y.n - i)),
+links AS MATERIALIZED (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
+reach AS (SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.seen = l.a),
+component AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN component ON node = d.doc_id LEFT JOIN size ON size.doc_id = d.doc_id
+""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paperloom.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op2_log_bilinear_lm")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paperloom.llm.lm import document_scores
+
+    return document_scores(table(spark, sf_dir, "documents"))
+
+
+@query("op4_sorted_projections", """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id AS node, vec_id AS seen FROM embeddings UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.seen = l.a),
+component AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN component ON node = vec_id LEFT JOIN degree ON a = vec_id
+""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paperloom.llm.embed_dedup import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))
