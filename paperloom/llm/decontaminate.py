@@ -162,3 +162,10 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
     )
+
+
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """The documents that are not contaminated, with their columns and nothing else. No shuffle."""
+    renamed = docs.toDF(*[f"d{k}" for k in range(len(docs.columns))])  # result columns may have names that documents have too
+    found = find_benchmark(renamed, benchmark, text_col=f"d{docs.columns.index(text_col)}", with_spans=False)
+    return found.filter(~F.col("contaminated")).select(*[F.col(f"d{k}").alias(c) for k, c in enumerate(docs.columns)])

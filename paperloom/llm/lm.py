@@ -42,16 +42,16 @@ class Sizes:
     singles: int = 255
     """Most frequent words with classes of their own, besides the end."""
     spellings: int = 256
-    dim: int = 24
+    dim: int = 16
     noise: int = 32
     """Noise classes drawn for each batch and shared by its rows."""
-    batch: int = 8192
+    batch: int = 1024
     head_share: float = 1e-6
     warm_rows: int = 300
     warm_bytes: int = 16_384
     """The warm start reads this many texts of at most this size; the pass over all tokens follows."""
     warm_epochs: int = 12
-    rate: float = 0.15
+    rate: float = 0.2
 
     @property
     def classes(self) -> int:
@@ -116,6 +116,12 @@ class Network:
         first, second = (self.context @ m @ self.output.T for m in self.places)
         return (first + self.bias).astype(np.float32), second.astype(np.float32)
 
+    def mean_log(self, two: np.ndarray, one: np.ndarray, target: np.ndarray) -> float:
+        """Mean normalised log-probability of these next classes."""
+        s = (self.context[one] @ self.places[0] + self.context[two] @ self.places[1]) @ self.output.T + self.bias
+        top = s.max(1)
+        return float((s[np.arange(len(target)), target] - top - np.log(np.exp(s - top[:, None]).sum(1))).mean())
+
     def normalisers(self) -> np.ndarray:
         """log of the sum over all classes of exp(score), for (two before, one before), a batched product and sum each row."""
         one, two = self.context @ self.places[0], self.context @ self.places[1]
@@ -140,24 +146,25 @@ class Trainer:
         self.tokens = 0
 
     def step(self, two: np.ndarray, one: np.ndarray, target: np.ndarray) -> None:
-        net, n = self.net, len(target)
+        net, n, k = self.net, np.float32(len(target)), len(self.shift)
         c1, c2 = net.context[one], net.context[two]
         q = c1 @ net.places[0] + c2 @ net.places[1]
         out = net.output[target]
-        drawn = np.minimum(np.searchsorted(self.edges, self.rng.random(self.sizes.noise)), len(self.edges) - 1)
+        drawn = np.minimum(np.searchsorted(self.edges, self.rng.random(self.sizes.noise)), k - 1)
         off = net.output[drawn]
-        real = -1 / (1 + np.exp(np.clip(np.einsum("nd,nd->n", q, out) + net.bias[target] - self.shift[target], -30, 30)))
-        fake = 1 / (1 + np.exp(-np.clip(q @ off.T + net.bias[drawn] - self.shift[drawn], -30, 30)))
-        dq = (real[:, None] * out + fake @ off) / n
-        k = len(net.bias)
-        d_out = by_class(target, real[:, None] * q / n, k) + by_class(drawn, fake.T @ q / n, k)
-        d_bias = np.bincount(target, real / n, k) + np.bincount(drawn, fake.sum(0) / n, k)
+        level = net.bias - self.shift
+        real = -1 / (1 + np.exp(np.minimum((q * out).sum(1) + level[target], 30))) / n
+        fake = 1 / (1 + np.exp(np.minimum(-(q @ off.T + level[drawn]), 30))) / n
+        dq = real[:, None] * out + fake @ off
+        d_out = by_class(target, real[:, None] * q, k) + by_class(drawn, fake.T @ q, k)
+        d_bias = (np.bincount(target, real, k) + np.bincount(drawn, fake.sum(0), k)).astype(np.float32)
         d_ctx = by_class(one, dq @ net.places[0].T, k) + by_class(two, dq @ net.places[1].T, k)
         d_places = np.stack((c1.T @ dq, c2.T @ dq))
+        rate = np.float32(self.sizes.rate)
         for value, seen, g in zip(net.parts(), self.seen, (d_ctx, d_out, d_places, d_bias)):
-            seen += (g * g).astype(np.float32)
-            value -= (self.sizes.rate * g / np.sqrt(seen)).astype(np.float32)
-        self.tokens += n
+            seen += g * g
+            value -= rate * g / np.sqrt(seen)
+        self.tokens += len(target)
 
     def learn(self, texts: list[np.ndarray]) -> None:
         """Steps over the tokens of these texts' classes, shuffled."""
@@ -173,7 +180,12 @@ class Trainer:
 
 def by_class(classes: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
     """Sums of the rows of each class."""
-    return np.stack([np.bincount(classes, rows[:, d], k) for d in range(rows.shape[1])], 1)
+    order = np.argsort(classes, kind="stable")
+    own = classes[order]
+    start = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+    out = np.zeros((k, rows.shape[1]), np.float32)
+    out[own[start]] = np.add.reduceat(rows[order], start, axis=0)
+    return out
 
 
 def word_counts(texts: DataFrame, flush: int = 200_000) -> DataFrame:
@@ -230,16 +242,29 @@ def class_totals(counts: DataFrame, singles: list[bytes], sizes: Sizes) -> np.nd
     return out
 
 
+def warm_start(rows: list[np.ndarray], noise: np.ndarray, sizes: Sizes) -> Trainer:
+    """Epochs over four fifths of the texts; the state that does best on the rest (8,192 tokens of it at most) is kept."""
+    tests = [contexts(t)[::-1] + (t,) for t in rows[::5]]
+    held = [np.concatenate(c)[:8192] for c in zip(*tests)] if tests else []
+    trainer = Trainer(Network.fresh(noise, sizes.dim), noise, sizes, seed=1)
+    best = Trainer(trainer.net, noise, sizes, 1, trainer.seen)
+    top = best.net.mean_log(*held) if held else 0.0
+    for _ in range(sizes.warm_epochs if held else 0):
+        trainer.learn([t for k, t in enumerate(rows) if k % 5])
+        now = trainer.net.mean_log(*held)
+        if now > top:
+            best, top = Trainer(trainer.net, noise, sizes, 1, trainer.seen), now
+    return best
+
+
 def train_network(texts: DataFrame, noise: np.ndarray, singles: list[bytes], sizes: Sizes) -> Network:
     """Warm start on a bounded sample, then one pass over all texts (column `t`) in every task, then the average by tokens."""
     sample = texts.filter(F.octet_length("t") <= sizes.warm_bytes).orderBy(F.xxhash64("t"), "t").limit(sizes.warm_rows).collect()
     classes = Classes(singles, sizes)
-    warm = Trainer(Network.fresh(noise, sizes.dim), noise, sizes, seed=1)
     rows = [classes([*words_of(r["t"]), END]) for r in sample]
-    for _ in range(sizes.warm_epochs):
-        warm.learn(rows)
+    best = warm_start(rows, noise, sizes)
     spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast((warm.net, warm.seen, noise, singles))
+    shared = spark.sparkContext.broadcast((best.net, best.seen, noise, singles))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, seen, noise, singles = shared.value
@@ -264,7 +289,7 @@ def train_network(texts: DataFrame, noise: np.ndarray, singles: list[bytes], siz
 
     tasks = texts.mapInArrow(run, "tokens long, net binary")
     few = tasks.repartition(16).mapInArrow(average, "tokens long, net binary").collect()
-    return _mean((r["tokens"], pickle.loads(r["net"])) for r in few)[1] or warm.net
+    return _mean((r["tokens"], pickle.loads(r["net"])) for r in few)[1] or best.net
 
 
 def _sent(tokens: int, net: Network) -> pa.RecordBatch:
