@@ -1,18 +1,20 @@
 """Toxicity by a small convolutional network over hashed words, trained in numpy.
 
-Each word (lower-cased letters of any script; all other ASCII is a gap) is hashed into one of `buckets` embeddings. Filters of
-several widths slide over the embeddings, each filter's largest response in the text is kept (max pooling over time), and a logistic
-layer adds the pooled responses up. Thresholds are set per language on labelled rows the network was not trained on; the language is
-guessed from the text's own function words, never read from a column. The score is the network's probability moved so that the
-language's threshold lies at 0.5.
-
-A filter of width w is a sum of w products, one for each place, so after training every bucket's products are tabulated once and a
-text is scored by looking them up, adding neighbours and taking maxima.
+A word (lower-cased letters of any script; all other ASCII is a gap) is hashed, and so are its first four and five bytes, which
+inflected and compound forms share. Its embedding is the sum of those three. Hashes that fewer than `least` sampled texts have no
+embedding, so the tables are bounded by the sample and a word unlike all sampled ones is neutral. Filters of several widths slide
+over the embeddings, each filter's largest response in the text is kept (max pooling over time), and a logistic layer adds the pooled
+responses up. Thresholds are set per language on labelled rows the network was not trained on; the language is guessed from the
+text's own function words, never read from a column. The score is the network's probability moved so that the language's threshold
+lies at 0.5.
+
+A filter of width w is a sum of w products, one for each place, so after training every embedding's products are tabulated once and
+a text is scored by looking them up, adding neighbours and taking maxima.
 """
 
 from __future__ import annotations
 
-import zlib
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -55,25 +57,75 @@ def guessed_language(words: Sequence[bytes]) -> int:
     return counts.index(best) if best else 4
 
 
+PARTS = 3
+
+
+def hashed_parts(word: bytes) -> tuple[int, int, int]:
+    """64-bit hashes of the word, of its first four and of its first five bytes; each kind has hashes of its own."""
+    import xxhash
+
+    return tuple(xxhash.xxh3_64_intdigest(part, seed=k) for k, part in enumerate((word, word[:4], word[:5])))
+
+
 @dataclass(frozen=True)
 class Shape:
-    buckets: int = 1 << 15
     dim: int = 12
     widths: tuple[int, ...] = (1, 2, 3)
     filters: int = 8
     """Filters of each width."""
-
-    def row(self, words: list[bytes]) -> np.ndarray:
-        """Bucket numbers of the words, with empty words (the bucket after the last) up to the largest width."""
-        ids = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)).astype(np.int64) % self.buckets
-        short = max(self.widths) - len(ids)
-        return np.append(ids, np.full(short, self.buckets)) if short > 0 else ids
+    least: int = 3
+    """Sampled texts that must share a hash for it to have an embedding."""
+
+
+class Vocabulary:
+    """Hashes to embedding rows; row 0 is what has no embedding. Remembers the rows of words, a bounded number of them."""
+
+    def __init__(self, hashes: Sequence[int]):
+        self.row_of = {h: k + 1 for k, h in enumerate(hashes)}
+        self.combined: list[tuple[int, ...]] = [(0,) * PARTS]
+        self.number_of = {self.combined[0]: 0}
+        self.words: dict[bytes, int] = {}
+
+    def number(self, word: bytes) -> int:
+        rows = tuple(self.row_of.get(h, 0) for h in hashed_parts(word))
+        n = self.number_of.get(rows)
+        if n is None:
+            n = self.number_of[rows] = len(self.combined)
+            self.combined.append(rows)
+        return n
+
+    def __call__(self, words: list[bytes], least: int = 3) -> np.ndarray:
+        """A number for each word, with neutral words up to `least` words; `combined` has the PARTS rows of each number, 0 is neutral."""
+        known = self.words
+        if len(known) > 300_000:
+            known.clear()
+        out = list(map(known.get, words))
+        if None in out:
+            for k, n in enumerate(out):
+                if n is None:
+                    w = words[k]
+                    n = known.get(w)
+                    if n is None:
+                        n = known[w] = self.number(w)
+                    out[k] = n
+        out.extend([0] * (least - len(out)))
+        return np.array(out, np.int32)
+
+    @classmethod
+    def of(cls, texts: Sequence[list[bytes]], least: int) -> tuple[Vocabulary, list[int]]:
+        seen: Counter[int] = Counter()
+        for words in texts:
+            seen.update({h for w in set(words) for h in hashed_parts(w)})
+        hashes = sorted(h for h, n in seen.items() if n >= least)
+        return cls(hashes), hashes
 
 
 @dataclass(frozen=True)
 class Network:
     shape: Shape
+    hashes: tuple[int, ...]
     embed: np.ndarray
+    """One row for each hash after the neutral row."""
     kernels: tuple[np.ndarray, ...]
     """For each width, (width, dim, filters)."""
     offsets: np.ndarray
@@ -82,21 +134,58 @@ class Network:
     thresholds: np.ndarray
     """Log-odds for each of LANGUAGES that counts as even."""
 
-    def tables(self) -> list[list[np.ndarray]]:
-        return [[np.ascontiguousarray(self.embed @ k[j], np.float32) for j in range(len(k))] for k in self.kernels]
-
-
-def pooled(tables: list[list[np.ndarray]], ids: np.ndarray, step: int = 8192) -> tuple[np.ndarray, np.ndarray]:
+    def scorer(self) -> Scorer:
+        return Scorer(self)
+
+
+class Scorer:
+    """A trained network with its vocabulary and, for each combination of rows that a word has had, the products of its embedding."""
+
+    def __init__(self, net: Network):
+        self.net, self.vocabulary = net, Vocabulary(net.hashes)
+        self.width = max(net.shape.widths)
+        self.products = [[np.ascontiguousarray(net.embed @ k[j], np.float32) for j in range(len(k))] for k in net.kernels]
+        self.tables: list[list[np.ndarray]] = []
+        self.tabled = self.filled = 0
+
+    def log_odds(self, words: list[bytes]) -> float:
+        numbers = self.vocabulary(words, self.width)
+        if self.tabled < len(self.vocabulary.combined):
+            # Twice as many as needed, so that the table is made anew a logarithmic number of times only.
+            self.tabled = 2 * len(self.vocabulary.combined)
+        if not self.tables or len(self.tables[0][0]) < self.tabled:
+            rows = np.zeros((self.tabled, PARTS), np.int32)
+            rows[: len(self.vocabulary.combined)] = self.vocabulary.combined
+            self.filled = len(self.vocabulary.combined)
+            self.tables = [[p[rows].sum(1) for p in own] for own in self.products]
+        elif self.filled < len(self.vocabulary.combined):
+            rows = np.array(self.vocabulary.combined[self.filled :], np.int32)
+            for table, own in zip(self.tables, self.products):
+                for t, p in zip(table, own):
+                    t[self.filled : self.filled + len(rows)] = p[rows].sum(1)
+            self.filled += len(rows)
+        if len(numbers) > 4 * self.width:
+            # Neutral words all respond alike: keep those near others, and one stretch of them.
+            near = numbers != 0
+            known = near.copy()
+            for j in range(1, self.width):
+                near[j:] |= known[:-j]
+                near[:-j] |= known[j:]
+            near[np.flatnonzero(~near)[: self.width]] = True
+            numbers = numbers[near]
+        v, _ = pooled(self.tables, numbers[:, None])
+        return float(np.maximum(v + self.net.offsets, 0) @ self.net.out + self.net.bias)
+
+
+def pooled(tables: list[list[np.ndarray]], rows: np.ndarray, step: int = 8192) -> tuple[np.ndarray, np.ndarray]:
     """Each filter's largest response in the text and where it starts (the first on a tie), a stretch of words at a time."""
     best, place = [], []
     for own in tables:
-        width, n = len(own), len(ids) - len(own) + 1
+        width, n = len(own), len(rows) - len(own) + 1
         top = at = None
         for a in range(0, n, step):
             b = min(a + step, n)
-            r = own[0][ids[a:b]]
-            for j in range(1, width):
-                r = r + own[j][ids[a + j : b + j]]
+            r = sum(own[j][rows[a + j : b + j, k]] for j in range(width) for k in range(rows.shape[1]))
             k = r.argmax(0)
             v = r[k, np.arange(r.shape[1])]
             if top is None:
@@ -109,30 +198,27 @@ def pooled(tables: list[list[np.ndarray]], ids: np.ndarray, step: int = 8192) ->
     return np.concatenate(best), np.concatenate(place)
 
 
-def log_odds(net: Network, tables: list[list[np.ndarray]], ids: np.ndarray) -> float:
-    v, _ = pooled(tables, ids)
-    return float(np.maximum(v + net.offsets, 0) @ net.out + net.bias)
-
-
-def train(rows: Sequence[tuple[np.ndarray, int]], shape: Shape, epochs: int = 8, batch: int = 32, rate: float = 0.05, seed: int = 7) -> Network:
+def train(rows: Sequence[tuple[np.ndarray, int]], hashes: list[int], shape: Shape, epochs: int = 8, batch: int = 16, rate: float = 0.05, seed: int = 7) -> Network:
     """Adagrad on the log loss. Only the words at the pooled places carry gradients, so a long text costs one forward pass."""
     rng = np.random.default_rng(seed)
     per, n_widths = shape.filters, len(shape.widths)
-    embed = rng.normal(0, 0.3, (shape.buckets + 1, shape.dim)).astype(np.float32)
-    embed[-1] = 0
+    embed = rng.normal(0, 0.02, (len(hashes) + 1, shape.dim)).astype(np.float32)
+    embed[0] = 0
     kernels = [rng.normal(0, 0.3, (w, shape.dim, per)).astype(np.float32) for w in shape.widths]
-    offsets, out, bias = np.zeros(per * n_widths), rng.normal(0, 0.3, per * n_widths), 0.0
+    offsets, out, bias = np.zeros(per * n_widths), np.abs(rng.normal(0, 0.3, per * n_widths)), 0.0
+    out[::4] *= -1  # a quarter of the filters start by speaking for label 0
     seen_e, seen_k = np.full(embed.shape, 1e-4, np.float32), [np.full(k.shape, 1e-4, np.float32) for k in kernels]
     seen_o, seen_w, seen_b = np.full(offsets.shape, 1e-4), np.full(out.shape, 1e-4), 1e-4
     for _ in range(epochs):
         order = rng.permutation(len(rows))
         for start in range(0, len(order), batch):
             group = order[start : start + batch]
-            used = np.unique(np.concatenate([rows[i][0] for i in group]))
+            used = np.unique(np.concatenate([rows[i][0].ravel() for i in group]))
             local = embed[used]
             tables = [[local @ k[j] for j in range(len(k))] for k in kernels]
             g_e, g_k = np.zeros_like(local), [np.zeros_like(k) for k in kernels]
             g_o, g_w, g_b = np.zeros_like(offsets), np.zeros_like(out), 0.0
+            moved, pushes = [], []
             for i in group:
                 ids, y = np.searchsorted(used, rows[i][0]), rows[i][1]
                 v, at = pooled(tables, ids)
@@ -143,17 +229,18 @@ def train(rows: Sequence[tuple[np.ndarray, int]], shape: Shape, epochs: int = 8,
                 back = np.where(act > 0, err * out, 0)
                 g_o += back
                 for w, k in enumerate(kernels):
-                    for f in range(per):
-                        g = back[w * per + f]
-                        if g:
-                            words = ids[at[w * per + f] : at[w * per + f] + len(k)]
-                            g_k[w][:, :, f] += g * local[words]
-                            np.add.at(g_e, words, g * k[:, :, f])
+                    own = slice(w * per, (w + 1) * per)
+                    words = ids[at[own][:, None] + np.arange(len(k))]  # filter, place, part
+                    g = back[own].astype(np.float32)[:, None, None]
+                    g_k[w] += (g * local[words].sum(2)).transpose(1, 2, 0)
+                    moved.append(words.ravel())
+                    pushes.append(np.repeat((g * k.transpose(2, 0, 1)).reshape(-1, shape.dim), PARTS, axis=0))
+            np.add.at(g_e, np.concatenate(moved), np.concatenate(pushes))
             size = len(group)
             g_e /= size
             seen_e[used] += g_e**2
             embed[used] -= rate * g_e / np.sqrt(seen_e[used])
-            embed[-1] = 0
+            embed[0] = 0
             for w in range(n_widths):
                 g = g_k[w] / size + 1e-4 * kernels[w]
                 seen_k[w] += g**2
@@ -163,7 +250,10 @@ def train(rows: Sequence[tuple[np.ndarray, int]], shape: Shape, epochs: int = 8,
                 value -= rate * g / np.sqrt(seen)
             seen_b += (g_b / size) ** 2
             bias -= rate * (g_b / size) / np.sqrt(seen_b)
-    return Network(shape, embed, tuple(kernels), offsets, out, float(bias), np.zeros(len(LANGUAGES)))
+    # Embeddings that training hardly moved are noise of the start: such hashes become neutral.
+    moved = np.flatnonzero(np.sqrt((embed[1:] ** 2).sum(1)) > 0.15)
+    kept = np.concatenate((embed[:1], embed[1:][moved]))
+    return Network(shape, tuple(hashes[k] for k in moved), kept, tuple(kernels), offsets, out, float(bias), np.zeros(len(LANGUAGES)))
 
 
 def best_threshold(odds: np.ndarray, y: np.ndarray, weight: np.ndarray, around: float, strength: float) -> float:
@@ -182,22 +272,25 @@ def best_threshold(odds: np.ndarray, y: np.ndarray, weight: np.ndarray, around:
 def fit_network(sample: Sequence[tuple[str, int]], prior: float, shape: Shape = Shape()) -> Network:
     """Four fifths of the sample train the network, the rest sets the thresholds. With one label or none every score is the prior."""
     words = [plain_words(t) for t, _ in sample]
-    rows = [(shape.row(w), y) for w, (_, y) in zip(words, sample)]
+    vocabulary, hashes = Vocabulary.of([w for k, w in enumerate(words) if k % 5], shape.least)
+    numbers = [vocabulary(w, max(shape.widths)) for w in words]
+    combined = np.array(vocabulary.combined, np.int32)
+    rows = [(combined[n], y) for n, (_, y) in zip(numbers, sample)]
     prior = min(max(prior, 1e-3), 1 - 1e-3)
     if min(sum(y == k for _, y in rows) for k in (0, 1)) < 5:
-        net = train([], shape)
-        return Network(shape, net.embed, net.kernels, net.offsets, np.zeros_like(net.out), float(np.log(prior / (1 - prior))), net.thresholds)
+        net = train([], hashes, shape)
+        return Network(shape, net.hashes, net.embed, net.kernels, net.offsets, np.zeros_like(net.out), float(np.log(prior / (1 - prior))), net.thresholds)
     tests = [k % 5 == 0 for k in range(len(rows))]
-    net = train([r for r, t in zip(rows, tests) if not t], shape)
-    tables = net.tables()
+    net = train([r for r, t in zip(rows, tests) if not t], hashes, shape)
+    scorer = net.scorer()
     held = [k for k, t in enumerate(tests) if t]
-    odds = np.array([log_odds(net, tables, rows[k][0]) for k in held])
+    odds = np.array([scorer.log_odds(words[k]) for k in held])
     y = np.array([rows[k][1] for k in held])
     language = np.array([guessed_language(words[k]) for k in held])
     weight = np.where(y == 1, prior / max(y.mean(), 1e-9), (1 - prior) / max(1 - y.mean(), 1e-9))
     overall = best_threshold(odds, y, weight, 0.0, 0.1)
     cuts = np.array([best_threshold(odds[language == k], y[language == k], weight[language == k], overall, 0.5) for k in range(len(LANGUAGES))])
-    return Network(shape, net.embed, net.kernels, net.offsets, net.out, net.bias, cuts)
+    return Network(shape, net.hashes, net.embed, net.kernels, net.offsets, net.out, net.bias, cuts)
 
 
 def score_toxicity(docs: DataFrame, net: Network, text_col: str = "text", carry: Sequence[str] | None = None, out: str = "score") -> DataFrame:
@@ -206,11 +299,11 @@ def score_toxicity(docs: DataFrame, net: Network, text_col: str = "text", carry:
 
     def make():
         net = shared.value
-        tables = net.tables()
+        scorer = net.scorer()
 
         def one(text: str | None) -> float:
             words = plain_words(text)
-            odds = log_odds(net, tables, net.shape.row(words)) - net.thresholds[guessed_language(words)]
+            odds = scorer.log_odds(words) - net.thresholds[guessed_language(words)]
             return 1 / (1 + np.exp(-min(max(odds, -30), 30)))
 
         return lambda batch: [pa.array([one(t.as_py()) for t in batch.column(0)], pa.float64())]
@@ -218,12 +311,12 @@ def score_toxicity(docs: DataFrame, net: Network, text_col: str = "text", carry:
     return append_by_batch(docs, make, [text_col], [(out, "double")], carry)
 
 
-def toxicity_model(docs: DataFrame, labels: DataFrame, bounds: Sample = Sample(rows=1500)) -> Network:
+def toxicity_model(docs: DataFrame, labels: DataFrame, bounds: Sample = Sample(rows=1000, max_bytes=8192)) -> Network:
     learn = id_remainder(F.col("doc_id"), FOLDS) != HELD_OUT
     return fit_network(*labelled_sample(docs, labels, "toxic", learn, bounds))
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, bounds: Sample = Sample(rows=1500)) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, bounds: Sample = Sample(rows=1000, max_bytes=8192)) -> DataFrame:
     """doc_id, held_out, score and predicted for every document; learns from the rows outside the held-out fold only."""
     scored = score_toxicity(docs.select("doc_id", "text"), toxicity_model(docs, labels, bounds), carry=["doc_id"])
     return scored.select(
@@ -231,7 +324,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, bounds: Sample = Sample(
     )
 
 
-def clean_documents(docs: DataFrame, labels: DataFrame, bounds: Sample = Sample(rows=1500)) -> DataFrame:
+def clean_documents(docs: DataFrame, labels: DataFrame, bounds: Sample = Sample(rows=1000, max_bytes=8192)) -> DataFrame:
     """The documents that are not found toxic, with their columns and nothing else."""
     name = free_name(docs, "__toxic")
     scored = score_toxicity(docs, toxicity_model(docs, labels, bounds), out=name)
