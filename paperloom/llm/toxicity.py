@@ -174,7 +174,15 @@ class Scorer:
             near[np.flatnonzero(~near)[: self.width]] = True
             numbers = numbers[near]
         v, _ = pooled(self.tables, numbers[:, None])
-        return float(np.maximum(v + self.net.offsets, 0) @ self.net.out + self.net.bias)
+        return float(leaky(v + self.net.offsets) @ self.net.out + self.net.bias)
+
+
+SLOPE = 0.1
+
+
+def leaky(x: np.ndarray) -> np.ndarray:
+    """The filters' activation; its slope below zero keeps words that no filter has learnt yet learnable."""
+    return np.where(x > 0, x, SLOPE * x)
 
 
 def pooled(tables: list[list[np.ndarray]], rows: np.ndarray, step: int = 8192) -> tuple[np.ndarray, np.ndarray]:
@@ -198,7 +206,7 @@ def pooled(tables: list[list[np.ndarray]], rows: np.ndarray, step: int = 8192) -
     return np.concatenate(best), np.concatenate(place)
 
 
-def train(rows: Sequence[tuple[np.ndarray, int]], hashes: list[int], shape: Shape, epochs: int = 8, batch: int = 16, rate: float = 0.05, seed: int = 7) -> Network:
+def train(rows: Sequence[tuple[np.ndarray, int]], hashes: list[int], shape: Shape, epochs: int = 10, batch: int = 16, rate: float = 0.05, drop: float = 0.4, seed: int = 7) -> Network:
     """Adagrad on the log loss. Only the words at the pooled places carry gradients, so a long text costs one forward pass."""
     rng = np.random.default_rng(seed)
     per, n_widths = shape.filters, len(shape.widths)
@@ -206,27 +214,28 @@ def train(rows: Sequence[tuple[np.ndarray, int]], hashes: list[int], shape: Shap
     embed[0] = 0
     kernels = [rng.normal(0, 0.3, (w, shape.dim, per)).astype(np.float32) for w in shape.widths]
     offsets, out, bias = np.zeros(per * n_widths), np.abs(rng.normal(0, 0.3, per * n_widths)), 0.0
-    out[::4] *= -1  # a quarter of the filters start by speaking for label 0
     seen_e, seen_k = np.full(embed.shape, 1e-4, np.float32), [np.full(k.shape, 1e-4, np.float32) for k in kernels]
     seen_o, seen_w, seen_b = np.full(offsets.shape, 1e-4), np.full(out.shape, 1e-4), 1e-4
     for _ in range(epochs):
         order = rng.permutation(len(rows))
         for start in range(0, len(order), batch):
             group = order[start : start + batch]
-            used = np.unique(np.concatenate([rows[i][0].ravel() for i in group]))
-            local = embed[used]
+            used = np.unique(np.concatenate([[0], *(rows[i][0].ravel() for i in group)]))
+            local, zero = embed[used], np.searchsorted(used, 0)
             tables = [[local @ k[j] for j in range(len(k))] for k in kernels]
             g_e, g_k = np.zeros_like(local), [np.zeros_like(k) for k in kernels]
             g_o, g_w, g_b = np.zeros_like(offsets), np.zeros_like(out), 0.0
             moved, pushes = [], []
             for i in group:
                 ids, y = np.searchsorted(used, rows[i][0]), rows[i][1]
+                if y:  # words left out at random: one strong word must not hide the others from training
+                    ids = np.where(rng.random((len(ids), 1)) < drop, zero, ids)
                 v, at = pooled(tables, ids)
-                act = np.maximum(v + offsets, 0)
+                act = leaky(v + offsets)
                 err = 1 / (1 + np.exp(-np.clip(act @ out + bias, -30, 30))) - y
                 g_w += err * act
                 g_b += err
-                back = np.where(act > 0, err * out, 0)
+                back = err * out * np.where(act > 0, 1, SLOPE)
                 g_o += back
                 for w, k in enumerate(kernels):
                     own = slice(w * per, (w + 1) * per)
@@ -248,6 +257,7 @@ def train(rows: Sequence[tuple[np.ndarray, int]], hashes: list[int], shape: Shap
             for value, g, seen in ((offsets, g_o / size, seen_o), (out, g_w / size + 1e-4 * out, seen_w)):
                 seen += g**2
                 value -= rate * g / np.sqrt(seen)
+            np.maximum(out, 0, out=out)  # filters speak for toxicity alone: what else a long text holds takes nothing back
             seen_b += (g_b / size) ** 2
             bias -= rate * (g_b / size) / np.sqrt(seen_b)
     # Embeddings that training hardly moved are noise of the start: such hashes become neutral.
