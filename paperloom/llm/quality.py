@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.llm.common import append_by_batch, column, id_remainder, text_bytes
+from paperloom.session import cut_lineage
 
 FOLDS, HELD_OUT = 3, 1
 
@@ -34,17 +35,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     """(text, label) rows in a fixed order, and the share of label 1 among all rows to learn from. Labels other than 0 and 1, null
     ids and null texts teach nothing; a row labelled twice alike counts once, one labelled both ways not at all."""
     known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.min(label).alias("__y"), F.max(label).alias("__top")
-    ).filter("__y = __top").select("doc_id", "__y")
-    rows = docs.select("doc_id", F.col("text").alias("__text")).filter(learn & F.col("__text").isNotNull()).join(known, "doc_id")
-    rows = rows.select("__y", F.xxhash64("__text", "doc_id").alias("__order"), F.when(F.octet_length("__text") <= bounds.max_bytes, F.col("__text")).alias("__text"))
-    shares = {r["__y"]: r["n"] for r in rows.groupBy("__y").agg(F.count("*").alias("n")).collect()}
-    taken = []
-    for y in (0, 1):
-        taken += rows.filter((F.col("__y") == y) & F.col("__text").isNotNull()).orderBy("__order", "__text").limit(bounds.rows).collect()
-    taken.sort(key=lambda r: (r["__order"], r["__text"]))
+        F.min(label).alias("y"), F.max(label).alias("top")
+    ).filter("y = top").select("doc_id", "y")
+    texts = docs.select("doc_id", F.col("text").alias("t"), F.xxhash64("text", "doc_id").alias("place")).filter(learn & F.col("t").isNotNull())
+    # Only ids and hashes are joined and sorted; the texts of the rows chosen are read by a lookup of at most 2 * rows keys.
+    rows = cut_lineage(texts.select("doc_id", "place", (F.octet_length("t") <= bounds.max_bytes).alias("fits")).join(known, "doc_id"))
+    shares = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    chosen = [
+        (r["doc_id"], r["place"], r["y"])
+        for y in (0, 1) for r in rows.filter((F.col("y") == y) & F.col("fits")).select("doc_id", "place", "y").distinct().orderBy("place", "doc_id").limit(bounds.rows).collect()
+    ]
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, place long, y int"
+    keys = F.broadcast(docs.sparkSession.createDataFrame(chosen, schema))
+    taken = sorted(texts.join(keys, ["doc_id", "place"]).select("place", "t", "y").distinct().collect())
     total = sum(shares.values())
-    return [(r["__text"], int(r["__y"])) for r in taken], shares.get(1, 0) / total if total else 0.5
+    return [(r["t"], int(r["y"])) for r in taken], shares.get(1, 0) / total if total else 0.5
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, steps: int = 30) -> np.ndarray:
