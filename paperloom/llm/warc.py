@@ -247,7 +247,7 @@ def archive_round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame
     stated = F.regexp_extract("payload_digest", "^sha256:(.*)$", 1)
     payload = F.octet_length("payload").cast("long")
     read = read_warc(spark, folder).filter("gap_reason is null").select(
-        page_of(F.col("record_id")).cast("long").alias("page_id"), "record_type", "record_id", "refers_to", stated.alias("stated"),
+        page_of(F.col("record_id")).try_cast("long").alias("page_id"), "record_type", "record_id", "refers_to", stated.alias("stated"),
         payload.alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"),
     )
     records = cut_lineage(read)
@@ -256,5 +256,5 @@ def archive_round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame
     revisits = records.filter("record_type = 'revisit'").select("page_id", "record_type", "refers_to", "stated").join(found, ["refers_to", "stated"], "left")
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type"]
     return responses.select(*columns, F.lit(None).cast("long").alias("refers_to")).unionByName(
-        revisits.select(*columns, page_of(F.col("refers_to")).cast("long").alias("refers_to"))
+        revisits.select(*columns, page_of(F.col("refers_to")).try_cast("long").alias("refers_to"))
     )
