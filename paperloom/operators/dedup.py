@@ -7,7 +7,10 @@ by the TTL, whatever the number of rows, and no key's rows are ever gathered in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.session import cut_lineage
@@ -16,7 +19,8 @@ from paperloom.session import cut_lineage
 def ttl_accepted(
     df: DataFrame, keys: list[str], ts: str, row_id: str, ttl_seconds: int, remembered: DataFrame | None = None
 ) -> DataFrame:
-    """Accepted rows as (keys..., ts, row_id). Within one timestamp the smaller `row_id` comes first.
+    """Accepted rows as (keys..., ts, row_id). Within one timestamp the smaller `row_id` comes first. A null key is a key like any
+    other; rows without a time can not be judged and are never accepted.
 
     `remembered` (keys..., last_accepted) continues after earlier batches.
     """
@@ -27,9 +31,10 @@ def ttl_accepted(
     while True:
         open_rows = rows
         if frontier is not None:
-            open_rows = rows.join(frontier, keys).filter(due)
+            open_rows = rows.join(frontier, _same(rows, frontier, keys)).select(*[rows[c] for c in rows.columns], "last_accepted").filter(due)
         elif remembered is not None:
-            open_rows = rows.join(remembered, keys, "left").filter(F.col("last_accepted").isNull() | due)
+            open_rows = rows.join(remembered, _same(rows, remembered, keys), "left").select(*[rows[c] for c in rows.columns], "last_accepted")
+            open_rows = open_rows.filter(F.col("last_accepted").isNull() | due)
         first = open_rows.groupBy(*keys).agg(F.min(F.struct(ts, row_id)).alias("first"))
         first = cut_lineage(first.select(*keys, F.col(f"first.{ts}").alias(ts), F.col(f"first.{row_id}").alias(row_id)))
         if first.isEmpty():
@@ -38,10 +43,16 @@ def ttl_accepted(
         frontier = first.select(*keys, F.col(ts).alias("last_accepted"))
 
 
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    return reduce(and_, [left[k].eqNullSafe(right[k]) for k in keys])
+
+
 def flag_duplicates(df: DataFrame, keys: list[str], ts: str, row_id: str, ttl_seconds: int) -> DataFrame:
-    """All rows of `df` with a boolean `is_duplicate`."""
+    """All rows of `df` with a boolean `is_duplicate`, null for rows without a time."""
     accepted = ttl_accepted(df, keys, ts, row_id, ttl_seconds).select(row_id, F.lit(True).alias("__accepted"))
-    return df.join(accepted, row_id, "left").withColumn("is_duplicate", F.col("__accepted").isNull()).drop("__accepted")
+    return df.join(accepted, row_id, "left").withColumn(
+        "is_duplicate", F.when(F.col(ts).isNotNull(), F.col("__accepted").isNull())
+    ).drop("__accepted")
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

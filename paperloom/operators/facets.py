@@ -46,10 +46,11 @@ def count_papers(papers: DataFrame, **filters) -> DataFrame:
     return facet_filters(papers, **filters).groupBy("department_code", "status").agg(F.count("*").alias("n"))
 
 
-def list_papers(papers: DataFrame, limit: int = 50, offset: int = 0, **filters) -> DataFrame:
+def list_papers(papers: DataFrame, limit: int | None = 50, offset: int = 0, **filters) -> DataFrame:
     """Newest first; the id breaks ties so that pages never overlap."""
     ordered = facet_filters(papers, **filters).orderBy(F.desc_nulls_first("created_at"), F.asc("paper_id"))
-    return (ordered.offset(offset) if offset else ordered).limit(limit)
+    ordered = ordered.offset(offset) if offset else ordered
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def cursor_of(created_at: Column, paper_id: Column) -> Column:
@@ -83,10 +84,10 @@ def keyset_page(papers: DataFrame, cursor: str | None, limit: int = 20, **filter
     return page.withColumn("cursor", cursor_of(F.col("created_at"), F.col("paper_id")))
 
 
-def export_rows(papers: DataFrame, limit: int = 1000, status: str | None = "PUBLISHED", **filters) -> DataFrame:
-    """The export table: newest first, 11 columns, missing text as ''. The limit (1..10000) is part of the feature."""
-    if not 1 <= limit <= 10000:
-        raise ValueError("export limit must be between 1 and 10000")
+def export_rows(papers: DataFrame, limit: int | None = 1000, status: str | None = "PUBLISHED", **filters) -> DataFrame:
+    """The export table: newest first, 11 columns, missing text as ''; every row if `limit` is None."""
+    if limit is not None and limit < 1:
+        raise ValueError("the export limit must be positive, or None for all rows")
     rows = list_papers(papers, limit=limit, status=status, **filters)
     return rows.select(*EXPORT_COLUMNS).na.fill("", subset=["venue", "doi"])
 

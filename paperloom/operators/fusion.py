@@ -39,20 +39,15 @@ def fuse(keyword: DataFrame, semantic: DataFrame, settings: Settings = DEFAULTS)
     )
 
 
-def pool_size(limit: int, settings: Settings = DEFAULTS) -> int:
-    return min(limit * 3, settings.search_pool_max)
-
-
 def hybrid_search(
     papers: DataFrame, queries: DataFrame, limit: int = 20, offset: int = 0, stemmed: bool = True,
-    settings: Settings = DEFAULTS, digits: int = 12, index: DataFrame | None = None, **filters,
+    settings: Settings = DEFAULTS, digits: int = 12, index: DataFrame | None = None, pool: int | None = None, **filters,
 ) -> DataFrame:
     """Keyword and semantic search of the same queries (`query_id`, `query_text`, `embedding`), fused.
 
-    Each list is cut to a candidate pool first, so the merge handles a bounded number of rows per query. The pools are
-    materialised (they are tiny) because fusion reads them several times. `total` is the size of the fused pool.
+    All hits of both lists are fused, so `total` counts every paper found and every page can be reached. A caller who wants less
+    work for first pages sets `pool`: each list is then cut to that many rows before. The keyword half sees papers without a vector.
     """
-    pool = pool_size(limit, settings)
     keyword = cut_lineage(keyword_search(papers, queries, limit=pool, stemmed=stemmed, index=index, **filters))
     semantic = cut_lineage(semantic_search(
         papers, queries, threshold=settings.hybrid_semantic_threshold, limit=pool, settings=settings, digits=digits, **filters

@@ -32,7 +32,8 @@ def versioned(
 ) -> DataFrame:
     """Add `version_number` (1, 2, ... per key by time) and `before` (the state struct before the change; null at first).
 
-    `existing_max` (key, version_number, optional `before`) continues numbering after stored versions.
+    `existing_max` (key, version_number, optional `before`: the stored state) continues numbering after stored versions.
+    Changes without a time count as the oldest of their key, those without a key as changes of one more key; none is lost.
     """
     state_struct = F.struct(*state)
     rows = changes.withColumn("__chunk", F.floor(_seconds(ts) / F.lit(chunk_seconds * 1_000_000)))
@@ -43,19 +44,21 @@ def versioned(
     )
     across = Window.partitionBy(key).orderBy("__chunk")
     carried = chunks.select(
-        key, "__chunk",
+        F.col(key).alias("__key"), F.col("__chunk").alias("__at"),
         F.coalesce(F.sum("rows").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__offset"),
         F.lag("last_state").over(across).alias("__carried"),
     )
-    out = numbered.join(carried, [key, "__chunk"])
+    out = numbered.join(carried, F.col(key).eqNullSafe(F.col("__key")) & F.col("__chunk").eqNullSafe(F.col("__at"))).drop("__key", "__at")
     number = F.col("__n") + F.col("__offset")
     before = F.when(F.col("__n") == 1, F.col("__carried")).otherwise(F.col("__prev"))
     if existing_max is not None:
-        stored = existing_max.select(key, F.col("version_number").alias("__stored"))
-        out = out.join(stored, key, "left")
+        earlier = F.col("before") if "before" in existing_max.columns else F.lit(None).cast(rows.select(state_struct.alias("s")).schema["s"].dataType)
+        stored = existing_max.select(F.col(key).alias("__key"), F.col("version_number").alias("__stored"), earlier.alias("__last"))
+        out = out.join(stored, F.col(key).eqNullSafe(F.col("__key")), "left")
         number = number + F.coalesce("__stored", F.lit(0))
+        before = F.coalesce(before, F.when(F.col("__n") + F.col("__offset") == 1, F.col("__last")))
     return out.withColumn("version_number", number.cast("bigint")).withColumn("before", before).drop(
-        "__chunk", "__n", "__prev", "__offset", "__carried", "__stored"
+        "__chunk", "__n", "__prev", "__offset", "__carried", "__key", "__stored", "__last"
     )
 
 
@@ -103,12 +106,13 @@ def issues_by_age(issues: DataFrame) -> DataFrame:
 def audit_rows(
     source: DataFrame, action: Column, resource_type: str, resource_id: Column, details: Column, logged_at: Column,
     actor_type: Column | None = None, actor_id: Column | None = None, ip_address: Column | None = None,
-    trace: Column | None = None,
+    trace: Column | None = None, row_key: Column | None = None,
 ) -> DataFrame:
-    """Rows of the shared audit log. A trace header that cannot be parsed gets an id derived from the row."""
+    """Rows of the shared audit log. `row_key` tells rows apart that share action, resource and time, so that log ids are unique.
+    A trace header that cannot be parsed gets an id derived from the row."""
     fallback = stable_id(F.lit("trace"), action, resource_id, logged_at)
     return source.select(
-        stable_id(F.lit("audit"), action, F.lit(resource_type), resource_id, logged_at).alias("log_id"),
+        stable_id(F.lit("audit"), action, F.lit(resource_type), resource_id, logged_at, *([] if row_key is None else [row_key])).alias("log_id"),
         logged_at.cast("timestamp").alias("logged_at"), action.alias("action"),
         F.coalesce(actor_type if actor_type is not None else F.lit(None), F.lit(SYSTEM_ACTOR)).alias("actor_type"),
         F.coalesce(actor_id.cast("string") if actor_id is not None else F.lit(None).cast("string"), F.lit(SYSTEM_ACTOR)).alias("actor_id"),
@@ -130,32 +134,34 @@ def audit_log(*producers: DataFrame) -> DataFrame:
     return out
 
 
-def audit_tail(log: DataFrame, resource_type: str, resource_id: str, limit: int = 100) -> DataFrame:
-    """Newest audit rows of one resource; limit 1..1000 as in the read API."""
-    if not 1 <= limit <= 1000:
-        raise ValueError("audit limit must be between 1 and 1000")
+def audit_tail(log: DataFrame, resource_type: str, resource_id: str, limit: int | None = 100) -> DataFrame:
+    """Newest audit rows of one resource; all of them if `limit` is None."""
+    if limit is not None and limit < 1:
+        raise ValueError("the audit limit must be positive, or None for all rows")
     rows = log.filter((F.col("resource_type") == resource_type) & (F.col("resource_id") == resource_id))
-    return rows.orderBy(F.desc("logged_at"), F.asc("log_id")).limit(limit)
+    ordered = rows.orderBy(F.desc("logged_at"), F.asc("log_id"))
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def attempts_in_window(df: DataFrame, keys: list[str], ts: str, window_seconds: int) -> DataFrame:
     """Add `attempts`: rows of the same key in (t - window, t], the current one included.
 
     Time is cut into window-sized buckets; every row also serves the next bucket as context. So a window only ever needs one
-    (key, bucket), and a busy key spreads over as many tasks as it has buckets.
+    (key, bucket), and a busy key spreads over as many tasks as it has buckets. Rows without a time are kept; their number is null.
     """
     width = window_seconds * 1_000_000
     micros = _seconds(ts)
     placed = df.withColumn("__us", micros).withColumn("__home", F.floor(F.col("__us") / F.lit(width)))
-    spread = placed.withColumn("__bucket", F.explode(F.array(F.col("__home"), F.col("__home") + 1)))
+    buckets = F.when(F.col("__home").isNull(), F.array(F.col("__home"))).otherwise(F.array(F.col("__home"), F.col("__home") + 1))
+    spread = placed.withColumn("__bucket", F.explode(buckets))
     sliding = Window.partitionBy(*keys, "__bucket").orderBy("__us").rangeBetween(-width + 1, 0)
-    counted = spread.withColumn("attempts", F.count("*").over(sliding))
-    return counted.filter(F.col("__bucket") == F.col("__home")).drop("__us", "__home", "__bucket")
+    counted = spread.withColumn("attempts", F.when(F.col("__us").isNotNull(), F.count("*").over(sliding)))
+    return counted.filter(F.col("__bucket").eqNullSafe(F.col("__home"))).drop("__us", "__home", "__bucket")
 
 
 def rate_limited(df: DataFrame, keys: list[str], ts: str, limit: int = 5, window_seconds: int = 60) -> DataFrame:
-    """Sliding-log rate limiter: denied attempts count too."""
+    """Sliding-log rate limiter: denied attempts count too. An attempt without a time is neither allowed nor denied (null)."""
     counted = attempts_in_window(df, keys, ts, window_seconds)
     return counted.withColumn("allowed", F.col("attempts") <= limit).withColumn(
-        "remaining", F.greatest(F.lit(0), F.lit(limit) - F.col("attempts")).cast("bigint")
+        "remaining", F.when(F.col("attempts").isNotNull(), F.greatest(F.lit(0), F.lit(limit) - F.col("attempts"))).cast("bigint")
     )

@@ -39,7 +39,8 @@ def recipients(to_header: Column, cc_header: Column) -> Column:
 
 
 def idempotency_key(message_id: Column, primary_filename: Column) -> Column:
-    return sha256(F.concat(message_id, F.lit(":"), F.coalesce(primary_filename, F.lit(NO_ATTACHMENT))))
+    """An absent message id counts as empty text."""
+    return sha256(F.concat(F.coalesce(message_id, F.lit("")), F.lit(":"), F.coalesce(primary_filename, F.lit(NO_ATTACHMENT))))
 
 
 def long_enough(text: Column, settings: Settings = DEFAULTS) -> Column:
@@ -109,14 +110,17 @@ def screen(messages: DataFrame, settings: Settings = DEFAULTS, bucket: str = "in
 def dispositions(screened: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """The outcome of every message of `screen` after the duplicate gate: (msg_seq, message_id, received_at, disposition).
 
+    Messages without an id are told apart by their idempotency key; messages without a time are refused as NO_TIME.
+
     Only these narrow columns are materialised and joined. Join the result with the messages where their text is needed.
     """
-    narrow = cut_lineage(screened.select("msg_seq", "message_id", "received_at", "refused"))
-    candidates = narrow.filter(F.col("refused").isNull())
-    accepted = ttl_accepted(candidates, ["message_id"], "received_at", "msg_seq", settings.dedup_ttl_seconds)
+    gate = F.coalesce("message_id", "idempotency_key").alias("gate_key")
+    narrow = cut_lineage(screened.select("msg_seq", "message_id", "received_at", "refused", gate))
+    candidates = narrow.filter(F.col("refused").isNull() & F.col("received_at").isNotNull())
+    accepted = ttl_accepted(candidates, ["gate_key"], "received_at", "msg_seq", settings.dedup_ttl_seconds)
     marked = narrow.join(accepted.select("msg_seq", F.lit(True).alias("accepted")), "msg_seq", "left")
-    outcome = F.coalesce(F.col("refused"), F.when(F.col("accepted"), "INGESTED").otherwise("DUPLICATE"))
-    return marked.withColumn("disposition", outcome).drop("refused", "accepted")
+    judged = F.when(F.col("accepted"), "INGESTED").when(F.col("received_at").isNull(), "NO_TIME").otherwise("DUPLICATE")
+    return marked.withColumn("disposition", F.coalesce(F.col("refused"), judged)).drop("refused", "accepted", "gate_key")
 
 
 def batch_summary(outcomes: DataFrame) -> DataFrame:
@@ -158,5 +162,5 @@ def ingested_events(screened: DataFrame, as_of: Column, worker_id: str = "intake
 
 
 def malware_metric(quarantined: DataFrame) -> DataFrame:
-    """Detections by environment and reason (reasons are cut to 256 characters, as the metric dimension is)."""
-    return quarantined.groupBy("environment", F.substring("reason", 1, 256).alias("reason")).agg(F.count("*").alias("n"))
+    """Detections by environment and whole reason."""
+    return quarantined.groupBy("environment", "reason").agg(F.count("*").alias("n"))

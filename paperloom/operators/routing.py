@@ -195,12 +195,11 @@ def failed_events(df: DataFrame, reason: str = "INTEGRITY_CHECK_FAILED", setting
 
 def dead_letters(
     rows: DataFrame, payload: Column, key: Column, reason: Column, failed_at: Column, original_topic: str | None = None,
-    settings: Settings = DEFAULTS,
 ) -> DataFrame:
-    """Dead-letter envelopes. Only the quoted payload is cut (the envelope format); the rows themselves are all kept."""
+    """Dead-letter envelopes with the whole payload, so that a rejected message can be replayed."""
     columns = [
         failed_at.alias("failed_at"), key.alias("idempotency_key"), reason.alias("reason"),
-        F.substring(payload, 1, settings.dead_letter_chars).alias("original_payload"),
+        payload.alias("original_payload"),
     ]
     if original_topic is not None:
         columns.append(F.lit(original_topic).alias("original_topic"))

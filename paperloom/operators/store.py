@@ -108,7 +108,7 @@ def issue_rows(events: DataFrame, as_of: Column) -> DataFrame:
         F.coalesce("i.code", F.lit("UNKNOWN")).alias("issue_code"),
         F.coalesce(F.col("i.severity"), severity_of(action)).alias("severity"),
         action.alias("action"), F.col("i.json_path").alias("json_path"),
-        F.substring(F.coalesce("i.extracted_value", F.lit("")), 1, 500).alias("extracted_value"),
+        F.coalesce("i.extracted_value", F.lit("")).alias("extracted_value"),
         F.col("i.confidence").cast("decimal(4,3)").alias("confidence"),
         F.col("i.threshold").cast("decimal(4,3)").alias("threshold"),
         F.coalesce("i.source", F.lit("module3")).alias("source"),

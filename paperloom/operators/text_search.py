@@ -24,10 +24,12 @@ HEADLINE_MAX_WORDS = 20
 HEADLINE_MIN_WORDS = 5
 
 
-def sanitise(c: Column, settings: Settings = DEFAULTS) -> Column:
-    """`;` and control characters become blanks, runs of whitespace one blank, ends trimmed, then cut to the limit."""
+def sanitise(c: Column, max_chars: int | None = None) -> Column:
+    """`;` and control characters become blanks, runs of whitespace one blank, ends trimmed, then cut to `max_chars` if given. The
+    searches below keep the whole text."""
     cleaned = F.regexp_replace(F.coalesce(c, F.lit("")), r"[;\x00-\x1f\x7f]", " ")
-    return F.substring(strip(F.regexp_replace(cleaned, r"(?U)\s+", " ")), 1, settings.query_max_chars)
+    whole = strip(F.regexp_replace(cleaned, r"(?U)\s+", " "))
+    return whole if max_chars is None else F.substring(whole, 1, max_chars)
 
 
 def postings(papers: DataFrame, key: str = "paper_id", weighted: bool = False, stemmed: bool = True) -> DataFrame:
@@ -188,14 +190,15 @@ def cover_rank(found: DataFrame, words: DataFrame, hits: DataFrame, key: str = "
     return scored.select("query_id", key, rank.alias("rank"))
 
 
-def top_per_query(scored: DataFrame, limit: int, score: str = "rank", key: str = "paper_id", offset: int = 0) -> DataFrame:
-    """Best rows per query with their 1-based `position`; ties go to the smaller key.
+def top_per_query(scored: DataFrame, limit: int | None, score: str = "rank", key: str = "paper_id", offset: int = 0) -> DataFrame:
+    """Best rows per query (all if `limit` is None) with their 1-based `position`; ties go to the smaller key.
 
     Spark turns the row-number filter into a per-partition group limit, so only `limit` rows per query and partition
     travel.
     """
     w = Window.partitionBy("query_id").orderBy(F.desc(score), F.asc(key))
-    ranked = scored.withColumn("position", F.row_number().over(w)).filter(F.col("position") <= limit + offset)
+    ranked = scored.withColumn("position", F.row_number().over(w))
+    ranked = ranked if limit is None else ranked.filter(F.col("position") <= limit + offset)
     ranked = ranked.withColumn("position", F.col("position").cast("bigint"))
     return ranked.filter(F.col("position") > offset) if offset else ranked
 
@@ -244,7 +247,7 @@ def facet_filters(
 
 
 def keyword_search(
-    papers: DataFrame, queries: DataFrame, limit: int = 20, offset: int = 0, stemmed: bool = True, web: bool = True,
+    papers: DataFrame, queries: DataFrame, limit: int | None = 20, offset: int = 0, stemmed: bool = True, web: bool = True,
     weighted: bool = False, status: str = "PUBLISHED", index: DataFrame | None = None, **filters,
 ) -> DataFrame:
     """Search a batch of queries: top rows per query with `rank`, `position` and the query's `total`.

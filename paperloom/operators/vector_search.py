@@ -102,7 +102,7 @@ def similarities(papers: DataFrame, queries: DataFrame, threshold: float, key: s
 
 
 def semantic_search(
-    papers: DataFrame, queries: DataFrame, threshold: float | None = None, limit: int = 20, offset: int = 0,
+    papers: DataFrame, queries: DataFrame, threshold: float | None = None, limit: int | None = 20, offset: int = 0,
     settings: Settings = DEFAULTS, digits: int = 12, **filters,
 ) -> DataFrame:
     """Published papers most similar to each query vector: (query_id, paper_id, similarity, position, total).

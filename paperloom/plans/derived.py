@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.operators.intake import idempotency_key
-from paperloom.session import spread
 from paperloom.settings import DEFAULTS
 
 DOMAIN = DEFAULTS.institution_domain
@@ -35,7 +34,7 @@ def shown_time(c: Column) -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return docs.join(events, F.col("event_id") == F.col("doc_id")).drop("event_id")
 
 
@@ -51,7 +50,7 @@ def paper_columns() -> list[Column]:
     i = F.col("doc_id")
     return [
         i.alias("paper_id"),
-        F.substring(F.split_part("text", F.lit("\n"), F.lit(1)), 1, 300).alias("title"),
+        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
         F.when(i % 7 != 0, F.concat(pick(i % 4, "Journal of ", "Conference on ", "Transactions on ", "Workshop on "), F.col("source"))).alias("venue"),
         (F.lit(2000) + i % 26).cast("int").alias("year"),
         F.when(i % 3 != 0, F.concat(F.lit("10."), text_of(1000 + i % 9000), F.lit("/p."), text_of(i))).alias("doi"),
@@ -78,14 +77,16 @@ def settled(papers: DataFrame) -> DataFrame:
 
 def papers_with_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("paper_id"), "embedding", "label")
-    return papers(spark, sf_dir).join(vectors, "paper_id")
+    return papers(spark, sf_dir).join(vectors, "paper_id", "left")
 
 
 def authors_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("paper_id"))
     rows = docs.withColumn("ord", F.explode(F.sequence(F.lit(1), (1 + F.col("paper_id") % 3).cast("int"))))
     people = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("name"))
-    return rows.join(people, F.col("c_custkey") == (F.col("paper_id") * 7 + F.col("ord") * 13) % 150).drop("c_custkey")
+    size = people.agg(F.count("*")).scalar()
+    wanted = rows.withColumn("__person", (F.col("paper_id") * 7 + F.col("ord") * 13) % size)
+    return wanted.join(people, F.col("c_custkey") == F.col("__person")).drop("c_custkey", "__person")
 
 
 def papers_with_authors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ def department(expr: str) -> str:
 
 CTES: dict[str, str] = {
     "papers": f"""
-        SELECT d.doc_id AS paper_id, substr(split_part(d.text, chr(10), 1), 1, 300) AS title,
+        SELECT d.doc_id AS paper_id, split_part(d.text, chr(10), 1) AS title,
           CASE WHEN d.doc_id % 7 <> 0 THEN concat(CASE d.doc_id % 4 WHEN 0 THEN 'Journal of ' WHEN 1 THEN 'Conference on '
             WHEN 2 THEN 'Transactions on ' ELSE 'Workshop on ' END, d.source) END AS venue,
           CAST(2000 + d.doc_id % 26 AS INTEGER) AS year,
@@ -42,7 +42,7 @@ CTES: dict[str, str] = {
     "authors_long": """
         SELECT d.doc_id AS paper_id, o.ord, c.c_name AS name
         FROM documents d JOIN (VALUES (1), (2), (3)) o(ord) ON o.ord <= 1 + d.doc_id % 3
-        JOIN customer c ON c.c_custkey = (d.doc_id * 7 + o.ord * 13) % 150""",
+        JOIN customer c ON c.c_custkey = (d.doc_id * 7 + o.ord * 13) % (SELECT count(*) FROM customer)""",
     "issues": """
         SELECT l.doc_id AS issue_id, l.doc_id AS paper_id,
           CASE WHEN l.toxic = 1 THEN 'error' WHEN l.quality = 0 THEN 'warning' ELSE 'info' END AS severity,
@@ -90,7 +90,7 @@ CTES: dict[str, str] = {
           SELECT CAST(label AS BIGINT) AS query_id, pos_no, avg(CAST(v AS DOUBLE)) AS m FROM (
             SELECT label, generate_subscripts(embedding, 1) AS pos_no, unnest(embedding) AS v FROM embeddings) GROUP BY ALL) GROUP BY query_id""",
     "seeds": "SELECT CAST(label AS BIGINT) AS query_id, CAST(arg_min(embedding, vec_id) AS DOUBLE[]) AS embedding FROM embeddings GROUP BY label",
-    "vectors": "SELECT p.*, m.embedding, m.label FROM papers p JOIN embeddings m ON m.vec_id = p.paper_id",
+    "vectors": "SELECT p.*, m.embedding, m.label FROM papers p LEFT JOIN embeddings m ON m.vec_id = p.paper_id",
 }
 CTES["papers_raw"] = CTES["papers"]
 # Two departments have finished their reviews: what was open there has been rejected.

@@ -8,6 +8,7 @@ from paperloom.operators import facets, reports, suggest, text_search
 from paperloom.plans import derived as d
 from paperloom.plans.catalog import query
 from paperloom.plans.derived_sql import SETTLED, shown, sql
+from paperloom.settings import DEFAULTS
 
 _BUCKET = "CASE WHEN overall_confidence < 0.5 THEN '0.0-0.5' WHEN overall_confidence < 0.7 THEN '0.5-0.7' WHEN overall_confidence < 0.9 THEN '0.7-0.9' ELSE '0.9-1.0' END"
 _FACETS = f"""
@@ -101,7 +102,7 @@ def suggest_batch(spark, sf):
     SELECT conv_id, turn, substr(regexp_replace(regexp_replace(regexp_replace(text, '[;\x00-\x1f\x7f]', ' ', 'g'), '\s+', ' ', 'g'), '^\s+|\s+$', '', 'g'), 1, 200) AS query
     FROM conversations""")
 def sanitize_queries(spark, sf):
-    return d.table(spark, sf, "conversations").select("conv_id", "turn", text_search.sanitise(F.col("text")).alias("query"))
+    return d.table(spark, sf, "conversations").select("conv_id", "turn", text_search.sanitise(F.col("text"), DEFAULTS.query_max_chars).alias("query"))
 
 
 _GATE = """

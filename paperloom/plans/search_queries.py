@@ -136,7 +136,7 @@ def _similar(threshold: float, where: str = "") -> str:
     return f"""
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, paper_id) AS position, count(*) OVER (PARTITION BY query_id) AS total FROM (
       SELECT c.query_id, v.paper_id, round(list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), c.embedding), 9) AS similarity FROM vectors v CROSS JOIN seeds c
-      WHERE v.status = 'PUBLISHED' {where}) WHERE similarity >= {threshold}"""
+      WHERE v.status = 'PUBLISHED' AND v.embedding IS NOT NULL {where}) WHERE similarity >= {threshold}"""
 
 
 @query("semantic_topk", sql("SELECT query_id, paper_id, round(similarity, 6) AS similarity, position, total FROM similar_rows WHERE position <= 20", "vectors", "seeds", similar_rows=_similar(0.5)))
@@ -174,13 +174,13 @@ _FUSED = """
       count(*) OVER (PARTITION BY query_id) AS total FROM (
       SELECT coalesce(k.query_id, s.query_id) AS query_id, coalesce(k.paper_id, s.paper_id) AS paper_id, CASE WHEN k.position IS NOT NULL AND (s.position IS NULL OR k.position < s.position) THEN 'keyword' ELSE 'semantic' END AS dominant_mode,
         coalesce(1.0::DOUBLE / (60 + k.position), 0) + coalesce(1.0::DOUBLE / (60 + s.position), 0) AS fused_score, k.position AS keyword_position, s.position AS semantic_position
-      FROM (SELECT * FROM keyword_page WHERE position <= {pool}) k FULL JOIN (SELECT * FROM similar_rows WHERE position <= {pool}) s ON s.query_id = k.query_id AND s.paper_id = k.paper_id)"""
+      FROM keyword_page k FULL JOIN similar_rows s ON s.query_id = k.query_id AND s.paper_id = k.paper_id)"""
 
 
-def _hybrid_ctes(pool: int) -> dict[str, str]:
+def _hybrid_ctes() -> dict[str, str]:
     ctes = _search_ctes(_PLAIN_INDEX, _PLAIN_WORDS, "SELECT * FROM vectors WHERE status = 'PUBLISHED'")
     ctes["words"] = _HYBRID_WORDS
-    return {**ctes, "similar_rows": _similar(0.3), "fused": _FUSED.format(pool=pool)}
+    return {**ctes, "similar_rows": _similar(0.3), "fused": _FUSED}
 
 
 def hybrid_requests(spark, sf):
@@ -188,7 +188,7 @@ def hybrid_requests(spark, sf):
     return d.label_seeds(spark, sf).withColumn("query_text", text)
 
 
-@query("hybrid_search", sql("SELECT query_id, paper_id, round(relevance_score, 6) AS relevance_score, dominant_mode, position, total FROM fused WHERE position <= 20", "vectors", "seeds", **_hybrid_ctes(60)))
+@query("hybrid_search", sql("SELECT query_id, paper_id, round(relevance_score, 6) AS relevance_score, dominant_mode, position, total FROM fused WHERE position <= 20", "vectors", "seeds", **_hybrid_ctes()))
 def hybrid_search(spark, sf):
     found = fusion.hybrid_search(d.papers_with_vectors(spark, sf), hybrid_requests(spark, sf), limit=20, stemmed=False, digits=9)
     return found.select("query_id", "paper_id", F.round("relevance_score", 6).alias("relevance_score"), "dominant_mode", "position", "total")
@@ -217,7 +217,7 @@ _BATCH = """
     UNION ALL SELECT query_id, 'hybrid', position, paper_id, round(relevance_score, 6), total FROM fused WHERE position <= 10 AND query_id % 3 = 2"""
 
 
-@query("search_requests", sql(_BATCH, "vectors", "seeds", **_hybrid_ctes(30), loose=_similar(0.5)))
+@query("search_requests", sql(_BATCH, "vectors", "seeds", **_hybrid_ctes(), loose=_similar(0.5)))
 def search_requests(spark, sf):
     """A table of requests in three modes, one per label."""
     asked = hybrid_requests(spark, sf).withColumn("mode", d.pick(F.col("query_id") % 3, "keyword", "semantic", "hybrid"))

@@ -105,7 +105,7 @@ def store_rules(spark, sf):
 @query("store_issues", sql("""
     SELECT paper_id AS event_no, CASE WHEN paper_id % 9 <> 0 THEN concat('CODE', paper_id % 4) ELSE 'UNKNOWN' END AS issue_code,
       CASE WHEN paper_id % 5 = 0 THEN 'error' WHEN paper_id % 7 = 0 THEN 'error' ELSE 'warning' END AS severity,
-      CASE WHEN paper_id % 7 = 0 THEN 'BLOCK' WHEN paper_id % 7 = 1 THEN 'UNHEARD' ELSE 'REVIEW_REQUIRED' END AS action, least(paper_id % 700, 500) AS value_length,
+      CASE WHEN paper_id % 7 = 0 THEN 'BLOCK' WHEN paper_id % 7 = 1 THEN 'UNHEARD' ELSE 'REVIEW_REQUIRED' END AS action, paper_id % 700 AS value_length,
       'module3' AS source, CAST(CASE WHEN paper_id % 2 = 0 THEN 0.695 ELSE 1.695 END AS DOUBLE) AS confidence,
       concat_ws(',', CASE WHEN paper_id % 7 = 1 THEN 'action' END, CASE WHEN paper_id % 2 = 1 THEN 'confidence' END) AS broken
     FROM papers WHERE paper_id % 3 = 0""", "papers"))
@@ -229,13 +229,13 @@ def audit(spark, sf):
     """Audit rows from three producers: paper changes, intake and user logins."""
     changes = d.paper_changes(spark, sf)
     op = F.when(F.col("state") == "signup", "paper_created").when(F.col("state") == "error", "paper_deleted").otherwise("paper_updated")
-    from_changes = history.audit_rows(changes, op, "paper", F.col("paper_id"), F.struct("state", "change_seq"), F.col("changed_at"), actor_id=F.col("changed_by"))
+    from_changes = history.audit_rows(changes, op, "paper", F.col("paper_id"), F.struct("state", "change_seq"), F.col("changed_at"), actor_id=F.col("changed_by"), row_key=F.col("change_seq"))
     messages = d.messages(spark, sf)
-    from_intake = history.audit_rows(messages, F.lit("EMAIL_INGESTED"), "ingestion", F.col("message_id"), F.struct(F.size("attachments").alias("attachment_count"), "msg_seq"), F.col("received_at"))
+    from_intake = history.audit_rows(messages, F.lit("EMAIL_INGESTED"), "ingestion", F.col("message_id"), F.struct(F.size("attachments").alias("attachment_count"), "msg_seq"), F.col("received_at"), row_key=F.col("msg_seq"))
     logins = d.table(spark, sf, "orders")
     from_users = history.audit_rows(
         logins, F.lit("LOGIN_SUCCESS"), "user", F.concat(F.lit("user_"), F.col("o_custkey").cast("string")), F.struct("o_orderkey"), F.col("o_orderdate"),
-        actor_type=F.lit("user"), actor_id=F.col("o_custkey"), ip_address=F.concat(F.lit("10.0.0."), (F.col("o_custkey") % 250).cast("string")),
+        row_key=F.col("o_orderkey"), actor_type=F.lit("user"), actor_id=F.col("o_custkey"), ip_address=F.concat(F.lit("10.0.0."), (F.col("o_custkey") % 250).cast("string")),
     )
     return history.audit_log(from_changes, from_intake, from_users)
 

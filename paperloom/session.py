@@ -57,13 +57,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Redistribute a table that sits in fewer splits than there are cores (one small file, say), so that text work uses them
-    all. A table with enough splits, as any large one has, is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 _shipped: set[str] = set()
 
 

@@ -17,7 +17,6 @@ class Settings:
     gate_threshold: float = 0.70
     gate_cap: float = 0.90
     query_max_chars: int = 200
-    search_pool_max: int = 100
     semantic_threshold: float = 0.5
     hybrid_semantic_threshold: float = 0.3
     storage_semantic_threshold: float = 0.7
@@ -25,7 +24,6 @@ class Settings:
     rate_limit_attempts: int = 5
     rate_limit_window_seconds: int = 60
     embedding_dim: int = 768
-    dead_letter_chars: int = 2000
 
 
 DEFAULTS = Settings()

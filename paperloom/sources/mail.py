@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from email import message_from_bytes
-from email.header import decode_header, make_header
-from email.message import Message
+from email import message_from_bytes, policy
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -16,41 +14,27 @@ from paperloom.operators.intake import header_id, recipients
 from paperloom.schemas import MAIL
 
 
+HEADERS = {
+    "message_id": "Message-ID", "in_reply_to": "In-Reply-To", "references": "References", "subject": "Subject", "sender": "From", "to_header": "To", "cc_header": "Cc",
+}
+
+
 def scan_archive(spark: SparkSession, path: str, pattern: str = "*.eml") -> DataFrame:
     """(path, content) of the message files; large archives are split over tasks by size."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
     return reader.load(path).select("path", "content")
 
 
-def _header(message: Message, name: str) -> str:
-    raw = message.get(name)
-    return str(make_header(decode_header(str(raw)))).strip() if raw else ""
-
-
-def _text(part: Message) -> str:
-    payload = part.get_payload(decode=True) or b""
-    return payload.decode(part.get_content_charset() or "utf-8", errors="replace")
-
-
-def _parse(raw: bytes) -> dict:
-    """One message to a MAIL record (header clean-up and splitting follow as column expressions)."""
-    message = message_from_bytes(raw)
-    body, files = [], []
-    for part in message.walk():
-        placement = str(part.get("Content-Disposition", ""))
-        if part.get_content_type() == "text/plain" and "attachment" not in placement or not message.is_multipart():
-            body.append(_text(part))
-        name = part.get_filename()
-        if name and ("attachment" in placement or "inline" in placement):
-            content = part.get_payload(decode=True)
-            if content:
-                decoded = str(make_header(decode_header(name)))
-                files.append({"filename": decoded, "content_type": part.get_content_type(), "content": content})
-    return {
-        "message_id": _header(message, "Message-ID"), "in_reply_to": _header(message, "In-Reply-To"),
-        "references": str(message.get("References", "")).strip(), "subject": _header(message, "Subject") or "(no subject)",
-        "sender": _header(message, "From"), "to_header": str(message.get("To", "")), "cc_header": str(message.get("Cc", "")),
-        "body_text": "\n".join(t for t in body if t).strip(), "attachments": files, "parse_error": None,
+def read_message(raw: bytes) -> dict:
+    """A MAIL record of one message, as the standard library's current policy reads it: headers are decoded text, the body is the
+    plain-text body (or the only part there is), attachments are the named parts beside it that hold something."""
+    message = message_from_bytes(raw, policy=policy.default)
+    body = message.get_body(("plain",)) or (None if message.is_multipart() else message)
+    named = [(part, part.get_payload(decode=True)) for part in message.iter_attachments() if part.get_filename()]
+    text = {name: str(message[header] or "").strip() for name, header in HEADERS.items()}
+    return text | {
+        "subject": text["subject"] or "(no subject)", "body_text": body.get_content(errors="replace").strip() if body else "", "parse_error": None,
+        "attachments": [{"filename": p.get_filename(), "content_type": p.get_content_type(), "content": data} for p, data in named if data],
     }
 
 
@@ -64,9 +48,9 @@ def parse_mail(messages: DataFrame, keep: list[str] = ["path"]) -> DataFrame:  #
             records = []
             for raw in batch["content"]:
                 try:
-                    records.append(_parse(bytes(raw)))
+                    records.append(read_message(bytes(raw)))
                 except Exception as error:  # a broken message must not fail the task
-                    records.append(dict.fromkeys(MAIL.fieldNames()) | {"parse_error": str(error)[:500]})
+                    records.append(dict.fromkeys(MAIL.fieldNames()) | {"parse_error": str(error)})
             out = pd.DataFrame(records, columns=MAIL.fieldNames(), index=batch.index)
             for i, c in enumerate(keep):
                 out.insert(i, c, batch[c])

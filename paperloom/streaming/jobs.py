@@ -83,8 +83,7 @@ def extract_and_route(
         return df.select(F.lit(kind).alias("kind"), topic.alias("topic"), key.alias("key"), value.alias("value"), reason.alias("reason"), as_of.alias("at"))
 
     def dead(df: DataFrame, key: Column, reason: Column) -> DataFrame:
-        payload = F.substring("value", 1, settings.dead_letter_chars)
-        return outcome(df, "dead_letter", F.lit(DEAD_LETTER_TOPIC), key, payload, reason)
+        return outcome(df, "dead_letter", F.lit(DEAD_LETTER_TOPIC), key, F.col("value"), reason)
 
     no_reason = F.lit(None).cast("string")
     return (

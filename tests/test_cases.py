@@ -120,7 +120,7 @@ def test_status_and_trace(spark):
 
 
 def test_sanitiser(spark):
-    got = one(spark, text_search.sanitise, "", None, "hello\x00world\x1f!", "robert'); DROP", "machine    learning\n\nin   healthcare", "a" * 500, "   attention is all   ", "normal query")
+    got = one(spark, lambda c: text_search.sanitise(c, 200), "", None, "hello\x00world\x1f!", "robert'); DROP", "machine    learning\n\nin   healthcare", "a" * 500, "   attention is all   ", "normal query")
     assert got == ["", "", "hello world !", "robert') DROP", "machine learning in healthcare", "a" * 200, "attention is all", "normal query"]
 
 
@@ -145,10 +145,6 @@ def test_fusion(spark):
     assert [(r.paper_id, r.dominant_mode) for r in both] == [("b", "semantic"), ("a", "keyword"), ("c", "semantic")]
 
 
-def test_hybrid_pool():
-    assert (fusion.pool_size(20), fusion.pool_size(50)) == (60, 100)
-
-
 def gate(spark, papers, issues):
     p = spark.createDataFrame(papers, "paper_id int, department_code string, year int, status string")
     i = spark.createDataFrame(issues, "paper_id int, severity string, resolved_at string")

@@ -164,7 +164,8 @@ def test_exports(spark, tmp_path):
     back = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(str(tmp_path / "csv"))
     assert back.columns == facets.EXPORT_COLUMNS
     with pytest.raises(ValueError):
-        facets.export_rows(papers, 10_001)
+        facets.export_rows(papers, 0)
+    assert facets.export_rows(papers, None).count() == papers.filter("status = 'PUBLISHED'").count()
 
 
 def test_report_files_and_verification(spark, tmp_path):
