@@ -17,6 +17,8 @@ from paperloom.schemas import OPEN_STATUSES
 REPORT_COLUMNS = ["Title", "Authors", "Venue", "Year", "DOI", "Type", "Confidence", "Faculty Email"]
 EMPTY_CELL = "—"
 REPORT_PREFIX = {"NAAC_CRITERIA_III": "criteria_iii", "FACULTY_PROFILE": "faculty_profile"}
+PERSONAL = "FACULTY_PROFILE"
+NO_FACULTY = "a faculty profile needs a faculty_id"
 HASH_LANES = 4
 LANE_HEX = 15
 
@@ -162,6 +164,16 @@ def summaries(papers: DataFrame, keys: list[str] = ["department_code"]) -> DataF
 EMPTY_REPORT_CONTENT = "0:" + ":".join(["0"] * HASH_LANES)
 
 
+def faculty_requests(papers: DataFrame) -> DataFrame:
+    """A profile request for every faculty member and academic year that has papers."""
+    own = papers.filter(F.col("faculty_id").isNotNull()).select("department_code", "faculty_id", "year").distinct()
+    expanded = own.select("department_code", "faculty_id", F.explode(academic_years_of(F.col("year"))).alias("year_start")).distinct()
+    return expanded.select(
+        stable_id(F.lit(PERSONAL), F.col("department_code"), F.col("faculty_id"), F.col("year_start")).alias("report_id"),
+        F.lit(PERSONAL).alias("report_type"), "department_code", "faculty_id", "year_start", academic_label().alias("academic_year"),
+    )
+
+
 def department_requests(papers: DataFrame, report_type: str = "NAAC_CRITERIA_III") -> DataFrame:
     """A request for every department and academic year that has papers."""
     pairs = papers.select("department_code", "year").distinct()
@@ -175,42 +187,57 @@ def department_requests(papers: DataFrame, report_type: str = "NAAC_CRITERIA_III
 def run_reports(
     requests: DataFrame, papers: DataFrame, issues: DataFrame, generated_at: Column, bucket: str = "reports", extension: str = "csv"
 ) -> DataFrame:
-    """Manifest rows for all department requests: COMPLETED with totals and checksum, or FAILED with the gate's message."""
+    """Manifest rows for all requests: COMPLETED with totals and content hash, or FAILED with the gate's message.
+
+    A FACULTY_PROFILE request counts the papers of its own `faculty_id` in its department and years (a request without one
+    fails), every other type those of the department. The gate looks at the department either way. `content_sha256` is a hash of the
+    reported rows, not of a file; the files' own checksums come from `sinks.report_parts` once they are written.
+    """
     keys = ["department_code", "year_start"]
+    if "faculty_id" not in requests.columns:
+        requests = requests.withColumn("faculty_id", F.lit(None).cast(papers.schema["faculty_id"].dataType))
     gate = with_verdict(gate_counts(papers, issues)).select(*keys, "passed", "error_message")
-    totals = summaries(papers).drop("academic_year")
-    joined = requests.join(gate, keys, "left").join(totals, keys, "left")
-    passed = F.coalesce("passed", F.lit(True))
+    judged = requests.join(gate, keys, "left")
+    personal = F.col("report_type") == PERSONAL
+    of_faculty = judged.filter(personal).join(summaries(papers, ["department_code", "faculty_id"]).drop("academic_year"), [*keys, "faculty_id"], "left")
+    of_department = judged.filter(~personal).join(summaries(papers).drop("academic_year"), keys, "left")
+    joined = of_department.unionByName(of_faculty.select(*of_department.columns))
+    nobody = personal & F.col("faculty_id").isNull()
+    passed = F.coalesce("passed", F.lit(True)) & ~nobody
     path = F.concat(
         F.lit(f"s3://{bucket}/reports/"), F.col("department_code"), F.lit("/"), F.col("academic_year"), F.lit("/"),
         F.coalesce(*[F.when(F.col("report_type") == t, p) for t, p in REPORT_PREFIX.items()]), F.lit("_"),
+        F.coalesce(F.when(personal, F.concat(F.col("faculty_id").cast("string"), F.lit("_"))), F.lit("")),
         F.date_format(generated_at, "yyyyMMdd_HHmmss"), F.lit("." + extension),
     )
     return joined.select(
-        "report_id", "report_type", "department_code", "academic_year",
+        "report_id", "report_type", "department_code", "academic_year", "faculty_id",
         F.when(passed, "COMPLETED").otherwise("FAILED").alias("status"),
         F.when(passed, path).alias("s3_uri"),
-        F.when(passed, F.coalesce("checksum_sha256", sha256(F.lit(EMPTY_REPORT_CONTENT)))).alias("checksum_sha256"),
+        F.when(passed, F.coalesce("checksum_sha256", sha256(F.lit(EMPTY_REPORT_CONTENT)))).alias("content_sha256"),
         F.when(passed, F.coalesce("total_papers", F.lit(0))).alias("total_papers"),
         F.when(passed, F.coalesce("journal_count", F.lit(0))).alias("journal_count"),
         F.when(passed, F.coalesce("conference_count", F.lit(0))).alias("conference_count"),
-        "error_message",
+        F.when(nobody, NO_FACULTY).otherwise(F.col("error_message")).alias("error_message"),
     )
 
 
 def report_rows(papers: DataFrame, manifest: DataFrame, fmt: str = "xlsx") -> DataFrame:
-    """Cells of every completed department report, keyed by `report_id`.
+    """Cells of every completed report, keyed by `report_id`.
 
-    A paper is in two reports (both academic years of its year). The join key is (department, first year); the manifest side
-    has one row per report.
+    A paper is in two department reports (both academic years of its year) and in two profiles of its faculty member. The join
+    key is (department, first year), with the faculty member for profiles; the manifest side has one row per report.
     """
     done = manifest.filter(F.col("status") == "COMPLETED").select(
-        "report_id", "department_code", F.split_part("academic_year", F.lit("-"), F.lit(1)).cast("int").alias("year_start"), "academic_year"
+        "report_id", "report_type", "department_code", F.split_part("academic_year", F.lit("-"), F.lit(1)).cast("int").alias("year_start"),
+        "academic_year", F.col("faculty_id").alias("report_faculty"),
     )
     rows = papers.filter(F.col("status") == "PUBLISHED").withColumn("year_start", F.explode(academic_years_of(F.col("year"))))
-    return rows.join(done, ["department_code", "year_start"]).select(
-        "report_id", "department_code", "academic_year", "paper_id", *report_cells(fmt)
-    )
+    personal, keys = F.col("report_type") == PERSONAL, ["department_code", "year_start"]
+    of_department = rows.join(done.filter(~personal).drop("report_faculty"), keys)
+    of_faculty = rows.join(done.filter(personal).withColumnRenamed("report_faculty", "faculty_id"), [*keys, "faculty_id"])
+    shown = ["report_id", "department_code", "academic_year", "paper_id", *report_cells(fmt)]
+    return of_department.select(*shown).unionByName(of_faculty.select(*shown))
 
 
 def html_lines(cells: DataFrame) -> DataFrame:
@@ -221,9 +248,9 @@ def html_lines(cells: DataFrame) -> DataFrame:
     return cells.select("report_id", "department_code", "academic_year", "paper_id", "Year", "Title", line.alias("line"))
 
 
-def checksum_events(manifest: DataFrame, recorded_at: Column) -> DataFrame:
-    done = manifest.filter(F.col("status") == "COMPLETED")
-    return done.select(
+def checksum_events(files: DataFrame, recorded_at: Column) -> DataFrame:
+    """GENERATED rows for written files (`report_id`, `checksum_sha256`), as `sinks.report_checksums` gives them."""
+    return files.select(
         stable_id(F.lit("checksum"), F.col("report_id"), F.lit("GENERATED")).alias("checksum_id"), "report_id", "checksum_sha256",
         F.lit("GENERATED").alias("event_type"), recorded_at.alias("recorded_at"),
     )

@@ -170,6 +170,33 @@ def ttl_dedup(spark, sf):
     return accepted.select("user_id", "event_type", d.shown_time(F.col("ts")).alias("accepted_at"))
 
 
+@query("ttl_dedup_with_gaps", sql("""
+    SELECT event_id, CASE WHEN event_ts IS NULL THEN NULL ELSE NOT EXISTS (SELECT 1 FROM chain c WHERE c.accepted_id = event_id) END AS is_duplicate FROM gaps""", recursive=True, gaps="""
+    SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN user_id % 5 END AS k, CASE WHEN event_id % 11 <> 0 THEN ts END AS event_ts FROM events""", chain="""
+    SELECT k, arg_min(event_id, (event_ts, event_id)) AS accepted_id, min(event_ts) AS accepted_ts FROM gaps WHERE event_ts IS NOT NULL GROUP BY k
+    UNION ALL SELECT c.k, (SELECT arg_min(e.event_id, (e.event_ts, e.event_id)) FROM gaps e WHERE e.k IS NOT DISTINCT FROM c.k AND e.event_ts >= c.accepted_ts + INTERVAL 604800 SECOND),
+      (SELECT min(e.event_ts) FROM gaps e WHERE e.k IS NOT DISTINCT FROM c.k AND e.event_ts >= c.accepted_ts + INTERVAL 604800 SECOND) FROM chain c WHERE c.accepted_ts IS NOT NULL"""))
+def ttl_dedup_with_gaps(spark, sf):
+    """The gate over rows some of which have no key (a key of its own) or no time (not judged)."""
+    rows = d.table(spark, sf, "events").select(
+        "event_id", F.when(F.col("event_id") % 7 != 0, F.col("user_id") % 5).alias("k"), F.when(F.col("event_id") % 11 != 0, F.col("ts").cast("timestamp")).alias("event_ts"),
+    )
+    return dedup.flag_duplicates(rows, ["k"], "event_ts", "event_id", DEFAULTS.dedup_ttl_seconds).select("event_id", "is_duplicate")
+
+
+@query("rate_limit_with_gaps", """
+    SELECT event_id, k, n AS attempts, n <= 5 AS allowed, CASE WHEN n IS NOT NULL THEN greatest(0, 5 - n) END AS remaining FROM (
+      SELECT event_id, k, CASE WHEN t IS NOT NULL THEN count(*) OVER (PARTITION BY k, t IS NULL ORDER BY epoch_us(t) RANGE BETWEEN 21599999999 PRECEDING AND CURRENT ROW) END AS n
+      FROM (SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN user_id END AS k, CASE WHEN event_id % 5 <> 0 THEN ts END AS t FROM events))""")
+def rate_limit_with_gaps(spark, sf):
+    from paperloom.operators.history import rate_limited
+
+    rows = d.table(spark, sf, "events").select(
+        "event_id", F.when(F.col("event_id") % 7 != 0, F.col("user_id")).alias("k"), F.when(F.col("event_id") % 5 != 0, F.col("ts").cast("timestamp")).alias("t"),
+    )
+    return rate_limited(rows, ["k"], "t", window_seconds=6 * 3600).drop("t")
+
+
 RATE_SQL = f"""
     SELECT event_id, user_id, event_type, n AS attempts, n <= 5 AS allowed, greatest(0, 5 - n) AS remaining FROM (
       SELECT event_id, user_id, event_type, count(*) OVER (PARTITION BY user_id ORDER BY epoch_us(ts) RANGE BETWEEN 21599999999 PRECEDING AND CURRENT ROW) AS n FROM events)"""

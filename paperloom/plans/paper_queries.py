@@ -8,7 +8,9 @@ from paperloom.operators import facets, reports, suggest, text_search
 from paperloom.plans import derived as d
 from paperloom.plans.catalog import query
 from paperloom.plans.derived_sql import SETTLED, shown, sql
+from paperloom.session import scratch_path
 from paperloom.settings import DEFAULTS
+from paperloom.sources import sinks
 
 _BUCKET = "CASE WHEN overall_confidence < 0.5 THEN '0.0-0.5' WHEN overall_confidence < 0.7 THEN '0.5-0.7' WHEN overall_confidence < 0.9 THEN '0.7-0.9' ELSE '0.9-1.0' END"
 _FACETS = f"""
@@ -186,10 +188,10 @@ _TOTALS = f"""
 _ID = "regexp_replace(substr(sha256({c}), 1, 32), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5')"
 _REPORT_ID = _ID.format(c="concat_ws(chr(31), 'NAAC_CRITERIA_III', v.department_code, v.year_start)")
 _MANIFEST = f"""
-    SELECT {_REPORT_ID} AS report_id, 'NAAC_CRITERIA_III' AS report_type, v.department_code, v.academic_year,
+    SELECT {_REPORT_ID} AS report_id, 'NAAC_CRITERIA_III' AS report_type, v.department_code, v.academic_year, CAST(NULL AS BIGINT) AS faculty_id,
       CASE WHEN passed THEN 'COMPLETED' ELSE 'FAILED' END AS status,
       CASE WHEN passed THEN concat('s3://reports/reports/', v.department_code, '/', v.academic_year, '/criteria_iii_20240131_000000.csv') END AS s3_uri,
-      CASE WHEN passed THEN sha256(concat_ws(':', coalesce(total_papers, 0), coalesce(lane0, 0), coalesce(lane1, 0), coalesce(lane2, 0), coalesce(lane3, 0))) END AS checksum_sha256,
+      CASE WHEN passed THEN sha256(concat_ws(':', coalesce(total_papers, 0), coalesce(lane0, 0), coalesce(lane1, 0), coalesce(lane2, 0), coalesce(lane3, 0))) END AS content_sha256,
       CASE WHEN passed THEN coalesce(total_papers, 0) END AS total_papers, CASE WHEN passed THEN coalesce(journal_count, 0) END AS journal_count,
       CASE WHEN passed THEN coalesce(conference_count, 0) END AS conference_count, error_message
     FROM verdict v LEFT JOIN totals t ON t.department_code = v.department_code AND t.year_start = v.year_start"""
@@ -206,6 +208,39 @@ def report_jobs(spark, sf):
     return manifest(spark, sf)
 
 
+_FACULTY_JOBS = """
+    SELECT v.department_code, v.academic_year, y.faculty_id, CASE WHEN passed THEN 'COMPLETED' ELSE 'FAILED' END AS status,
+      CASE WHEN passed THEN concat('s3://reports/reports/', v.department_code, '/', v.academic_year, '/faculty_profile_', y.faculty_id, '_20240131_000000.csv') END AS s3_uri,
+      CASE WHEN passed THEN coalesce(t.n, 0) END AS total_papers, CASE WHEN passed THEN coalesce(t.j, 0) END AS journal_count, error_message
+    FROM (SELECT DISTINCT department_code, faculty_id, unnest([year - 1, year]) AS year_start FROM papers) y
+    JOIN verdict v ON v.department_code = y.department_code AND v.year_start = y.year_start
+    LEFT JOIN (SELECT department_code, faculty_id, year_start, count(*) AS n, count(*) FILTER (paper_type = 'journal') AS j
+      FROM (SELECT *, unnest([year - 1, year]) AS year_start FROM papers WHERE status = 'PUBLISHED') GROUP BY ALL) t
+      ON t.department_code = y.department_code AND t.faculty_id = y.faculty_id AND t.year_start = y.year_start"""
+
+
+@query("faculty_report_jobs", sql(_FACULTY_JOBS, "papers_raw", "issues", **_REPORT_CTES))
+def faculty_report_jobs(spark, sf):
+    """Profile jobs of every faculty member and academic year."""
+    papers = d.settled(d.papers(spark, sf))
+    rows = reports.run_reports(reports.faculty_requests(papers), papers, d.issues(spark, sf), d.as_of())
+    return rows.select("department_code", "academic_year", "faculty_id", "status", "s3_uri", "total_papers", "journal_count", "error_message")
+
+
+@query("report_files_verified", sql("""
+    SELECT DISTINCT m.report_id, m.department_code, m.academic_year, 'VERIFIED' AS event_type FROM manifest m JOIN papers p ON m.department_code = p.department_code AND m.status = 'COMPLETED'
+      AND p.year BETWEEN CAST(split_part(m.academic_year, '-', 1) AS INTEGER) AND CAST(split_part(m.academic_year, '-', 2) AS INTEGER)
+    WHERE p.status = 'PUBLISHED'""", "papers_raw", "issues", **_REPORT_CTES))
+def report_files_verified(spark, sf):
+    """Writes all report files, records the hashes of their bytes, reads them back and verifies them."""
+    jobs = manifest(spark, sf)
+    path = scratch_path(spark, "reports")
+    sinks.write_report_csv(reports.report_rows(d.settled(d.papers_with_authors(spark, sf)), jobs), path)
+    recorded = sinks.report_checksums(sinks.report_parts(spark, path))
+    checked = sinks.verify_reports(spark, path, recorded)
+    return checked.join(jobs.select("report_id", "department_code", "academic_year"), "report_id").select("report_id", "department_code", "academic_year", "event_type")
+
+
 @query("report_rows", sql("""
     SELECT m.report_id, m.department_code, m.academic_year, p.paper_id, title AS "Title", names.authors AS "Authors", coalesce(venue, '') AS "Venue",
       year AS "Year", coalesce(doi, '') AS "DOI", paper_type AS "Type", CAST(overall_confidence AS DOUBLE) AS "Confidence", faculty_email AS "Faculty Email"
@@ -243,9 +278,10 @@ def report_lifecycle(spark, sf):
 
 
 @query("report_checksum_events", sql("""
-    SELECT report_id, checksum_sha256, 'GENERATED' AS event_type FROM manifest WHERE status = 'COMPLETED'""", "papers_raw", "issues", **_REPORT_CTES))
+    SELECT report_id, content_sha256 AS checksum_sha256, 'GENERATED' AS event_type FROM manifest WHERE status = 'COMPLETED'""", "papers_raw", "issues", **_REPORT_CTES))
 def report_checksum_events(spark, sf):
-    return reports.checksum_events(manifest(spark, sf), d.as_of()).select("report_id", "checksum_sha256", "event_type")
+    done = manifest(spark, sf).filter("status = 'COMPLETED'").withColumnRenamed("content_sha256", "checksum_sha256")
+    return reports.checksum_events(done, d.as_of()).select("report_id", "checksum_sha256", "event_type")
 
 
 @query("checksum_verify", """

@@ -170,6 +170,22 @@ def versions_continued(spark, sf):
     return rows.select("paper_id", "change_seq", "version_number")
 
 
+@query("versions_with_gaps", """
+    SELECT event_id AS change_seq, paper_id, row_number() OVER w + coalesce(n, 0) AS version_number, coalesce(lag(event_type) OVER w, CASE WHEN n > 0 THEN 'stored' END) AS before_state FROM (
+      SELECT event_id, event_type, CASE WHEN event_id % 7 <> 0 THEN user_id END AS paper_id, CASE WHEN event_id % 5 <> 0 THEN ts END AS changed_at FROM events)
+    LEFT JOIN (SELECT o_custkey AS paper_id, count(*) AS n FROM orders GROUP BY ALL) USING (paper_id)
+    WINDOW w AS (PARTITION BY paper_id ORDER BY changed_at NULLS FIRST, event_id)""")
+def versions_with_gaps(spark, sf):
+    """Changes some of which have no time or no paper, after stored versions: none is lost."""
+    changes = d.table(spark, sf, "events").select(
+        F.when(F.col("event_id") % 7 != 0, F.col("user_id")).alias("paper_id"), F.when(F.col("event_id") % 5 != 0, F.col("ts").cast("timestamp")).alias("changed_at"),
+        F.col("event_id").alias("change_seq"), F.col("event_type").alias("state"),
+    )
+    stored = d.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("paper_id")).agg(F.count("*").alias("version_number")).withColumn("before", F.struct(F.lit("stored").alias("state")))
+    rows = history.versioned(changes, "paper_id", "changed_at", "change_seq", ["state"], existing_max=stored)
+    return rows.select("change_seq", "paper_id", "version_number", F.col("before.state").alias("before_state"))
+
+
 @query("latest_versions", sql("""
     SELECT paper_id, coalesce(n, 0) AS latest FROM papers LEFT JOIN (SELECT user_id AS paper_id, count(*) AS n FROM events GROUP BY ALL) USING (paper_id)""", "papers"))
 def latest_versions(spark, sf):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.functions.columns import dated_key, html_escape
@@ -68,6 +68,30 @@ def write_report_csv(cells: DataFrame, path: str) -> None:
     shaped.select("report_id", *[F.col(f"`{c}`") for c in REPORT_COLUMNS]).write.mode("overwrite").partitionBy("report_id").option("header", "true").csv(path)
 
 
+def report_parts(spark: SparkSession, path: str) -> DataFrame:
+    """(report_id, part, size_bytes, checksum_sha256) of every file that a report writer left below `path`, from the files' bytes."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
+    return files.select(
+        F.regexp_extract("path", "/report_id=([^/]+)/", 1).alias("report_id"), F.regexp_extract("path", "[^/]+$", 0).alias("part"),
+        F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("checksum_sha256"),
+    )
+
+
+def report_checksums(parts: DataFrame) -> DataFrame:
+    """(report_id, checksum_sha256): one hash a report, over its parts' names and hashes in order. The parts of a report are few."""
+    lines = F.sort_array(F.collect_list(F.concat_ws(" ", "part", "checksum_sha256")))
+    return parts.groupBy("report_id").agg(F.sha2(F.array_join(lines, "\n"), 256).alias("checksum_sha256"))
+
+
+def verify_reports(spark: SparkSession, path: str, recorded: DataFrame) -> DataFrame:
+    """(report_id, checksum_sha256, event_type) of every recorded report: VERIFIED if the files below `path` still have the recorded
+    hash, MISMATCH if they changed or are gone."""
+    now = report_checksums(report_parts(spark, path)).withColumnRenamed("checksum_sha256", "actual")
+    same = F.coalesce(F.col("actual") == F.col("checksum_sha256"), F.lit(False))
+    joined = recorded.select("report_id", "checksum_sha256").join(now, "report_id", "left")
+    return joined.select("report_id", "checksum_sha256", F.when(same, "VERIFIED").otherwise("MISMATCH").alias("event_type"))
+
+
 def write_report_html(cells: DataFrame, manifest: DataFrame, path: str) -> None:
     """Page form: a heading line per report, one line per paper, in order, below `report_id=...` folders."""
     rows = html_lines(cells).select("report_id", F.lit(1).alias("section"), "Year", "Title", "paper_id", "line")

@@ -181,11 +181,31 @@ def test_report_files_and_verification(spark, tmp_path):
     recorded = hashes.select(F.concat("report_id", F.lit("|"), "path").alias("report_id"), F.col("h").alias("checksum_sha256"))
     again = marked.select(F.concat("report_id", F.lit("|"), "path").alias("report_id"), "content")
     assert {r.event_type for r in reports.verify_checksums(again, recorded, d.as_of()).select("event_type").collect()} == {"VERIFIED"}
+    kept = [tuple(r) for r in sinks.report_checksums(sinks.report_parts(spark, str(tmp_path / "csv"))).collect()]
+    recorded = spark.createDataFrame(kept, "report_id string, checksum_sha256 string")
+    assert {r.event_type for r in sinks.verify_reports(spark, str(tmp_path / "csv"), recorded).collect()} == {"VERIFIED"}
+    part = next((tmp_path / "csv").glob("report_id=*/part-*"))
+    part.write_bytes(part.read_bytes() + b"x")
+    (part.parent / f".{part.name}.crc").unlink()
+    changed = [r.report_id for r in sinks.verify_reports(spark, str(tmp_path / "csv"), recorded).collect() if r.event_type == "MISMATCH"]
+    assert changed == [part.parent.name.removeprefix("report_id=")]
     html = spark.read.text(str(tmp_path / "html"))
     done = manifest.filter("status = 'COMPLETED'").count()
     assert html.filter(F.col("value").startswith("<h1>")).count() == done and html.count() == done + cells.count()
 
 
+def test_faculty_profiles_count_their_own_papers(spark):
+    papers = d.papers_with_authors(spark, SF).filter("status = 'PUBLISHED'")
+    asked = reports.faculty_requests(papers)
+    none = asked.limit(1).withColumn("faculty_id", F.lit(None).cast("bigint")).withColumn("report_id", F.lit("nobody"))
+    jobs = reports.run_reports(asked.unionByName(none), papers, d.issues(spark, SF).limit(0), d.as_of())
+    [lost] = jobs.filter("report_id = 'nobody'").collect()
+    assert lost.status == "FAILED" and lost.error_message == reports.NO_FACULTY
+    rows = reports.report_rows(papers, jobs).groupBy("report_id").count()
+    both = jobs.filter("status = 'COMPLETED'").join(rows, "report_id", "left").select("total_papers", F.coalesce("count", F.lit(0)).alias("n")).collect()
+    assert both and all(r.total_papers == r.n for r in both)
+
+
 def test_tables_round_trip(spark, tmp_path):
     base = str(tmp_path)
     flat = store_queries.flat_papers(spark, SF)
