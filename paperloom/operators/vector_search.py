@@ -71,34 +71,29 @@ def _block_scorer(ids: list, vectors: list[Sequence[float]], threshold: float, s
 
 
 def similarities(papers: DataFrame, queries: DataFrame, threshold: float, key: str = "paper_id") -> DataFrame:
-    """All (query_id, key, similarity) at or over `threshold`, exactly.
+    """All (query_id, key, similarity) at or over `threshold`, exactly; a query meets the papers whose vectors have its length.
 
-    Query vectors (`query_id`, `embedding`) are request data. They are read in blocks of at most QUERY_BLOCK and each block
-    makes one pass over the papers, so what is sent to the workers has a fixed bound whatever the number of requests.
+    Query vectors (`query_id`, `embedding`) are request data. They are read in blocks of about QUERY_BLOCK and each block makes
+    one pass over the papers of its length. A query without a vector finds nothing.
     """
-    block_ids = queries.groupBy().count().first()[0]
-    n_blocks = max(1, -(-block_ids // QUERY_BLOCK))
-    dim = queries.agg(F.max(F.size("embedding"))).first()[0] or 0
-    docs = papers.filter(F.col("embedding").isNotNull() & (F.size("embedding") == dim)).select(key, "embedding")
+    asked = queries.filter(F.size("embedding") > 0).withColumn("__dim", F.size("embedding"))
     schema = T.StructType([
         T.StructField("query_id", queries.schema["query_id"].dataType),
         T.StructField(key, papers.schema[key].dataType),
         T.StructField("similarity", T.DoubleType()),
     ])
-    if n_blocks == 1:
-        blocks = [queries]
-    else:
-        bucket = F.pmod(F.xxhash64("query_id"), F.lit(n_blocks * 2))
-        blocks = [queries.filter(bucket == b) for b in range(n_blocks * 2)]
-    out = None
-    for block in blocks:
-        rows = block.select("query_id", "embedding").toArrow().to_pylist()
-        for start in range(0, len(rows), QUERY_BLOCK):
-            part = rows[start:start + QUERY_BLOCK]
-            scorer = _block_scorer([r["query_id"] for r in part], [r["embedding"] for r in part], threshold, schema, key)
-            scored = docs.mapInArrow(scorer, schema)
-            out = scored if out is None else out.unionByName(scored)
-    return out if out is not None else papers.sparkSession.createDataFrame([], schema)
+    out = papers.sparkSession.createDataFrame([], schema)
+    for r in asked.groupBy("__dim").count().orderBy("__dim").collect():
+        docs = papers.filter(F.size("embedding") == r["__dim"]).select(key, "embedding")
+        n_blocks = -(-r["count"] // QUERY_BLOCK)
+        for b in range(n_blocks):
+            block = asked.filter((F.col("__dim") == r["__dim"]) & (F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == b))
+            rows = block.select("query_id", "embedding").toArrow().to_pylist()
+            for start in range(0, len(rows), QUERY_BLOCK):
+                part = rows[start:start + QUERY_BLOCK]
+                scorer = _block_scorer([q["query_id"] for q in part], [q["embedding"] for q in part], threshold, schema, key)
+                out = out.unionByName(docs.mapInArrow(scorer, schema))
+    return out
 
 
 def semantic_search(
