@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
+from paperloom.session import cut_lineage
+
 UPPER_TO_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 """Lower-cases A-Z in UTF-8 bytes and nothing else."""
 
@@ -18,6 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """`df` materialised in the shared folder, and the shuffle files behind it given up at once: Spark deletes them when the driver's
+    collector finds that nothing refers to them, which without a nudge can be long after."""
+    out = cut_lineage(df)
+    del df
+    out.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def text_bytes(text: str | None) -> bytes:
     """UTF-8 bytes of a text, null as empty; lone surrogates (which Spark strings can not hold) would become '?'."""
     return text.encode("utf-8", "replace") if text else b""

@@ -6,10 +6,11 @@
    bucket; buckets of one class end here.
 3. Inside a bucket, signatures are compared where the set sizes allow the similarity at all. A bucket of more than `block` classes
    is cut into blocks, and every two blocks meet in a group of their own: no group grows with the bucket.
-4. Pairs go out in rounds. In the first, each class names its most similar one and the bucket's most central class names all those
-   near it; in the next, each names its most similar one in another component found so far; in the last, all pairs of classes that
-   still are in different components go out. A group of n mutual copies thus gives about n pairs and not n squared, and no pair
-   that could join two components is left out.
+4. First a group sends a forest of its most similar pairs, fewer than it has classes. The pairs whose full shingle sets are similar
+   enough are links and give components so far. Then the classes of a group that still have a possible partner in another
+   component meet again, now with their full sets; all such pairs are checked exactly inside the task, and only links that join two
+   components go out. A group of n mutual copies thus gives about n pairs and not n squared, and no possible link that could join two
+   components is left out.
 5. A pair is a link only if the full shingle sets meet the similarity. Links give components.
 
 A pair at similarity s shares no bucket with probability (1 - s^rows)^bands: 5e-6 at 0.75 with the defaults. Signatures are trusted
@@ -19,14 +20,14 @@ down to `slack` below the wanted similarity (more than four standard deviations)
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import column, words_of
+from paperloom.llm.common import column, settled, words_of
 from paperloom.llm.components import connected_components
 from paperloom.session import cut_lineage
 
@@ -104,12 +105,12 @@ def crowded(classes: DataFrame) -> DataFrame:
     that the class is in; `second` says that it is of the block j of a group of two different blocks."""
     rows = classes.select("node", F.explode("buckets").alias("bucket"))
     full = cut_lineage(rows.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1"))
-    rows = cut_lineage(rows.join(full, "bucket"))
+    rows = rows.join(full, "bucket")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     rows = rows.select("bucket", "node", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     rows = rows.select("bucket", "node", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"))
-    return cut_lineage(rows.join(classes.select("node", F.col("n_shingles").alias("n"), "sketch"), "node"))
+    return settled(rows.join(classes.select("node", F.col("n_shingles").alias("n"), "sketch"), "node"))
 
 
 def similarities(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -120,66 +121,149 @@ def similarities(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (out / a.shape[1] - 1 / 256) / (1 - 1 / 256)
 
 
-def _pairs_of_group(n: np.ndarray, sketch: np.ndarray, part: np.ndarray, second: np.ndarray, everything: bool, first: bool) -> set[tuple[int, int]]:
-    """Pairs of rows worth verifying. `part` numbers the components so far."""
-    one_block = not second.any()
-    a = np.flatnonzero(~second)
-    b = a if one_block else np.flatnonzero(second)
-    if not len(a) or not len(b):
-        return set()
+class Parts:
+    """Disjoint sets of small numbers."""
+
+    def __init__(self, start: np.ndarray):
+        self.of = start.copy()
+
+    def join(self, x: int, y: int) -> bool:
+        """Whether x and y were apart until now."""
+        p, q = self.of[x], self.of[y]
+        if p == q:
+            return False
+        self.of[self.of == q] = p
+        return True
+
+
+def possible(n: np.ndarray, sketch: np.ndarray, a: np.ndarray, b: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Estimated similarity of rows a and b, 0 where they can not be a link that joins two parts."""
     s = similarities(sketch[a], sketch[b])
     lo, hi = np.minimum(n[a][:, None], n[b]), np.maximum(n[a][:, None], n[b])
-    s[(part[a][:, None] == part[b]) | (100 * lo < SIMILAR[0] * hi) | (s < SIMILAR[0] / SIMILAR[1] - SLACK)] = 0
-    if one_block:
-        np.fill_diagonal(s, 0)
-    if everything:
-        return {(int(a[x]), int(b[y])) for x, y in zip(*np.nonzero(np.triu(s) if one_block else s))}
-    out = set()
-    for x, y in enumerate(s.argmax(1)):
-        if s[x, y] > 0:
-            out.add((int(a[x]), int(b[y])))
-    if not one_block:
-        for y, x in enumerate(s.argmax(0)):
-            if s[x, y] > 0:
-                out.add((int(a[x]), int(b[y])))
-    elif first and len(a) > 2:
+    s[(part[a][:, None] == part[b]) | (SIMILAR[1] * lo < SIMILAR[0] * hi) | (s < SIMILAR[0] / SIMILAR[1] - SLACK)] = 0
+    return s
+
+
+def sides(second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows to compare with each other: two blocks, or one with itself."""
+    a, b = np.flatnonzero(~second), np.flatnonzero(second)
+    return (a, a) if not len(b) else (a, b)
+
+
+def forest(n: np.ndarray, sketch: np.ndarray, part: np.ndarray, second: np.ndarray) -> list[tuple[int, int]]:
+    """Each row's most similar partner and, in one block, the most central row with all near it, as far as they join parts."""
+    a, b = sides(second)
+    if not len(a) or not len(b):
+        return []
+    s = possible(n, sketch, a, b, part)
+    pairs = [(float(s[x, y]), int(a[x]), int(b[y])) for x, y in enumerate(s.argmax(1)) if s[x, y] > 0]
+    if a is b:
         centre = int(s.sum(1).argmax())
-        out |= {(int(a[centre]), int(b[y])) for y in np.flatnonzero(s[centre])}
+        rest = [(float(s[centre, y]), int(a[centre]), int(b[y])) for y in np.flatnonzero(s[centre])]
+    else:
+        rest = [(float(s[x, y]), int(a[x]), int(b[y])) for y, x in enumerate(s.argmax(0)) if s[x, y] > 0]
+    sets = Parts(part)
+    return [(x, y) for own in (pairs, rest) for _, x, y in sorted(own, key=lambda p: (-p[0], p[1], p[2])) if sets.join(x, y)]
+
+
+def joining_links(n: np.ndarray, sketch: np.ndarray, part: np.ndarray, second: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links between rows of different parts, exact, as many as it takes to join all parts that links join."""
+    a, b = sides(second)
+    if not len(a) or not len(b):
+        return []
+    s = possible(n, sketch, a, b, part)
+    everything = np.concatenate([sets[k] for k in b])
+    start = np.concatenate(([0], np.cumsum([len(sets[k]) for k in b])[:-1]))
+    now, out = Parts(part), []
+    for x in range(len(a)):
+        row = int(a[x])
+        open_ = np.flatnonzero((s[x] > 0) & (now.of[b] != now.of[row]))
+        if not len(open_):
+            continue
+        own = sets[row]
+        if 4 * len(open_) > len(b):
+            at = np.minimum(np.searchsorted(own, everything), len(own) - 1)
+            shared = np.add.reduceat((own[at] == everything).astype(np.int64), start)[open_]
+        else:
+            shared = np.array([len(np.intersect1d(own, sets[b[y]], assume_unique=True)) for y in open_])
+        link = SIMILAR[1] * shared >= SIMILAR[0] * (len(own) + n[b[open_]] - shared)
+        out += [(row, int(b[y])) for y in open_[link] if now.join(row, int(b[y]))]
     return out
 
 
-def candidates(members: DataFrame, everything: bool, first: bool) -> DataFrame:
-    """Distinct (a, b), a < b, out of `members` (with `part`), a group of two blocks at a time."""
-    rows = members.select("bucket", "i", "j", "second", "node", "n", "sketch", "part")
+GROUP = ("bucket", "i", "j")
+_MEMBER = "bucket long, i int, j int, second boolean, node binary, n long, sketch binary, part binary"
+
+
+def by_group(rows: DataFrame) -> DataFrame:
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grouped = rows.repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-
-    def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        if not table.num_rows:
-            return
-        keys = np.column_stack([table[c].to_numpy() for c in ("bucket", "i", "j")])
-        edge = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]).any(1), [True])))
-        nodes, own = table["node"].to_pylist(), table["part"].to_pylist()
-        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
-        n, second = table["n"].to_numpy(), table["second"].to_numpy(zero_copy_only=False)
-        found: set[tuple[bytes, bytes]] = set()
-        for lo, hi in zip(edge, edge[1:]):
-            group = own[lo:hi]
-            numbers: dict[bytes, int] = {}
-            part = np.array([numbers.setdefault(p, len(numbers)) for p in group])
-            if len(numbers) < 2:
-                continue
-            for x, y in _pairs_of_group(n[lo:hi], sketch[lo:hi], part, second[lo:hi], everything, first):
-                p, q = nodes[lo + x], nodes[lo + y]
-                found.add((p, q) if p < q else (q, p))
-        out = sorted(found)
-        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.binary()) for k in (0, 1)], names=["a", "b"])
+    return rows.repartition(parts, *GROUP).sortWithinPartitions(*GROUP)
+
+
+def _groups(table: pa.Table) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(from, to, n, sketch, part, second) of each group of the table that has two parts at least; parts as numbers."""
+    keys = np.column_stack([table[c].to_numpy() for c in GROUP])
+    edge = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]).any(1), [True])))
+    own = table["part"].to_pylist()
+    sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
+    n, second = table["n"].to_numpy(), table["second"].to_numpy(zero_copy_only=False)
+    for lo, hi in zip(edge, edge[1:]):
+        numbers: dict[bytes, int] = {}
+        part = np.array([numbers.setdefault(p, len(numbers)) for p in own[lo:hi]])
+        if len(numbers) > 1:
+            yield lo, hi, n[lo:hi], sketch[lo:hi], part, second[lo:hi]
+
+
+def _pair_batch(pairs: set[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    out = sorted((min(p), max(p)) for p in pairs)
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+
+def likely_pairs(members: DataFrame) -> DataFrame:
+    """Distinct (a, b), a < b: the forests of all groups of `members` (with `part`)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, ("bucket", "i", "j")):
-            yield from pairs(table)
+        sent: set[tuple[bytes, bytes]] = set()
+        for table in whole_groups(batches, GROUP):
+            nodes, found = table["node"].to_pylist(), set()
+            for lo, _, n, sketch, part, second in _groups(table):
+                found |= {(nodes[lo + x], nodes[lo + y]) for x, y in forest(n, sketch, part, second)}
+            yield _pair_batch(found - sent)
+            sent = sent | found if len(sent) < 200_000 else found
 
-    return grouped.mapInArrow(run, "a binary, b binary").distinct()
+    return by_group(members.select(*[f.split()[0] for f in _MEMBER.split(", ")])).mapInArrow(run, "a binary, b binary").distinct()
+
+
+def still_open(members: DataFrame) -> DataFrame:
+    """The rows of `members` that have a possible partner of another part in their group."""
+    names = [f.split()[0] for f in _MEMBER.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, GROUP):
+            keep = np.zeros(table.num_rows, bool)
+            for lo, _, n, sketch, part, second in _groups(table):
+                a, b = sides(second)
+                if len(a) and len(b):
+                    s = possible(n, sketch, a, b, part) > 0
+                    keep[lo + a] |= s.any(1)
+                    keep[lo + b] |= s.any(0)
+            yield from table.filter(pa.array(keep)).to_batches()
+
+    return by_group(members.select(*names)).mapInArrow(run, _MEMBER)
+
+
+def exact_links(rows: DataFrame) -> DataFrame:
+    """(a, b): links that join parts, from `rows` of groups with their `hashes`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, GROUP):
+            nodes, raw, found = table["node"].to_pylist(), table["hashes"].to_pylist(), set()
+            for lo, hi, n, sketch, part, second in _groups(table):
+                sets = [np.frombuffer(h, np.uint64) for h in raw[lo:hi]]
+                found |= {(nodes[lo + x], nodes[lo + y]) for x, y in joining_links(n, sketch, part, second, sets)}
+            yield _pair_batch(found)
+
+    return by_group(rows).mapInArrow(run, "a binary, b binary")
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
@@ -240,30 +324,29 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id (smallest id of its component), kept (it has that id), text_key.
 
     Null, empty and blank texts have no shingles and are linked with nothing: their component is their own id. A null id is never a
     component's smallest while another is there; where a component has null ids alone, its rows have a null component and are kept.
     Rows that repeat an id and a text share their fate. Extra columns are ignored; an empty table gives no rows."""
-    signed = cut_lineage(sign(docs, id_col, text_col))
+    signed = settled(sign(docs, id_col, text_col))
     some = signed.filter("node is not null")
-    classes = cut_lineage(some.groupBy("node").agg(
+    classes = settled(some.groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.min("text_key").alias("text_key"), F.min("n_shingles").alias("n_shingles"), F.min("sketch").alias("sketch"),
         F.first("buckets").alias("buckets"),
     ))
     members = crowded(classes)
     busy = members.select("node").distinct()
     wanted = classes.join(busy, "node", "left_semi").select("text_key")
-    sets = cut_lineage(shingle_sets(docs, text_col, wanted))
-    roots: DataFrame | None = None
-    found: DataFrame | None = None
-    for k in range(rounds + 1):
-        placed = members.withColumn("part", F.col("node")) if roots is None else _in_parts(members, roots)
-        pairs = cut_lineage(candidates(placed, everything=k == rounds, first=k == 0))
-        new = cut_lineage(links(pairs, sets))
-        found = new if found is None else found.unionByName(new)
-        roots = cut_lineage(connected_components(found))
+    sets = settled(shingle_sets(docs, text_col, wanted))
+    apart = members.withColumn("part", F.col("node"))
+    found = settled(links(settled(likely_pairs(apart)), sets))
+    roots = cut_lineage(connected_components(found))
+    parted = members.join(roots, "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root")
+    rest = settled(still_open(parted))
+    more = settled(exact_links(rest.join(sets, "node")))
+    roots = cut_lineage(connected_components(found.unionByName(more)))
     rooted = classes.select("node", "first_id").join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
     rooted = cut_lineage(rooted)
     smallest = cut_lineage(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")))
@@ -273,10 +356,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return linked.unionByName(alone)
 
 
-def _in_parts(members: DataFrame, roots: DataFrame) -> DataFrame:
-    return members.join(roots, "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root")
-
-
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that are kept, with their columns and nothing else."""
     gone = near_duplicates(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("__gone"), F.col("text_key").alias("__key")).distinct()
