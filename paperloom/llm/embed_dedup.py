@@ -1,17 +1,20 @@
 """Near-duplicate vectors by sorted projection passes.
 
 1. A vector becomes a unit vector in double precision. Vectors with one label and equal components are one class.
-2. In each pass, random hyperplanes give a class 63 sign bits; classes are ordered by (label, bits) and every class is compared, by
-   exact cosine, with the `window` before it in that order (and what else shares its stretch). Each task unites what it links and
-   sends one row a united class.
+2. Labels of more than `SIDE` classes go through sorted passes, which find the bulk of the links: around a centre of the label, random
+   hyperplanes give a class 63 sign bits; classes are ordered by (label, bits) and every class is compared, by exact cosine, with the
+   `window` before it in that order. Each task unites what it links and sends one row a united class.
 3. The passes' unions become components by large-star and small-star steps.
-4. Links are counted exactly inside each component: a vector is at some angle from the component's centre, and two angles whose sum
+4. The completion finds every link between different components that is left. A large label's classes go to the nearest of its pivots
+   (classes drawn by hash); a class meets all blocks of at most about `SIDE` classes that the triangle inequality of angles does not
+   rule out. A smaller label is one block. Compared by exact cosine, so components do not depend on what the passes found.
+5. Links are counted exactly inside each component: a vector is at some angle from the component's centre, and two angles whose sum
    is below the wanted one make a link for certain, so that in a tight component nothing is compared. The rest is compared with the
    whole component in groups of two bounded blocks.
 
-A pass finds a pair at the threshold if the bits that order the neighbourhood agree; the number of passes is set from the size of the
-largest label so that such a pair is missed in all of them once in a thousand. Closer pairs are missed far less, and a pair missed by
-all passes is still counted when other links join its component.
+The number of passes is set from the sign bits' measured balance and the centred vectors' lengths, up to `MAX_PASSES`; it says how much
+is left to the completion and never what is found. Where vectors are spread so wide that no block can be ruled out, the completion
+compares all blocks of a label.
 """
 
 from __future__ import annotations
@@ -33,8 +36,13 @@ from paperloom.session import cut_lineage
 COSINE = 0.93
 WINDOW = 32
 BLOCK = 1024
+SIDE = 8192
+"""Classes of a label up to which it is compared as one block."""
+MAX_PASSES = 32
 _MARGIN = 1e-9
 """Angles this near the limit are not taken as certain."""
+_ANGLE_MARGIN = 1e-6
+"""What rounding can take from an angle that is computed from a cosine near one."""
 
 
 def unit(values: list | None) -> np.ndarray | None:
@@ -71,17 +79,28 @@ def units(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> D
     return sent.mapInArrow(run, schema)
 
 
-def passes_for(members: int, window: int, cosine: float, missed: float = 1e-3) -> int:
-    """Passes after which a pair at the threshold is missed with probability `missed`, among `members` vectors of a label."""
-    bits = max(0.0, math.log2(max(members, 1) / (2 * window))) + 1
-    found = (1 - math.acos(cosine) / math.pi) ** bits
-    return max(4, math.ceil(math.log(missed) / math.log(1 - min(found, 0.999))))
+def passes_for(sample: np.ndarray, members: int, window: int, cosine: float, missed: float = 1e-3) -> int:
+    """Passes after which a pair at the threshold is missed with probability `missed`, among `members` vectors of a label, as far as
+    `sample` shows it: bits are counted by how far each halves the sample, and a pair's angle is that around the sample's centre."""
+    centred = sample - sample.mean(0)
+    length = math.sqrt((centred**2).sum(1).mean())
+    share = (centred @ _planes(0, sample.shape[1]) > 0).mean(0)
+    kept = float((share**2 + (1 - share) ** 2).mean())
+    if length == 0 or kept > 0.999:
+        return MAX_PASSES
+    bits = max(0.0, math.log(max(members, 1) / (2 * window)) / -math.log(kept)) + 1
+    chord = math.sqrt(max(0.0, 2 - 2 * cosine))
+    found = (1 - 2 * math.asin(min(1.0, chord / (2 * length))) / math.pi) ** bits
+    return min(MAX_PASSES, max(4, math.ceil(math.log(missed) / math.log(1 - min(max(found, 1e-9), 0.999)))))
+
+
+def _planes(number: int, dims: int) -> np.ndarray:
+    return np.random.default_rng((977, number, dims)).standard_normal((dims, 63))
 
 
 def sort_keys(u: np.ndarray, number: int) -> np.ndarray:
     """63 sign bits of random projections as a non-negative integer; the same for a pass whatever the task."""
-    planes = np.random.default_rng((977, number, u.shape[1])).standard_normal((u.shape[1], 63))
-    return ((u @ planes > 0) @ (np.int64(1) << np.arange(62, -1, -1, dtype=np.int64))).astype(np.int64)
+    return ((u @ _planes(number, u.shape[1]) > 0) @ (np.int64(1) << np.arange(62, -1, -1, dtype=np.int64))).astype(np.int64)
 
 
 class Union:
@@ -105,16 +124,35 @@ class Union:
             self.above[max(x, y)] = min(x, y)
 
 
-def united(classes: DataFrame, passes: int, window: int, cosine: float, step: int = 256) -> DataFrame:
-    """(a, b): classes and what stands for them in their task's union, over all passes."""
+def by_kind(batch: pa.RecordBatch, label: int, dims: int) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
+    """The batch's rows for each (label, dims); `label` and `dims` are column numbers."""
+    places: dict[tuple[str, int], list[int]] = {}
+    for k, kind in enumerate(zip(batch.column(label).to_pylist(), batch.column(dims).to_pylist())):
+        places.setdefault(kind, []).append(k)
+    for kind, rows in places.items():
+        yield kind, batch.take(pa.array(rows))
+
+
+def drawn_sample(large: DataFrame) -> dict[tuple[str, int], np.ndarray]:
+    """Unit vectors of about eight classes in `SIDE` for each (label, dims), drawn by the classes' hashes."""
+    drawn = large.filter(F.pmod(F.xxhash64("node"), F.lit(max(1, SIDE // 8))) == 0).select("label", "dims", "unit")
+    out: dict[tuple[str, int], list[np.ndarray]] = {}
+    for r in drawn.toLocalIterator():
+        out.setdefault((r["label"], r["dims"]), []).append(np.frombuffer(r["unit"]))
+    return {kind: np.array(rows) for kind, rows in out.items()}
+
+
+def united(classes: DataFrame, passes: dict[tuple[str, int], int], window: int, cosine: float, centre, step: int = 256) -> DataFrame:
+    """(a, b): classes and what stands for them in their task's union, over the passes of each (label, dims). `centre`: a broadcast of
+    each label's centre."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            dims = batch.column(2).to_numpy()
-            for d in np.unique(dims):
-                own = batch.filter(pa.array(dims == d))
-                u = np.frombuffer(b"".join(own.column(3).to_pylist())).reshape(-1, d)
-                for p in range(passes):
+            for kind, own in by_kind(batch, 1, 2):
+                u = np.frombuffer(b"".join(own.column(3).to_pylist())).reshape(-1, kind[1])
+                if kind in centre.value:
+                    u = u - centre.value[kind]
+                for p in range(passes.get(kind, 4)):
                     columns = [pa.array(np.full(len(u), p, np.int32)), *own.columns, pa.array(sort_keys(u, p))]
                     yield pa.RecordBatch.from_arrays(columns, names=["pass", "node", "label", "dims", "unit", "key"])
 
@@ -149,6 +187,109 @@ def united(classes: DataFrame, passes: int, window: int, cosine: float, step: in
     return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(compare, "a binary, b binary")
 
 
+def placed_classes(large: DataFrame, pivots) -> DataFrame:
+    """Adds `cell` and `angle`: the nearest pivot of the class's label and the angle to it."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for kind, own in by_kind(batch, 1, 2):
+                u = np.frombuffer(b"".join(own.column(3).to_pylist())).reshape(-1, kind[1])
+                cell, angle = np.zeros(len(u), np.int32), np.full(len(u), math.pi)
+                if kind in pivots.value:
+                    p = pivots.value[kind]
+                    step = max(1, 4_000_000 // len(p))
+                    for k in range(0, len(u), step):
+                        near = u[k : k + step] @ p.T
+                        cell[k : k + step] = near.argmax(1)
+                        angle[k : k + step] = np.arccos(np.clip(near.max(1), -1, 1))
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(cell), pa.array(angle)], names=["node", "label", "dims", "unit", "root", "cell", "angle"])
+
+    sent = large.select("node", "label", "dims", "unit", "root")
+    return sent.mapInArrow(place, "node binary, label string, dims int, unit binary, root binary, cell int, angle double")
+
+
+def cell_table(placed: DataFrame, pivots: dict[tuple[str, int], np.ndarray]) -> dict[tuple[str, int], tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each (label, dims): the cells' widest angles, how many blocks each has and its first block's number."""
+    out = {}
+    for r in placed.groupBy("label", "dims", "cell").agg(F.max("angle").alias("widest"), F.count("*").alias("n")).toLocalIterator():
+        kind = (r["label"], r["dims"])
+        cells = len(pivots.get(kind, (0,)))
+        widest, parts, _ = out.setdefault(kind, (np.full(cells, -10.0), np.zeros(cells, np.int64), np.zeros(cells, np.int64)))
+        widest[r["cell"]], parts[r["cell"]] = r["widest"], -(-r["n"] // SIDE)
+    return {kind: (widest, parts, np.cumsum(parts) - parts) for kind, (widest, parts, _) in out.items()}
+
+
+def completing_links(small: DataFrame, placed: DataFrame, pivots, cells, cosine: float, step: int = 512) -> DataFrame:
+    """(a, b): components that links join, over all pairs of classes with one label. `small`: node, label, dims, unit, root of labels that
+    are one block; `placed`: `placed_classes` of the others; `pivots` and `cells`: broadcasts of what belongs to them."""
+    limit = math.acos(cosine) + _ANGLE_MARGIN
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for kind, rows in by_kind(batch, 1, 2):
+                widest, parts, first = cells.value[kind]
+                block_cell = np.repeat(np.arange(len(parts)), parts)
+                for k in range(0, rows.num_rows, chunk := max(1, 4_000_000 // max(1, len(block_cell)))):
+                    some = rows.slice(k, chunk)
+                    cell = some.column(5).to_numpy()
+                    spread = np.array([int.from_bytes(n[:6], "big") for n in some.column(0).to_pylist()])
+                    own = first[cell] + spread % parts[cell]
+                    reach = np.ones((len(cell), len(parts)), bool)
+                    if kind in pivots.value:
+                        u = np.frombuffer(b"".join(some.column(3).to_pylist())).reshape(-1, kind[1])
+                        reach = np.arccos(np.clip(u @ pivots.value[kind].T, -1, 1)) <= widest + limit
+                        reach[np.arange(len(cell)), cell] = True
+                    x, block = np.nonzero(reach[:, block_cell])
+                    for i in range(0, len(x), 20_000):
+                        at, other = x[i : i + 20_000], block[i : i + 20_000]
+                        taken = some.select(["node", "label", "dims", "unit", "root"]).take(pa.array(at))
+                        mine = own[at]
+                        yield pa.RecordBatch.from_arrays(
+                            [*taken.columns, pa.array(np.minimum(mine, other)), pa.array(np.maximum(mine, other)), pa.array(mine <= other)],
+                            names=["node", "label", "dims", "unit", "root", "i", "j", "first"],
+                        )
+
+    schema = "node binary, label string, dims int, unit binary, root binary, i long, j long, first boolean"
+    alone = small.select("node", "label", "dims", "unit", "root", F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j"), F.lit(True).alias("first"))
+    rows = alone.unionByName(placed.mapInArrow(send, schema)).withColumn("bucket", F.xxhash64("label", "dims"))
+    parts = int(small.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grouped = rows.repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ("bucket", "i", "j")):
+            groups: dict[tuple, list[int]] = {}
+            for k, key in enumerate(zip(*(table[c].to_pylist() for c in ("label", "dims", "i", "j")))):
+                groups.setdefault(key, []).append(k)
+            raw, root, first = table["unit"].to_pylist(), table["root"].to_pylist(), table["first"].to_pylist()
+            pairs: list[tuple[bytes, bytes]] = []
+            for (_, _, i, j), rows in groups.items():
+                q, r = [k for k in rows if first[k]], rows if i == j else [k for k in rows if not first[k]]
+                pairs += joined_roots(*([np.frombuffer(b"".join(raw[k] for k in side)).reshape(len(side), -1) for side in (q, r)] if q and r else (None, None)),
+                                      [root[k] for k in q], [root[k] for k in r], cosine, step)
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+    return grouped.select("bucket", "label", "dims", "i", "j", "first", "root", "unit").mapInArrow(compare, "a binary, b binary")
+
+
+def joined_roots(u: np.ndarray | None, v: np.ndarray | None, of_u: list[bytes], of_v: list[bytes], cosine: float, step: int) -> list[tuple[bytes, bytes]]:
+    """Pairs of components that some link between a row of `u` and one of `v` joins, one for each component that is not the last of its set."""
+    if u is None:
+        return []
+    names = sorted({*of_u, *of_v})
+    if len(names) == 1:
+        return []
+    number = {n: k for k, n in enumerate(names)}
+    now = np.arange(len(names))  # the set of each component
+    mine, others = np.array([number[n] for n in of_u]), np.array([number[n] for n in of_v])
+    for k in range(0, len(u), step):
+        near = u[k : k + step] @ v.T >= cosine
+        for x in np.flatnonzero((near & (now[mine[k : k + step]][:, None] != now[others][None, :])).any(1)):
+            sets = np.unique(np.append(now[others[near[x]]], now[mine[k + x]]))
+            if len(sets) > 1:
+                now[np.isin(now, sets)] = sets[0]
+    return [(names[k], names[n]) for k, n in enumerate(now) if k != n]
+
+
 def centres(members: DataFrame) -> DataFrame:
     """(root, centre): the sum of a component's unit vectors, added up in the tasks first."""
 
@@ -240,9 +381,22 @@ def near_vectors(
     classes = cut_lineage(some.groupBy("node").agg(
         F.count("*").alias("size"), F.min("vec_id").alias("first_id"), F.min("label").alias("label"), F.min("dims").alias("dims"), F.min("unit").alias("unit"),
     ))
-    largest = classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    pairs = cut_lineage(united(classes, passes_for(largest, window, cosine), window, cosine))
-    roots = cut_lineage(connected_components(pairs))
+    spark = vectors.sparkSession
+    counts = cut_lineage(classes.groupBy("label", "dims").agg(F.count("*").alias("n")).filter(F.col("n") > SIDE))
+    large, small = (classes.join(counts.select("label", "dims"), ["label", "dims"], how) for how in ("left_semi", "left_anti"))
+    known = drawn_sample(large)
+    members_of = {(r["label"], r["dims"]): r["n"] for r in counts.toLocalIterator()} if known else {}
+    passes = {kind: passes_for(sample, members_of[kind], window, cosine) for kind, sample in known.items()}
+    centre = spark.sparkContext.broadcast({kind: sample.mean(0) for kind, sample in known.items()})
+    few = {kind: sample[: max(1, len(sample) // 8)] for kind, sample in known.items()}
+    pivots = spark.sparkContext.broadcast(few)
+    pairs = cut_lineage(united(large, passes, window, cosine, centre))
+    found = cut_lineage(connected_components(pairs))
+    rooted = large.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = cut_lineage(placed_classes(rooted, pivots))
+    cells = spark.sparkContext.broadcast(cell_table(placed, few))
+    left = cut_lineage(completing_links(small.withColumn("root", F.col("node")), placed, pivots, cells, cosine))
+    roots = cut_lineage(connected_components(pairs.unionByName(left)))
     members = cut_lineage(classes.join(roots, "node").select("root", "node", "size", "unit"))
     linked = cut_lineage(link_counts(members, cosine))
     rooted = classes.select("node", "first_id", "size").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

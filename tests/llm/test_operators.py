@@ -241,6 +241,32 @@ def test_vectors_with_null_ids_and_no_vectors(spark):
     assert embed_dedup.near_vectors(spark.createDataFrame([], schema)).count() == 0
 
 
+def uncentred_rows(n=600, dims=24, planted=60):
+    """Vectors that share a direction (median cosine about 0.8) and planted pairs a little over the threshold, which no third links."""
+    rng = np.random.default_rng(11)
+    shared = rng.standard_normal(dims)
+    base = shared / np.linalg.norm(shared) * 2 + rng.standard_normal((n, dims)) / math.sqrt(dims)
+    rows = [v / np.linalg.norm(v) for v in base]
+    for k in range(planted):
+        side = rng.standard_normal(dims)
+        side -= side @ rows[k] * rows[k]
+        rows.append(0.935 * rows[k] + math.sqrt(1 - 0.935**2) * side / np.linalg.norm(side))
+    return rows
+
+
+@pytest.mark.parametrize("side", [4096, 64])
+def test_no_pair_depends_on_the_passes(spark, monkeypatch, side):
+    monkeypatch.setattr(embed_dedup, "SIDE", side)
+    monkeypatch.setattr(embed_dedup, "MAX_PASSES", 1)
+    rows = [embed_dedup.unit(v.tolist()) for v in uncentred_rows()]
+    near = np.array(rows) @ np.array(rows).T >= 0.93
+    links = [(int(a), int(b)) for a, b in zip(*np.nonzero(near)) if a < b]
+    root = components(len(rows), links)
+    df = spark.createDataFrame([(k, v.tolist(), "one") for k, v in enumerate(rows)], "vec_id long, embedding array<double>, label string")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embed_dedup.near_vectors(df, window=1).collect()}
+    assert got == {k: (int(near[k].sum()) - 1, root[k]) for k in range(len(rows))}
+
+
 # Packing ----------------------------------------------------------------------------------------------------------------------
 
 def test_encoder_equals_the_library():
