@@ -126,7 +126,8 @@ def malware_metric(spark, sf):
 
 
 def rendered_mail(spark, sf):
-    """Messages rendered as RFC 822 bytes, with a base64 text part and a base64 attachment where there is one."""
+    """Messages rendered as RFC 822 bytes, with a base64 text part and a base64 attachment where there is one. In every third message they
+    stand one level deeper."""
     def b64(c):
         return F.base64(F.encode(c, "utf-8"))
 
@@ -141,7 +142,9 @@ def rendered_mail(spark, sf):
         F.lit(f"--cut{crlf}Content-Type: application/pdf{crlf}Content-Disposition: attachment; filename=\""), name,
         F.lit(f"\"{crlf}Content-Transfer-Encoding: base64{crlf}{crlf}"), b64(F.concat(F.lit("file"), F.col("msg_seq").cast("string"))), F.lit(crlf),
     )
-    whole = F.concat(head, text, F.coalesce(file_part, F.lit("")), F.lit(f"--cut--{crlf}"))
+    parts = F.concat(text, F.coalesce(file_part, F.lit("")), F.lit(f"--cut--{crlf}"))
+    deeper = F.concat(F.lit(f"--cut{crlf}Content-Type: multipart/mixed; boundary=deep{crlf}{crlf}"), F.replace(parts, F.lit("--cut"), F.lit("--deep")), F.lit(f"--cut--{crlf}"))
+    whole = F.concat(head, F.when(F.col("msg_seq") % 3 == 0, deeper).otherwise(parts))
     return d.messages(spark, sf).select("msg_seq", F.encode(whole, "utf-8").alias("content"))
 
 

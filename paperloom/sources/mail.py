@@ -25,15 +25,26 @@ def scan_archive(spark: SparkSession, path: str, pattern: str = "*.eml") -> Data
     return reader.load(path).select("path", "content")
 
 
+def part_text(part) -> str:
+    """The decoded text of a part; UTF-8 where it names no character set or an unknown one."""
+    data = part.get_payload(decode=True) or b""
+    try:
+        return data.decode(part.get_content_charset() or "utf-8", errors="replace")
+    except LookupError:
+        return data.decode("utf-8", errors="replace")
+
+
 def read_message(raw: bytes) -> dict:
-    """A MAIL record of one message, as the standard library's current policy reads it: headers are decoded text, the body is the
-    plain-text body (or the only part there is), attachments are the named parts beside it that hold something."""
+    """A MAIL record of one message, as the standard library's current policy reads it: headers are decoded text, the body is all
+    plain-text parts at any depth that are no attachments (or the only part there is), joined by line ends, and attachments are the named
+    parts at any depth that hold something. A named text/plain part needs a disposition to count as an attachment."""
     message = message_from_bytes(raw, policy=policy.default)
-    body = message.get_body(("plain",)) or (None if message.is_multipart() else message)
-    named = [(part, part.get_payload(decode=True)) for part in message.iter_attachments() if part.get_filename()]
+    parts = [(part, part.get_content_type(), part.get_content_disposition()) for part in message.walk() if not part.is_multipart()]
+    texts = [part_text(p) for p, kind, how in parts if not message.is_multipart() or (kind == "text/plain" and how != "attachment")]
+    named = [(p, p.get_payload(decode=True)) for p, kind, how in parts if p.get_filename() and (how in ("attachment", "inline") or (not how and kind != "text/plain"))]
     text = {name: str(message[header] or "").strip() for name, header in HEADERS.items()}
     return text | {
-        "subject": text["subject"] or "(no subject)", "body_text": body.get_content(errors="replace").strip() if body else "", "parse_error": None,
+        "subject": text["subject"] or "(no subject)", "body_text": "\n".join(t for t in texts if t).strip(), "parse_error": None,
         "attachments": [{"filename": p.get_filename(), "content_type": p.get_content_type(), "content": data} for p, data in named if data],
     }
 

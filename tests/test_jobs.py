@@ -232,6 +232,28 @@ def test_mail_archive(spark, tmp_path):
     assert [(a.filename, bytes(a.content)) for a in reply.attachments] == [("f.pdf", b"BYTES")]
 
 
+def test_nested_mail():
+    def multipart(kind, *parts):
+        cut = f"b{len(''.join(parts))}"
+        return f"Content-Type: multipart/{kind}; boundary={cut}\r\n\r\n" + "".join(f"--{cut}\r\n{p}\r\n" for p in parts) + f"--{cut}--\r\n"
+
+    def text(t, extra=""):
+        return f"Content-Type: text/plain\r\n{extra}\r\n{t}"
+
+    def pdf(name, how="attachment"):
+        return f"Content-Type: application/pdf\r\nContent-Disposition: {how}; filename={name}\r\n\r\n{name}"
+
+    for message, body, names in (
+        (multipart("signed", multipart("mixed", text("one"), pdf("paper.pdf")), "Content-Type: application/pgp-signature\r\n\r\nsig"), "one", ["paper.pdf"]),
+        (multipart("mixed", multipart("mixed", text("one"), pdf("a.pdf"), text("two")), text("three"), pdf("b.pdf", "inline")), "one\ntwo\nthree", ["a.pdf", "b.pdf"]),
+        (multipart("alternative", text("one"), multipart("mixed", "Content-Type: text/html\r\n\r\n<p>one</p>", pdf("mac.pdf"))), "one", ["mac.pdf"]),
+        (multipart("mixed", text("one"), text("notes", "Content-Disposition: attachment; filename=n.txt\r\n")), "one", ["n.txt"]),
+        ("Content-Type: text/html\r\n\r\n<p>one</p>", "<p>one</p>", []),
+    ):
+        got = mail.read_message(f"Message-ID: <x@y>\r\nMIME-Version: 1.0\r\n{message}".encode())
+        assert (got["body_text"], [a["filename"] for a in got["attachments"]]) == (body, names)
+
+
 def test_registry_dump(spark, tmp_path):
     d.registry_works(spark, SF).write.json(str(tmp_path / "works"))
     assert registry.read_registry(spark, str(tmp_path / "works")).count() == d.registry_works(spark, SF).count()
