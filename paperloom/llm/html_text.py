@@ -23,6 +23,11 @@ _TAG = re.compile(
 )
 # Elements whose content never is page text, up to their end tag.
 _OPAQUE = frozenset("script style noscript title textarea iframe template svg math select button object".split())
+# Those whose content is no markup; an unclosed one lasts to the end of the page.
+_RAW = frozenset("script style title textarea iframe".split())
+_END_TAGS = re.compile(r"</([a-z][^\s/>]*)", re.IGNORECASE | re.ASCII)
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.IGNORECASE | re.ASCII) for name in _RAW}
+_UNQUOTED_SLASH = re.compile(r"""=\s*[^\s"'=]+/\Z""")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head "
@@ -78,6 +83,41 @@ def _marks(name: str, attributes: str) -> tuple[bool, bool]:
     return article, hinted
 
 
+def _self_closed(name: str, attributes: str) -> bool:
+    return name in ("svg", "math") and attributes.endswith("/") and not _UNQUOTED_SLASH.search(attributes)
+
+
+def _raw_end(page: str, name: str, pos: int) -> int:
+    end = _RAW_END[name].search(page, pos)
+    return end.start() if end else len(page)
+
+
+def _opaque_end(page: str, name: str, pos: int, opened: set[str], last_end: dict[str, int]) -> int:
+    """Where the content of an opaque element that begins at `pos` ends. If its own end tag does not stand before that of an element around
+    it (`opened`), nothing is taken as its content, so that no text is lost. `last_end`: where each name's last end tag stands."""
+    if name in _RAW:
+        return _raw_end(page, name, pos)
+    begin = pos
+    if last_end.get(name, -1) < pos:
+        return begin
+    depth: dict[str, int] = {}
+    while match := _TAG.search(page, pos):
+        pos = match.end()
+        inner, closing = (match[2] or "").lower(), bool(match[1])
+        if inner in _RAW and not closing:
+            pos = _raw_end(page, inner, pos)
+        elif inner == name or inner in opened:
+            if not closing:
+                if inner == name and name in ("button", "select"):  # does not nest: the one before was never closed
+                    return begin
+                depth[inner] = depth.get(inner, 0) + (not _self_closed(inner, match[3]))
+            elif depth.get(inner, 0):
+                depth[inner] -= 1
+            else:
+                return match.start() if inner == name else begin
+    return begin
+
+
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order. Unclosed and wrongly nested tags are taken as browsers do for the usual cases: a block-level
     tag ends an open paragraph, an end tag closes all that was opened inside its element, one without a start is ignored."""
@@ -87,7 +127,7 @@ def blocks(page: str) -> list[Block]:
     pieces: list[str] = []
     links: list[str] = []
     in_link = 0
-    pos, low = 0, None
+    pos, last_end = 0, None
 
     def finish() -> None:
         nonlocal pieces, links
@@ -115,10 +155,10 @@ def blocks(page: str) -> list[Block]:
             continue
         name, closing = name.lower(), bool(match[1])
         if name in _OPAQUE:
-            if not closing:
-                low = page.lower() if low is None else low
-                end = low.find(f"</{name}", pos)
-                pos = len(page) if end < 0 else end
+            if not closing and not _self_closed(name, match[3]):
+                if last_end is None and name not in _RAW:
+                    last_end = {m[1].lower(): m.start() for m in _END_TAGS.finditer(page)}
+                pos = _opaque_end(page, name, pos, {s[0] for s in stack}, last_end)
             pieces.append(" ")
             continue
         if name == "a":

@@ -405,6 +405,19 @@ def test_main_text(page, text):
     assert html_text.main_text(page, TREE) == text
 
 
+ARTICLE = " ".join(f"word{k}" for k in range(60))
+
+
+@pytest.mark.parametrize("before", [
+    "<svg viewBox='0 0 1 1'/>", "<math/>", "<p>Share <button>OK</p>", "<div><select><option>a</div>", "<div><object data=x></div>", "<noscript>", "<button>",
+    "<svg><svg/><text>no</text></svg>", "<p>" + "\u0130" * 80 + "</p><script>let a = 1</script>",
+])
+def test_opaque_elements_end(before):
+    page = f"<body>{before}<p>{ARTICLE}</p><p>{ARTICLE}</p><svg></svg></body>"
+    texts = [b.text for b in html_text.blocks(page)]
+    assert " ".join(texts).count(ARTICLE) == 2 and not any(x in " ".join(texts) for x in ("let a", "script", "no<"))
+
+
 def test_tree_fits_its_table():
     x, y = html_text.labelled_table()
     assert (TREE(x) == y).all()
