@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -26,6 +27,9 @@ END_ID = 1
 # Fixed value: the published split pattern of this family of byte-level vocabularies.
 SPLIT_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+# tiktoken's splitter backtracks through a run of white space and overflows its stack at about a million characters.
+_LONG_BLANK = re.compile(r"(?:\A|\S)\s{10000}")
+
 
 def _byte_letters() -> dict[str, int]:
     """Which letter a byte-level vocabulary writes for each byte: printable Latin-1 for itself, the others from U+0100 on."""
@@ -39,7 +43,7 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
     """Text to ids as `tokenizers` gives them for this file without added special tokens.
 
     Where the file is a plain byte-level BPE whose merges stand in the order of their ids, `tiktoken` finds the same ids several
-    times faster; any other file, and a text that holds one of its special strings, goes to `tokenizers` itself."""
+    times faster; any other file, and a text that holds one of its special strings or a very long run of white space, goes to `tokenizers` itself."""
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(path)
@@ -58,7 +62,7 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
     special = [t["content"] for t in spec.get("added_tokens", [])]
 
     def encode(text: str) -> np.ndarray:
-        if any(s in text for s in special):
+        if any(s in text for s in special) or _LONG_BLANK.search(text):
             return by_tokenizers(text)
         return np.array(fast.encode_ordinary(text), np.uint32)
 

@@ -280,6 +280,14 @@ def test_encoder_equals_the_library():
         assert fast(t).tolist() == slow.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_very_long_blank_runs():
+    from tokenizers import Tokenizer
+
+    slow, fast = Tokenizer.from_file(BPE), packing.encoder(BPE)
+    for text in ("a" + " " * 2_000_000 + "b", "\n" * 1_000_000 + "b", "a" + " " * 9_999 + "b"):
+        assert fast(text).tolist() == slow.encode(text, add_special_tokens=False).ids
+
+
 def test_packing(docs, rows, no_docs):
     capacity = 128
     got = packing.pack(docs, BPE, capacity=capacity, piece=32, windows=8, with_ids=True).collect()
