@@ -27,24 +27,36 @@ class Sample:
     """Bounds of what a model is fitted on. Rows are taken in the order of a hash of their text, `rows` per label at most."""
 
     rows: int = 2000
-    max_bytes: int = 16_384
-    """Longer texts are not sampled (they are scored whole); so a sample is at most 2 * rows * max_bytes."""
+    max_bytes: int | None = 16_384
+    """Longer texts are not sampled (they are scored whole); so a sample is at most 2 * rows * max_bytes. None: texts of all lengths."""
+    total_bytes: int | None = None
+    """Rows of a label are taken until they hold this many bytes; the row that passes the bound is the last one."""
+
+
+def known_labels(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, y) of the ids with one label, 0 or 1."""
+    return labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.min(label).alias("y"), F.max(label).alias("top")
+    ).filter("y = top").select("doc_id", "y")
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bounds: Sample) -> tuple[list[tuple[str, int]], float]:
     """(text, label) rows in a fixed order, and the share of label 1 among all rows to learn from. Labels other than 0 and 1, null
     ids and null texts teach nothing; a row labelled twice alike counts once, one labelled both ways not at all."""
-    known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.min(label).alias("y"), F.max(label).alias("top")
-    ).filter("y = top").select("doc_id", "y")
+    known = known_labels(labels, label)
     texts = docs.select("doc_id", F.col("text").alias("t"), F.xxhash64("text", "doc_id").alias("place")).filter(learn & F.col("t").isNotNull())
     # Only ids and hashes are joined and sorted; the texts of the rows chosen are read by a lookup of at most 2 * rows keys.
-    rows = cut_lineage(texts.select("doc_id", "place", (F.octet_length("t") <= bounds.max_bytes).alias("fits")).join(known, "doc_id"))
+    fits = F.lit(True) if bounds.max_bytes is None else F.octet_length("t") <= bounds.max_bytes
+    rows = cut_lineage(texts.select("doc_id", "place", fits.alias("fits"), F.octet_length("t").alias("bytes")).join(known, "doc_id"))
     shares = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    chosen = [
-        (r["doc_id"], r["place"], r["y"])
-        for y in (0, 1) for r in rows.filter((F.col("y") == y) & F.col("fits")).select("doc_id", "place", "y").distinct().orderBy("place", "doc_id").limit(bounds.rows).collect()
-    ]
+    chosen = []
+    for y in (0, 1):
+        held = 0
+        for r in rows.filter((F.col("y") == y) & F.col("fits")).select("doc_id", "place", "y", "bytes").distinct().orderBy("place", "doc_id").limit(bounds.rows).collect():
+            if bounds.total_bytes is not None and held >= bounds.total_bytes:
+                break
+            chosen.append((r["doc_id"], r["place"], r["y"]))
+            held += r["bytes"]
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, place long, y int"
     keys = F.broadcast(docs.sparkSession.createDataFrame(chosen, schema))
     taken = sorted(texts.join(keys, ["doc_id", "place"]).select("place", "t", "y").distinct().collect())

@@ -4,9 +4,10 @@ A word (lower-cased letters of any script; all other ASCII is a gap) is hashed,
 inflected and compound forms share. Its embedding is the sum of those three. Hashes that fewer than `least` sampled texts have no
 embedding, so the tables are bounded by the sample and a word unlike all sampled ones is neutral. Filters of several widths slide
 over the embeddings, each filter's largest response in the text is kept (max pooling over time), and a logistic layer adds the pooled
-responses up. Thresholds are set per language on labelled rows the network was not trained on; the language is guessed from the
-text's own function words, never read from a column. The score is the network's probability moved so that the language's threshold
-lies at 0.5.
+responses up. A maximum can only rise with a text's length, so a term for the length is taken off. That term and a threshold for each
+language are set on all labelled rows to learn from whose texts the network was not trained on, of every length; the language is
+guessed from the text's own function words, never read from a column. The score is the network's probability moved so that the
+language's threshold lies at 0.5.
 
 A filter of width w is a sum of w products, one for each place, so after training every embedding's products are tabulated once and
 a text is scored by looking them up, adding neighbours and taking maxima.
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.llm.common import append_by_batch, column, free_name, id_remainder, text_bytes
-from paperloom.llm.quality import Sample, labelled_sample
+from paperloom.llm.quality import Sample, known_labels, labelled_sample, logistic
 
 FOLDS, HELD_OUT = 5, 0
 LANGUAGES = ("en", "fr", "de", "es", "other")
@@ -132,7 +133,9 @@ class Network:
     out: np.ndarray
     bias: float
     thresholds: np.ndarray
-    """Log-odds for each of LANGUAGES that counts as even."""
+    """Log-odds for each of LANGUAGES that counts as even, for a text of length_of() zero."""
+    slope: float = 0.0
+    """What a unit of length_of() adds to them."""
 
     def scorer(self) -> Scorer:
         return Scorer(self)
@@ -266,6 +269,10 @@ def train(rows: Sequence[tuple[np.ndarray, int]], hashes: list[int], shape: Shap
     return Network(shape, tuple(hashes[k] for k in moved), kept, tuple(kernels), offsets, out, float(bias), np.zeros(len(LANGUAGES)))
 
 
+def length_of(words: int) -> float:
+    return float(np.log1p(words)) - 5
+
+
 def best_threshold(odds: np.ndarray, y: np.ndarray, weight: np.ndarray, around: float, strength: float) -> float:
     """The cut with the smallest weighted error, held towards `around` by `strength` errors for each unit of distance; the middle
     of the best gap between neighbouring values."""
@@ -279,6 +286,18 @@ def best_threshold(odds: np.ndarray, y: np.ndarray, weight: np.ndarray, around:
     return float(cuts[np.argmin(missed + wrong + strength * np.abs(cuts - around))])
 
 
+def calibrated(odds: np.ndarray, size: np.ndarray, language: np.ndarray, y: np.ndarray, times: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
+    """Thresholds of LANGUAGES with the smallest weighted error, and the length's slope, which is that of a logistic curve over log-odds
+    and length and never negative; `times` counts rows of a kind."""
+    share = float((times * (y == 1)).sum() / times.sum())
+    weight = times * np.where(y == 1, prior / max(share, 1e-9), (1 - prior) / max(1 - share, 1e-9))
+    by_odds, by_size = logistic(np.column_stack((np.ones(len(odds)), odds, size)), y, weight)[1:]
+    slope = max(0.0, float(-by_size / by_odds)) if by_odds > 0 else 0.0
+    level = odds - slope * size
+    overall = best_threshold(level, y, weight, 0.0, 0.1)
+    return np.array([best_threshold(level[language == k], y[language == k], weight[language == k], overall, 0.5) for k in range(len(LANGUAGES))]), slope
+
+
 def fit_network(sample: Sequence[tuple[str, int]], prior: float, shape: Shape = Shape()) -> Network:
     """Four fifths of the sample train the network, the rest sets the thresholds. With one label or none every score is the prior."""
     words = [plain_words(t) for t, _ in sample]
@@ -297,10 +316,49 @@ def fit_network(sample: Sequence[tuple[str, int]], prior: float, shape: Shape =
     odds = np.array([scorer.log_odds(words[k]) for k in held])
     y = np.array([rows[k][1] for k in held])
     language = np.array([guessed_language(words[k]) for k in held])
-    weight = np.where(y == 1, prior / max(y.mean(), 1e-9), (1 - prior) / max(1 - y.mean(), 1e-9))
-    overall = best_threshold(odds, y, weight, 0.0, 0.1)
-    cuts = np.array([best_threshold(odds[language == k], y[language == k], weight[language == k], overall, 0.5) for k in range(len(LANGUAGES))])
-    return Network(shape, net.hashes, net.embed, net.kernels, net.offsets, net.out, net.bias, cuts)
+    size = np.array([length_of(len(words[k])) for k in held])
+    cuts, slope = calibrated(odds, size, language, y, np.ones(len(y)), prior)
+    return replace(net, thresholds=cuts, slope=slope)
+
+
+def trained_texts(sample: Sequence[tuple[str, int]]) -> frozenset[int]:
+    """Hashes of the texts that `fit_network` trains on."""
+    import xxhash
+
+    return frozenset(xxhash.xxh3_64_intdigest(text_bytes(t)) for k, (t, _) in enumerate(sample) if k % 5)
+
+
+def recalibrated(net: Network, docs: DataFrame, known: DataFrame, trained: frozenset[int], prior: float) -> Network:
+    """Thresholds and slope from all rows of `docs` with a label in `known` whose texts are not among the trained ones. What reaches the
+    driver is a count for each language, quarter of length and hundredth of log-odds."""
+    shared = docs.sparkSession.sparkContext.broadcast((net, trained))
+
+    def make():
+        import xxhash
+
+        net, trained = shared.value
+        scorer = net.scorer()
+
+        def work(batch: pa.RecordBatch) -> list:
+            odds, size, language = [], [], []
+            for text in batch.column(0):
+                t = text.as_py()
+                words = plain_words(t)
+                new = xxhash.xxh3_64_intdigest(text_bytes(t)) not in trained
+                odds.append(round(scorer.log_odds(words), 2) if new else None)
+                size.append(round(4 * length_of(len(words))) / 4)
+                language.append(guessed_language(words))
+            return [pa.array(odds, pa.float64()), pa.array(size, pa.float64()), pa.array(language, pa.int32())]
+
+        return work
+
+    scored = append_by_batch(docs.select("doc_id", "text"), make, ["text"], [("odds", "double"), ("size", "double"), ("language", "int")], ["doc_id"])
+    counts = scored.filter("odds is not null").join(known, "doc_id").groupBy("odds", "size", "language", "y").agg(F.count("*").alias("n")).collect()
+    odds, size, language, y, n = (np.array([r[c] for r in counts]) for c in ("odds", "size", "language", "y", "n"))
+    if not len(counts) or min(n[y == k].sum() for k in (0, 1)) < 5:
+        return net
+    cuts, slope = calibrated(odds, size, language, y, n, min(max(prior, 1e-3), 1 - 1e-3))
+    return replace(net, thresholds=cuts, slope=slope)
 
 
 def score_toxicity(docs: DataFrame, net: Network, text_col: str = "text", carry: Sequence[str] | None = None, out: str = "score") -> DataFrame:
@@ -313,7 +371,7 @@ def score_toxicity(docs: DataFrame, net: Network, text_col: str = "text", carry:
 
         def one(text: str | None) -> float:
             words = plain_words(text)
-            odds = scorer.log_odds(words) - net.thresholds[guessed_language(words)]
+            odds = scorer.log_odds(words) - net.thresholds[guessed_language(words)] - net.slope * length_of(len(words))
             return 1 / (1 + np.exp(-min(max(odds, -30), 30)))
 
         return lambda batch: [pa.array([one(t.as_py()) for t in batch.column(0)], pa.float64())]
@@ -321,12 +379,19 @@ def score_toxicity(docs: DataFrame, net: Network, text_col: str = "text", carry:
     return append_by_batch(docs, make, [text_col], [(out, "double")], carry)
 
 
-def toxicity_model(docs: DataFrame, labels: DataFrame, bounds: Sample = Sample(rows=1000, max_bytes=8192)) -> Network:
+BOUNDS = Sample(rows=1000, max_bytes=None, total_bytes=1 << 23)
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame, bounds: Sample = BOUNDS) -> Network:
     learn = id_remainder(F.col("doc_id"), FOLDS) != HELD_OUT
-    return fit_network(*labelled_sample(docs, labels, "toxic", learn, bounds))
+    sample, prior = labelled_sample(docs, labels, "toxic", learn, bounds)
+    net = fit_network(sample, prior)
+    if not net.out.any():
+        return net
+    return recalibrated(net, docs.filter(learn & F.col("text").isNotNull()), known_labels(labels, "toxic"), trained_texts(sample), prior)
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, bounds: Sample = Sample(rows=1000, max_bytes=8192)) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, bounds: Sample = BOUNDS) -> DataFrame:
     """doc_id, held_out, score and predicted for every document; learns from the rows outside the held-out fold only."""
     scored = score_toxicity(docs.select("doc_id", "text"), toxicity_model(docs, labels, bounds), carry=["doc_id"])
     return scored.select(
@@ -334,7 +399,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, bounds: Sample = Sample(
     )
 
 
-def clean_documents(docs: DataFrame, labels: DataFrame, bounds: Sample = Sample(rows=1000, max_bytes=8192)) -> DataFrame:
+def clean_documents(docs: DataFrame, labels: DataFrame, bounds: Sample = BOUNDS) -> DataFrame:
     """The documents that are not found toxic, with their columns and nothing else."""
     name = free_name(docs, "__toxic")
     scored = score_toxicity(docs, toxicity_model(docs, labels, bounds), out=name)

@@ -366,6 +366,22 @@ def test_classifiers_on_awkward_rows(spark, docs, rows, no_docs, scores):
     assert nothing.select("score").distinct().count() == 1
 
 
+def test_toxicity_learns_from_texts_of_all_lengths(spark):
+    rows = [(k, "word " * (4000 if k % 10 == 0 else 5) + str(k)) for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    sample, _ = quality.labelled_sample(docs, labels, "toxic", F.lit(True), toxicity.BOUNDS)
+    assert sorted(t for t, _ in sample) == sorted(t for _, t in rows)
+
+
+def test_thresholds_follow_the_length():
+    rng = np.random.default_rng(6)
+    y, size = rng.integers(0, 2, 2000), rng.uniform(-4, 5, 2000)
+    odds = 1.5 * size + 4 * y + rng.normal(0, 0.3, 2000)
+    cuts, slope = toxicity.calibrated(odds, size, np.zeros(2000, int), y, np.ones(2000), 0.5)
+    assert ((odds - slope * size > cuts[0]) == y).mean() > 0.99
+
+
 def test_filters_keep_columns(spark, docs):
     labels = spark.createDataFrame([(k, k % 2, k % 2) for k in range(150)], "doc_id long, quality int, toxic int")
     for keep in (quality.good_documents, toxicity.clean_documents):
