@@ -46,6 +46,9 @@ _HINTS = frozenset(
 _COMMENT = frozenset("comment comments reply replies".split())
 _WHOLE = frozenset("html body article main".split())
 _NAME_PARTS = re.compile(r"[a-z]+")
+# Before or after a part, they say that the page has or lacks such a thing and not that the element is one.
+_SAYS_HAS = frozenset("has no not with without".split())
+_SAYS_OFF = frozenset("closed disabled off".split())
 _ATTRIBUTE = re.compile(r"""([a-zA-Z][\w:-]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 
 NAMES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "place", "around")
@@ -59,16 +62,42 @@ class Block:
     """Share of the words that stand in links."""
     in_article: bool
     around: bool
+    hints: tuple[int, ...] = ()
+    """Numbers of the elements around it whose names mark them as something around an article; negative for comments inside one."""
 
 
-def _marks(name: str, attributes: str) -> tuple[bool, bool]:
-    """(is an article's element, is marked as something around an article) by class, id, role and hidden."""
-    article, hinted = name in _ARTICLE, False
+def _named_parts(value: str) -> set[str]:
+    """The parts of class or id names that say what the element is."""
+    out = set()
+    for token in value.split():
+        parts = _NAME_PARTS.findall(token)
+        out.update(p for k, p in enumerate(parts) if not (k and parts[k - 1] in _SAYS_HAS) and not (k + 1 < len(parts) and parts[k + 1] in _SAYS_OFF))
+    return out
+
+
+def _settle_hints(found: list[Block]) -> None:
+    """A hint says nothing if its element holds most of the page's words, in more than one block, or most of the words in articles and
+    at least a quarter of the page's: such an element is the page's frame."""
+    total, in_articles = sum(b.words for b in found), sum(b.words for b in found if b.in_article)
+    held: dict[int, list[int]] = {}
+    for b in found:
+        for h in b.hints:
+            n = held.setdefault(h, [0, 0, 0])
+            n[0], n[1], n[2] = n[0] + b.words, n[1] + 1, n[2] + b.words * b.in_article
+    frames = {h for h, (words, n, own) in held.items() if h > 0 and ((2 * words > total and n > 1) or (2 * own > in_articles and 4 * own >= total))}
+    for b in found:
+        b.around = b.around or any(h not in frames for h in b.hints)
+
+
+def _marks(name: str, attributes: str) -> tuple[bool, bool, bool]:
+    """(is an article's element, is marked as something around an article, is named as comments) by class, id, role and hidden."""
+    article, hinted, comment = name in _ARTICLE, False, False
     if attributes and not attributes.isspace():
         for key, a, b, c in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), (a or b or c).lower()
             if key in ("class", "id"):
-                parts = _NAME_PARTS.findall(value)
+                parts = _named_parts(value)
+                comment = comment or not _COMMENT.isdisjoint(parts)
                 if name in _WHOLE:  # says something about the page or the article, unless it is a reader's comment
                     hinted = hinted or (name != "body" and name != "html" and not _COMMENT.isdisjoint(parts))
                 else:
@@ -80,7 +109,7 @@ def _marks(name: str, attributes: str) -> tuple[bool, bool]:
                 article = article or value == "articlebody"
             elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none", value)):
                 hinted = True
-    return article, hinted
+    return article, hinted, comment
 
 
 def _self_closed(name: str, attributes: str) -> bool:
@@ -122,8 +151,10 @@ def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order. Unclosed and wrongly nested tags are taken as browsers do for the usual cases: a block-level
     tag ends an open paragraph, an end tag closes all that was opened inside its element, one without a start is ignored."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, in article, around by element, around by hint
-    in_article = by_element = by_hint = False
+    stack: list[tuple[str, bool, bool, tuple[int, ...]]] = []  # name, in article, around by element, hinted elements around
+    in_article = by_element = False
+    by_hint: tuple[int, ...] = ()
+    n_hints = 0
     pieces: list[str] = []
     links: list[str] = []
     in_link = 0
@@ -136,12 +167,12 @@ def blocks(page: str) -> list[Block]:
             if text:
                 words = text.count(" ") + 1
                 linked = len(html_entities.unescape("".join(links)).split()) if links else 0
-                out.append(Block(text, words, min(1.0, linked / words), in_article, by_element or by_hint))
+                out.append(Block(text, words, min(1.0, linked / words), in_article, by_element, by_hint))
         pieces, links = [], []
 
     def restore() -> None:
         nonlocal in_article, by_element, by_hint
-        _, in_article, by_element, by_hint = stack[-1] if stack else ("", False, False, False)
+        _, in_article, by_element, by_hint = stack[-1] if stack else ("", False, False, ())
 
     for match in iter(lambda: _TAG.search(page, pos), None):
         if match.start() > pos:
@@ -184,23 +215,29 @@ def blocks(page: str) -> list[Block]:
         if stack and stack[-1][0] == "p":
             stack.pop()
             restore()
-        article, hinted = _marks(name, match[3])
+        article, hinted, comment = _marks(name, match[3])
+        firm = comment and in_article  # readers' comments on an article, however long
         if article:
             in_article, by_element = True, False  # an article in a menu that was never closed
         elif name == "header" and in_article:
             hinted = False  # an article's own header holds its title
         around = name in _AROUND and not (name == "header" and in_article)
-        by_element, by_hint = by_element or around, by_hint or hinted
+        by_element = by_element or around
+        if hinted:
+            n_hints += 1
+            by_hint = (*by_hint, -n_hints if firm else n_hints)
         stack.append((name, in_article, by_element, by_hint))
     if pos < len(page):
         pieces.append(page[pos:])
     finish()
+    _settle_hints(out)
     return out
 
 
 def descriptions(found: Sequence[Block]) -> np.ndarray:
     """One row of NAMES for each block. `place`: 2 in an article's element, 1 on a page without one, 0 outside it; `around`: 1 in a
-    menu, header, footer, sidebar, form, notice, advert or comment."""
+    menu, header, footer, sidebar, form, notice, advert or comment. Articles that hold less than a quarter of the words outside links
+    are teasers: such a page counts as one without."""
     n = len(found)
     x = np.zeros((n, len(NAMES)))
     if not n:
@@ -209,7 +246,9 @@ def descriptions(found: Sequence[Block]) -> np.ndarray:
     x[:, 1] = [b.links for b in found]
     x[1:, 2:4] = x[:-1, 0:2]
     x[:-1, 4:6] = x[1:, 0:2]
-    marked = any(b.in_article and not b.around for b in found)
+    plain = [b for b in found if not b.around and b.links < 0.5]
+    own = sum(b.words for b in plain if b.in_article)
+    marked = any(b.in_article and not b.around for b in found) and 4 * own >= sum(b.words for b in plain)
     x[:, 6] = [(2 if b.in_article else 0) if marked else 1 for b in found]
     x[:, 7] = [b.around for b in found]
     return x

@@ -442,6 +442,18 @@ def test_opaque_elements_end(before):
     assert " ".join(texts).count(ARTICLE) == 2 and not any(x in " ".join(texts) for x in ("let a", "script", "no<"))
 
 
+@pytest.mark.parametrize("page", [
+    f"<div id=page class='site has-sidebar'><p>{ARTICLE}</p><p>{ARTICLE}</p></div>",
+    f"<div class='content-sidebar-wrap'><article><p>{ARTICLE}</p><p>{ARTICLE}</p></article><div class=sidebar><p>Read more of this</p></div></div>",
+    f"<div class='comments-closed no-header with-menu'><p>{ARTICLE}</p></div><div><p>{ARTICLE}</p></div>",
+    f"<article class='post comments-closed'><p>{ARTICLE}</p><p>{ARTICLE}</p></article>",
+    f"<article><p>A short teaser of another page</p></article><div><p>{ARTICLE}</p><p>{ARTICLE}</p></div>",
+])
+def test_frames_of_a_page_are_not_around_it(page):
+    text = html_text.main_text(f"<html><body>{page}</body></html>", html_text.fit_tree(*html_text.labelled_table()))
+    assert text.count(ARTICLE) == 2
+
+
 def test_tree_fits_its_table():
     x, y = html_text.labelled_table()
     assert (TREE(x) == y).all()
