@@ -143,3 +143,26 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paperloom.llm.embed_dedup import near_vectors
 
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_run_length_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paperloom.llm.conversations import damage, repair
+
+    return repair(damage(table(spark, sf_dir, "conversations"))).withColumnRenamed("conv", "conv_id")
+
+
+@query("op12_overlapping_chunk_bpe")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from paperloom.llm.bpe import digests
+
+    return digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op13_bit_sliced_spelling")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paperloom.llm.spelling import spelling_variants
+
+    return spelling_variants(table(spark, sf_dir, "documents"))
