@@ -19,6 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ LOOK_AHEAD = 2
 """How many characters after a pre-token can have a say in its end (two: an apostrophe alone, or with `ll`, `re` or `ve`)."""
 _REMEMBERED = 400_000
 """Distinct pre-tokens whose ids a task keeps."""
+SLICE_BYTES = 1 << 20
+"""Text whose ids a task holds at a time; a longer text stands alone."""
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -158,17 +161,37 @@ def pre_tokens(codec: Codec, text: str, chunk: int, overlap: int) -> list[str]:
     return out
 
 
-def _lists(rows: list[list[int]]) -> pa.Array:
-    offsets = np.cumsum([0, *map(len, rows)], dtype=np.int32)
-    flat = np.concatenate([np.array(r, np.int32) for r in rows]) if rows else np.empty(0, np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+def _encoded(codec: Codec, texts: Iterator[list[str]], with_bytes: bool) -> list[pa.Array]:
+    """The ids of texts given as pre-tokens, and if asked for the bytes that these ids decode to."""
+    ids, raw = [], []
+    for tokens in texts:
+        found = codec.encode(tokens)
+        ids.append(np.array(found, np.int32))
+        if with_bytes:
+            raw.append(codec.decode(found))
+    offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32), pa.int32()))
+    return [lists, pa.array(raw, pa.binary())] if with_bytes else [lists]
+
+
+def _slices(batch: pa.RecordBatch, texts: int) -> Iterator[pa.RecordBatch]:
+    """A batch in stretches of about `SLICE_BYTES` of its column number `texts`."""
+    column = batch.column(texts)
+    size = np.cumsum([0 if n is None else n for n in pc.binary_length(column).to_pylist()])
+    start = 0
+    while start < batch.num_rows:
+        before = size[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(size, before + SLICE_BYTES, "right")))
+        yield batch.slice(start, end - start)
+        start = end
 
 
 def encode_texts(
     docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP,
-    long_chars: int = LONG_CHARS,
+    long_chars: int = LONG_CHARS, with_bytes: bool = False,
 ) -> DataFrame:
-    """One row per row of `docs`: its id and `ids array<int>`, what the encoder gives for the whole text without special tokens.
+    """One row per row of `docs`: its id and `ids array<int>`, what the encoder gives for the whole text without special tokens, and if
+    asked for `decoded binary`, the bytes that these ids stand for (as `decode_ids` gives them, in the same task).
 
     A null text is empty and has no ids; ids may be null or repeat; an empty table gives no rows; other columns are not looked at.
     Memory: a batch of short texts, and of a long text what one pre-token or its ids take."""
@@ -178,11 +201,17 @@ def encode_texts(
     kind = docs.schema[id_col].dataType.simpleString()
     length = F.coalesce(F.char_length("t"), F.lit(0))
 
-    def short(batch: pa.RecordBatch) -> list:
+    names = ["ids", "decoded"] if with_bytes else ["ids"]
+    found = "ids array<int>, decoded binary" if with_bytes else "ids array<int>"
+
+    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary, pattern)
-        return [_lists([own.encode(pre_tokens(own, t, chunk, overlap)) if t else [] for t in batch.column(0).to_pylist()])]
+        for whole in batches:
+            for batch in _slices(whole, 1):
+                tokens = (pre_tokens(own, t, chunk, overlap) if t else [] for t in batch.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column(0), *_encoded(own, tokens, with_bytes)], names=["d", *names])
 
-    done = append_by_batch(sent.filter(length <= long_chars), lambda: short, ["t"], [("ids", "array<int>")], ["d"])
+    done = sent.filter(length <= long_chars).mapInArrow(short, f"d {kind}, {found}")
     cut = sent.filter(length > long_chars).withColumn("r", F.monotonically_increasing_id())
 
     def to_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,16 +244,19 @@ def encode_texts(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary, pattern)
-        for batch in batches:
-            found = [own.encode(slices(t, np.frombuffer(e, np.int32))) for t, e in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], _lists(found)], names=["d", "r", "k", "ids"])
+        for whole in batches:
+            for batch in _slices(whole, 3):
+                tokens = (slices(t, np.frombuffer(e, np.int32)) for t, e in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], *_encoded(own, tokens, with_bytes)], names=["d", "r", "k", *names])
 
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Array] = []
+        raw: list[bytes] = []
         row = first = None
 
         def text_ids() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([first, pa.ListArray.from_arrays(pa.array([0, sum(map(len, held))], pa.int32()), pa.concat_arrays(held))], names=["d", "ids"])
+            ids = pa.ListArray.from_arrays(pa.array([0, sum(map(len, held))], pa.int32()), pa.concat_arrays(held))
+            return pa.RecordBatch.from_arrays([first, ids, *([pa.array([b"".join(raw)], pa.binary())] if with_bytes else [])], names=["d", *names])
 
         for batch in batches:
             for i in range(batch.num_rows):
@@ -232,17 +264,19 @@ def encode_texts(
                 if r != row:
                     if held:
                         yield text_ids()
-                    row, first, held = r, batch.column(0).slice(i, 1), []
+                    row, first, held, raw = r, batch.column(0).slice(i, 1), [], []
                 held.append(pa.array(batch.column(3)[i].values, pa.int32()))
+                if with_bytes:
+                    raw.append(batch.column(4)[i].as_py())
         if held:
             yield text_ids()
 
     head = f"d {kind}, r long, k long"
     parts = cut.mapInArrow(to_chunks, f"{head}, t string, last boolean").repartition("r", "k").mapInArrow(split, f"{head}, t string, last boolean, ends binary")
     parts = parts.repartition("r").sortWithinPartitions("r", "k").mapInArrow(stitch, f"{head}, t string, ends binary")
-    parts = parts.repartition("r", "k").mapInArrow(encode, f"{head}, ids array<int>").repartition("r").sortWithinPartitions("r", "k")
-    joined = parts.mapInArrow(together, f"d {kind}, ids array<int>")
-    return done.unionByName(joined).toDF(id_col, "ids")
+    parts = parts.repartition("r", "k").mapInArrow(encode, f"{head}, {found}").repartition("r").sortWithinPartitions("r", "k")
+    joined = parts.mapInArrow(together, f"d {kind}, {found}")
+    return done.unionByName(joined).toDF(id_col, *names)
 
 
 def decode_ids(encoded: DataFrame, vocabulary: str, pattern: str, ids_col: str = "ids") -> DataFrame:
@@ -258,7 +292,7 @@ def decode_ids(encoded: DataFrame, vocabulary: str, pattern: str, ids_col: str =
 
 def digests(docs: DataFrame, vocabulary: str, pattern: str, **sizes: int) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas) and decoded_sha256 of every text, see `encode_texts`."""
-    both = decode_ids(encode_texts(docs, vocabulary, pattern, **sizes), vocabulary, pattern)
+    both = encode_texts(docs, vocabulary, pattern, with_bytes=True, **sizes)
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -225,6 +225,16 @@ def test_very_long_pre_tokens(library):
             assert codec.encode(tokens) == library.encode_ordinary(text)
 
 
+def test_decoding_ids(spark, docs):
+    ids = bpe.encode_texts(docs.select("text", "doc_id"), RANKS, PATTERN, chunk=500, overlap=20, long_chars=5_000)
+    got = bpe.decode_ids(ids.filter("doc_id is not null"), RANKS, PATTERN).collect()
+    texts = collections.defaultdict(set)
+    for doc_id, text, *_ in awkward_docs():
+        texts[doc_id].add((text or "").encode())
+    assert len(got) > 80 and all(bytes(r["decoded"]) in texts[r["doc_id"]] for r in got)
+    assert bpe.decode_ids(spark.createDataFrame([(1, None), (2, [])], "a int, ids array<int>"), RANKS, PATTERN).orderBy("a").collect()[1]["decoded"] == b""
+
+
 def test_no_texts(no_docs):
     assert bpe.digests(no_docs, RANKS, PATTERN).collect() == []
 
