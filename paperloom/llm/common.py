@@ -20,13 +20,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def settled(df: DataFrame) -> DataFrame:
-    """`df` materialised in the shared folder, and the shuffle files behind it given up at once: Spark deletes them when the driver's
-    collector finds that nothing refers to them, which without a nudge can be long after."""
-    out = cut_lineage(df)
-    del df
-    out.sparkSession.sparkContext._jvm.System.gc()
-    return out
+    """`df` materialised in the shared folder, and the shuffle files behind it deleted as soon as that is done, so that disk holds the
+    files of one step only."""
+    conf = df.sparkSession.conf
+    before = conf.get(_FREE_SHUFFLES, None)
+    conf.set(_FREE_SHUFFLES, "true")
+    try:
+        return cut_lineage(df.select("*"))  # the setting holds for plans that are made under it
+    finally:
+        conf.unset(_FREE_SHUFFLES) if before is None else conf.set(_FREE_SHUFFLES, before)
 
 
 def text_bytes(text: str | None) -> bytes:

@@ -11,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.session import cut_lineage
+from paperloom.llm.common import settled
 
 
 def _to_smallest(links: DataFrame) -> DataFrame:
     """(u, v, m): every link with the smallest node among u and what u is linked with."""
     smallest = links.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return links.join(cut_lineage(smallest), "u")
+    return links.join(settled(smallest), "u")
 
 
 def _fingerprint(links: DataFrame) -> tuple:
@@ -30,15 +30,15 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     and reversed edges are harmless; an edge with a null end is none; no edges give no rows. The rounds grow with the logarithm of
     the longest chain; more than `max_rounds` raise an error and never give half-joined components."""
     pair = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).filter("x <> y")
-    links = cut_lineage(pair.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct())
+    links = settled(pair.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct())
     before = None
     for _ in range(max_rounds):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _to_smallest(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = cut_lineage(large)
+        large = settled(large)
         small = _to_smallest(large)
         down = small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        links = cut_lineage(down.unionByName(small.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
+        links = settled(down.unionByName(small.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
         now = _fingerprint(links)
         if now == before:
             # Stable links form stars: every node names its root, and roots name none.
