@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import column, settled, words_of
+from paperloom.llm.common import column, free_name, settled, words_of
 from paperloom.llm.components import connected_components
 from paperloom.session import cut_lineage
 
@@ -358,6 +358,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that are kept, with their columns and nothing else."""
-    gone = near_duplicates(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("__gone"), F.col("text_key").alias("__key")).distinct()
-    same = column(docs, id_col).eqNullSafe(F.col("__gone")) & (F.xxhash64(column(docs, text_col)) == F.col("__key"))
-    return docs.join(gone, same, "left_anti")
+    gone, key = free_name(docs, "gone"), free_name(docs, "text_key")
+    rows = near_duplicates(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias(gone), F.col("text_key").alias(key)).distinct()
+    same = column(docs, id_col).eqNullSafe(rows[gone]) & (F.xxhash64(column(docs, text_col)) == rows[key])
+    return docs.join(rows, same, "left_anti")

@@ -18,6 +18,8 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import lru_cache
+from math import lgamma
 
 import numpy as np
 import pyarrow as pa
@@ -76,6 +78,8 @@ class Shape:
     """Filters of each width."""
     least: int = 3
     """Sampled texts that must share a hash for it to have an embedding."""
+    chance: float = 0.02
+    """How likely its share of texts of label 1 may be by chance; rare words of a toxic text would be taken for its toxic ones."""
 
 
 class Vocabulary:
@@ -113,14 +117,29 @@ class Vocabulary:
         return np.array(out, np.int32)
 
     @classmethod
-    def of(cls, texts: Sequence[list[bytes]], least: int) -> tuple[Vocabulary, list[int]]:
+    def of(cls, texts: Sequence[tuple[list[bytes], int]], shape: Shape) -> tuple[Vocabulary, list[int]]:
+        """The vocabulary of texts with labels: what `shape.least` texts share, and texts of label 1 more often than by chance."""
         seen: Counter[int] = Counter()
-        for words in texts:
-            seen.update({h for w in set(words) for h in hashed_parts(w)})
-        hashes = sorted(h for h, n in seen.items() if n >= least)
+        toxic: Counter[int] = Counter()
+        for words, y in texts:
+            own = {h for w in set(words) for h in hashed_parts(w)}
+            seen.update(own)
+            if y:
+                toxic.update(own)
+        share = sum(y for _, y in texts) / max(len(texts), 1)
+        hashes = sorted(h for h, n in seen.items() if n >= shape.least and chance(n, toxic[h], share) <= shape.chance)
         return cls(hashes), hashes
 
 
+@lru_cache(maxsize=None)
+def chance(n: int, k: int, share: float) -> float:
+    """How likely at least k of n texts are of label 1 if each is with probability `share`."""
+    if not 0 < share < 1:
+        return 1.0
+    log = np.array([lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * np.log(share) + (n - j) * np.log(1 - share) for j in range(k, n + 1)])
+    return float(np.exp(log).sum())
+
+
 @dataclass(frozen=True)
 class Network:
     shape: Shape
@@ -301,7 +320,7 @@ def calibrated(odds: np.ndarray, size: np.ndarray, language: np.ndarray, y: np.n
 def fit_network(sample: Sequence[tuple[str, int]], prior: float, shape: Shape = Shape()) -> Network:
     """Four fifths of the sample train the network, the rest sets the thresholds. With one label or none every score is the prior."""
     words = [plain_words(t) for t, _ in sample]
-    vocabulary, hashes = Vocabulary.of([w for k, w in enumerate(words) if k % 5], shape.least)
+    vocabulary, hashes = Vocabulary.of([(w, sample[k][1]) for k, w in enumerate(words) if k % 5], shape)
     numbers = [vocabulary(w, max(shape.widths)) for w in words]
     combined = np.array(vocabulary.combined, np.int32)
     rows = [(combined[n], y) for n, (_, y) in zip(numbers, sample)]
