@@ -22,7 +22,6 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +71,9 @@ class Classes:
         self.known = {END: 0} | {w: k + 1 for k, w in enumerate(singles)}
         self.start = len(self.known)
 
+    def value(self, word: bytes) -> int:
+        return spelling_class(word, self.sizes)
+
     def __call__(self, words: list[bytes]) -> np.ndarray:
         if len(self.known) > 400_000:
             self.known = dict(list(self.known.items())[: self.start])
@@ -82,9 +84,21 @@ class Classes:
                     w = words[k]
                     c = self.known.get(w)
                     if c is None:
-                        c = self.known[w] = spelling_class(w, self.sizes)
+                        c = self.known[w] = self.value(w)
                     out[k] = c
-        return np.array(out, np.int32)
+        return np.array(out, np.int64)
+
+
+class CountedClasses(Classes):
+    """Words to their class plus `sizes.classes` times the count of a frequent word (0 for others): both in one look-up."""
+
+    def __init__(self, singles: list[bytes], head: dict[bytes, int], sizes: Sizes):
+        super().__init__(singles, sizes)
+        self.head = head
+        self.known = {w: c + sizes.classes * head.get(w, 0) for w, c in self.known.items()}
+
+    def value(self, word: bytes) -> int:
+        return spelling_class(word, self.sizes) + self.sizes.classes * self.head.get(word, 0)
 
 
 def contexts(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -336,19 +350,18 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         sizes, ln10 = model.sizes, np.log(10)
-        classes = Classes(model.singles, sizes)
+        classes = CountedClasses(model.singles, model.head, sizes)
         first, second = model.network.scores()
         for batch in batches:
             lengths, own, ones, twos, heads = [], [], [], [], []
             rare_words, rare_times, rare_ends = [], [], [0]
             for text in batch.column(1):
                 words = [*words_of(text.as_py()), END]
-                c = classes(words)
+                n, c = np.divmod(classes(words), sizes.classes)
                 one, two = contexts(c)
                 own.append(c), ones.append(one), twos.append(two)
-                n = list(map(model.head.get, words, repeat(0)))
-                heads.append(np.array(n, np.int64))
-                tail = Counter(w for w, k in zip(words, n) if not k)
+                heads.append(n)
+                tail = Counter([words[k] for k in np.flatnonzero(n == 0).tolist()])
                 rare_words.extend(tail.keys()), rare_times.extend(tail.values())
                 rare_ends.append(len(rare_words))
                 lengths.append(len(words))
