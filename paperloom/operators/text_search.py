@@ -1,8 +1,8 @@
 """Keyword search over title and venue: postings, plain and web-style queries, cover-density rank, highlights.
 
 Queries come as a DataFrame (`query_id`, `query_text`), so a batch of requests is one job. Matching is an equi join of
-postings and query words on the term; there is no document-by-query product. Per (query, paper) state is bounded by the
-length limits on title and venue.
+postings and query words on the term; there is no document-by-query product. Per (query, paper) state is a few numbers a word of the
+query; see `text_index` for stored postings of whole texts.
 """
 
 from __future__ import annotations
@@ -138,56 +138,39 @@ def matches(found: DataFrame, key: str = "paper_id") -> DataFrame:
 def cover_rank(found: DataFrame, words: DataFrame, hits: DataFrame, key: str = "paper_id") -> DataFrame:
     """Cover-density rank of every hit: (query_id, key, rank).
 
-    A cover is a shortest stretch of positions that satisfies a group. Each adds (occurrences / sum of 1/weight) divided
-    by 1 + the number of other words inside it.
+    A cover is a shortest stretch of positions that satisfies a group. Each adds (occurrences / sum of 1/weight) divided by 1 + the
+    number of other words inside it. One sweep over a paper's occurrences in order of position: running windows hold, for each word of
+    the query, the place of its last occurrence and the sums up to it, so the work grows with the occurrences. `words` is read once
+    before, for the largest number of words in a query.
     """
-    wanted = words.filter(~F.col("negated"))
+    wanted = words.filter(~F.col("negated")).select("query_id", "grp", "term").distinct()
+    numbered = wanted.select("query_id", "term").distinct().withColumn("number", F.row_number().over(Window.partitionBy("query_id").orderBy("term")) - 1)
+    most = numbered.agg(F.max("number")).first()[0]
     groups = (
-        wanted.groupBy("query_id", "grp").agg(F.collect_set("term").alias("terms"))
-        .groupBy("query_id").agg(F.collect_list("terms").alias("groups"))
+        wanted.join(numbered, ["query_id", "term"]).groupBy("query_id", "grp").agg(F.sort_array(F.collect_list("number")).alias("numbers"))
+        .groupBy("query_id").agg(F.sort_array(F.collect_list("numbers")).alias("groups"))
     )
-    per_paper = (
-        found.filter(~F.col("negated")).join(hits, ["query_id", key], "left_semi")
-        .groupBy("query_id", key).agg(F.sort_array(F.collect_set(F.struct("pos", "term", "weight"))).alias("occ"))
-    )
-    occ = F.col("occ")
-
-    def begin_of(end: Column) -> Column:
-        def last_seen(term: Column) -> Column:
-            return F.array_max(
-                F.transform(F.filter(occ, lambda o: (o.term == term) & (o.pos <= end.pos)), lambda o: o.pos)
-            )
-
-        def group_begin(group: Column) -> Column:
-            seen = F.transform(group, last_seen)
-            return F.when(~F.exists(seen, lambda p: p.isNull()), F.array_min(seen))
-
-        return F.array_max(F.transform(F.col("groups"), group_begin))
-
-    covers = F.filter(
-        F.transform(
-            F.sequence(F.lit(0), F.size(occ) - 1),
-            lambda i: F.struct(
-                F.get(F.col("begins"), i).alias("b"),
-                F.when(i > 0, F.get(F.col("begins"), i - 1)).alias("previous"),
-                F.get(occ, i).pos.alias("e"),
-            ),
-        ),
-        lambda c: c.b.isNotNull() & (c.previous.isNull() | (c.b > c.previous)),
-    )
-
-    def cover_score(cover: Column) -> Column:
-        inside = F.filter(occ, lambda o: o.pos.between(cover.b, cover.e))
-        inverse = F.aggregate(inside, F.lit(0.0), lambda acc, o: acc + F.lit(1.0) / o.weight)
-        noise = (cover.e - cover.b) - (F.size(inside) - 1)
-        return F.size(inside) / inverse / (F.lit(1) + noise)
-
-    scored = (
-        per_paper.join(groups, "query_id").withColumn("begins", F.transform(occ, begin_of))
-        .withColumn("covers", covers)
-    )
-    rank = F.aggregate(F.col("covers"), F.lit(0.0), lambda acc, c: acc + cover_score(c))
-    return scored.select("query_id", key, rank.alias("rank"))
+    occ = found.filter(~F.col("negated")).join(hits, ["query_id", key], "left_semi").select("query_id", key, "pos", "term", "weight").distinct()
+    occ = occ.join(numbered, ["query_id", "term"]).join(groups, "query_id")
+    in_order = Window.partitionBy("query_id", key).orderBy("pos")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    inverse = F.lit(1.0) / F.col("weight")
+    occ = occ.withColumn("upto", F.count("*").over(so_far)).withColumn("inverse_upto", F.sum(inverse).over(so_far))
+    here = F.struct("pos", (F.col("upto") - 1).alias("before"), (F.col("inverse_upto") - inverse).alias("inverse_before"))
+    last = [F.max(F.when(F.col("number") == k, here)).over(so_far) for k in range((most or 0) + 1)]
+    occ = occ.withColumn("last", F.array(*last))
+
+    def group_begin(numbers: Column) -> Column:
+        seen = F.transform(numbers, lambda k: F.get("last", k))
+        return F.when(~F.exists(seen, lambda x: x.isNull()), F.array_min(seen))
+
+    occ = occ.withColumn("begin", F.array_max(F.transform("groups", group_begin)))
+    occ = occ.withColumn("previous", F.lag("begin.pos").over(in_order))
+    covers = occ.filter(F.col("begin").isNotNull() & (F.col("previous").isNull() | (F.col("begin.pos") > F.col("previous"))))
+    inside = F.col("upto") - F.col("begin.before")
+    other = (F.col("pos") - F.col("begin.pos")) - (inside - 1)
+    score = inside / (F.col("inverse_upto") - F.col("begin.inverse_before")) / (1 + other)
+    return covers.groupBy("query_id", key).agg(F.sum(score).alias("rank"))
 
 
 def top_per_query(scored: DataFrame, limit: int | None, score: str = "rank", key: str = "paper_id", offset: int = 0) -> DataFrame:

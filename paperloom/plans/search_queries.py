@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paperloom.functions.english import STOP_WORDS
-from paperloom.operators import fusion, text_search, vector_search
+from paperloom.operators import fusion, search_requests as requested, text_index, text_search, vector_search
 from paperloom.plans import derived as d
 from paperloom.plans.catalog import query
 from paperloom.plans.derived_sql import sql
+from paperloom.session import scratch_path
 
 REQUESTS = [
     (1, "attion eriner"), (2, '"Eriner Thanea"'), (3, "attion or thble -journal"), (4, "journal; src1"), (5, "the of"),
@@ -223,3 +224,78 @@ def search_requests(spark, sf):
     asked = hybrid_requests(spark, sf).withColumn("mode", d.pick(F.col("query_id") % 3, "keyword", "semantic", "hybrid"))
     found = fusion.search_batch(d.papers_with_vectors(spark, sf), asked, limit=10, stemmed=False)
     return found.select("query_id", "search_mode", "position", "paper_id", F.round("relevance_score", 6).alias("relevance_score"), "total")
+
+
+# A request a label: users of all roles and departments, filters here and there, some without a context.
+_ASKED = """
+    SELECT query_id, CASE query_id % 3 WHEN 0 THEN 'keyword' WHEN 1 THEN 'semantic' ELSE 'hybrid' END AS mode,
+      CASE query_id % 5 WHEN 0 THEN 'admin' WHEN 1 THEN 'hod' WHEN 2 THEN 'coordinator' WHEN 3 THEN 'faculty' END AS role,
+      CASE query_id % 4 WHEN 0 THEN 'CSE' WHEN 1 THEN 'ECE' WHEN 2 THEN 'MECH' ELSE 'CIVIL' END AS user_department, CAST(1 + query_id % 40 AS VARCHAR) AS user_id,
+      CASE WHEN query_id % 6 = 4 THEN 2010 END AS year, CASE WHEN query_id % 7 = 2 THEN 'journal' END AS paper_type,
+      CASE WHEN query_id % 8 = 3 THEN 'DRAFT' END AS status, CASE WHEN query_id % 4 = 2 THEN 0.3 END AS min_confidence, 5 + query_id % 9 AS page_size
+    FROM seeds"""
+_ALLOWED = """
+    SELECT r.query_id, v.paper_id FROM asked r CROSS JOIN vectors v
+    WHERE v.status = coalesce(r.status, 'PUBLISHED') AND (r.year IS NULL OR v.year = r.year) AND (r.paper_type IS NULL OR v.paper_type = r.paper_type)
+      AND (r.min_confidence IS NULL OR v.overall_confidence >= r.min_confidence) AND r.role IS NOT NULL
+      AND (r.role = 'admin' OR (v.department_code = r.user_department AND (v.status <> 'DRAFT' OR CAST(v.faculty_id AS VARCHAR) = r.user_id)))"""
+_CLOSE = """
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, paper_id) AS position, count(*) OVER (PARTITION BY query_id) AS total FROM (
+      SELECT c.query_id, v.paper_id, round(list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), c.embedding), 9) AS similarity
+      FROM allowed a JOIN vectors v USING (paper_id) JOIN seeds c ON c.query_id = a.query_id WHERE v.embedding IS NOT NULL)
+    WHERE similarity >= CASE query_id % 3 WHEN 1 THEN 0.5 ELSE 0.3 END"""
+_PAGES = """
+    SELECT * FROM (
+      SELECT query_id, 'keyword' AS search_mode, position, paper_id, greatest(least(rank, 1.0), 0.0) AS relevance_score, total, true AS matched FROM keyword_page WHERE query_id % 3 = 0
+      UNION ALL SELECT query_id, 'semantic', position, paper_id, greatest(least(similarity, 1.0), 0.0), total, false FROM similar_rows WHERE query_id % 3 = 1
+      UNION ALL SELECT query_id, 'hybrid', position, paper_id, relevance_score, total, keyword_position IS NOT NULL FROM fused WHERE query_id % 3 = 2)
+    JOIN asked USING (query_id) WHERE position <= page_size"""
+_SNIPPETS = """
+    SELECT query_id, paper_id, string_agg(CASE WHEN hit THEN concat('<mark>', word, '</mark>') ELSE word END, ' ' ORDER BY word_no) AS highlight_snippet FROM (
+      SELECT *, greatest(0, least(coalesce(min(word_no) FILTER (hit) OVER w, 0), count(*) OVER w - 5)) AS start FROM word_hits WINDOW w AS (PARTITION BY query_id, paper_id))
+    WHERE word_no >= start AND word_no < start + 20 GROUP BY ALL"""
+
+
+def _isolated_ctes() -> dict[str, str]:
+    ctes = _hybrid_ctes()
+    early = {"asked": _ASKED, "allowed": _ALLOWED}
+    ctes |= {"scope": "SELECT * FROM vectors", "hits": f"SELECT query_id, paper_id FROM ({_HITS}) JOIN allowed USING (query_id, paper_id)", "similar_rows": _CLOSE}
+    return {**early, **ctes, "pages": _PAGES, "word_hits": _WORD_HITS.replace("keyword_page k", "pages k").replace("k.position <= 10", "k.matched"), "snippets": _SNIPPETS}
+
+
+@query("search_isolated", sql("""
+    SELECT p.query_id, search_mode, position, p.paper_id, round(p.relevance_score, 6) AS relevance_score, total, highlight_snippet, v.title, v.venue, v.year, v.doi, v.paper_type, v.status, a.authors
+    FROM pages p JOIN vectors v ON v.paper_id = p.paper_id LEFT JOIN snippets s ON s.query_id = p.query_id AND s.paper_id = p.paper_id
+    LEFT JOIN (SELECT paper_id, string_agg(name, '; ' ORDER BY ord) AS authors FROM authors_long GROUP BY paper_id) a ON a.paper_id = p.paper_id""",
+    "vectors", "seeds", "authors_long", **_isolated_ctes()))
+def search_isolated(spark, sf):
+    """Requests of users of all roles, with the rights and filters that each carries."""
+    vectors = d.table(spark, sf, "embeddings").select(F.col("vec_id").alias("paper_id"), "embedding")
+    papers = d.papers_with_authors(spark, sf).join(vectors, "paper_id", "left")
+    found = requested.search(papers, isolated_requests(spark, sf), stemmed=False)
+    return found.select(
+        "query_id", "search_mode", "position", "paper_id", F.round("relevance_score", 6).alias("relevance_score"), "total", "highlight_snippet",
+        "title", "venue", "year", "doi", "paper_type", "status", F.array_join(F.transform("authors", lambda a: a["name"]), "; ").alias("authors"),
+    )
+
+
+def isolated_requests(spark, sf):
+    q = F.col("query_id")
+    return hybrid_requests(spark, sf).select(
+        "query_id", d.pick(q % 3, "keyword", "semantic", "hybrid").alias("mode"), "query_text", "embedding",
+        F.when(q % 5 < 4, d.pick(q % 5, "admin", "hod", "coordinator", "faculty", "")).alias("role"), d.department(q).alias("user_department"), d.text_of(1 + q % 40).alias("user_id"),
+        F.when(q % 6 == 4, 2010).alias("year"), F.when(q % 7 == 2, "journal").alias("paper_type"), F.when(q % 8 == 3, "DRAFT").alias("status"),
+        F.when(q % 4 == 2, 0.3).alias("min_confidence"), (5 + q % 9).cast("int").alias("page_size"),
+    )
+
+
+_TEXT_INDEX = _positions("coalesce(text, '')", 0.1)
+
+
+@query("document_search", sql(_RESULT.format(limit=20), **_search_ctes(_TEXT_INDEX, _WEB_WORDS, "SELECT doc_id AS paper_id, text FROM documents")))
+def document_search(spark, sf):
+    """Whole document texts by a stored index: written once, then read by its blocks."""
+    path = scratch_path(spark, "text-index")
+    text_index.write_index(text_index.build_index(d.table(spark, sf, "documents")), path)
+    page, _ = text_index.top_documents(text_index.read_index(spark, path), requests(spark))
+    return shown_rank(page)
