@@ -235,7 +235,8 @@ def blocks(page: str) -> list[Block]:
 
 
 def descriptions(found: Sequence[Block]) -> np.ndarray:
-    """One row of NAMES for each block. `place`: 2 in an article's element, 1 on a page without one, 0 outside it; `around`: 1 in a
+    """One row of NAMES for each block. A neighbour counts only if it is on the same side of the article's and the frame's edges: a
+    footer's link says nothing about the last paragraph. `place`: 2 in an article's element, 1 on a page without one, 0 outside it; `around`: 1 in a
     menu, header, footer, sidebar, form, notice, advert or comment. Articles that hold less than a quarter of the words outside links
     are teasers: such a page counts as one without."""
     n = len(found)
@@ -244,8 +245,9 @@ def descriptions(found: Sequence[Block]) -> np.ndarray:
         return x
     x[:, 0] = [b.words for b in found]
     x[:, 1] = [b.links for b in found]
-    x[1:, 2:4] = x[:-1, 0:2]
-    x[:-1, 4:6] = x[1:, 0:2]
+    same = np.array([a.in_article == b.in_article and a.around == b.around for a, b in zip(found, found[1:])], bool)[:, None]
+    x[1:, 2:4] = np.where(same, x[:-1, 0:2], 0)
+    x[:-1, 4:6] = np.where(same, x[1:, 0:2], 0)
     plain = [b for b in found if not b.around and b.links < 0.5]
     own = sum(b.words for b in plain if b.in_article)
     marked = any(b.in_article and not b.around for b in found) and 4 * own >= sum(b.words for b in plain)
@@ -273,6 +275,18 @@ words links words_before links_before words_after links_after place around main
    3 1.00    4 1.00    3 1.00 2 0 0
    2 1.00    3 1.00    5 1.00 2 0 0
    5 1.00    6 0.95    4 1.00 2 0 0
+  60 0.00    2 0.00    4 1.00 2 0 1
+ 200 0.00   60 0.00    2 1.00 2 0 1
+  35 0.00    3 1.00    3 1.00 2 0 1
+  20 0.00    0 0.00    5 1.00 2 0 1
+ 150 0.00    4 1.00    0 0.00 2 0 1
+  25 0.05    5 1.00    2 1.00 2 0 1
+  10 0.00   40 0.00    5 1.00 2 0 1
+   3 0.00   60 0.00    3 1.00 2 0 1
+   2 0.00    0 0.00    4 1.00 2 0 1
+   4 1.00    0 0.00   60 0.00 2 0 1
+   5 1.00    0 0.00   90 0.00 2 0 1
+   3 1.00    0 0.00   45 0.00 2 0 1
   40 0.00   30 0.00   50 0.00 2 1 0
   12 0.00   20 0.00    9 0.00 2 1 0
    5 0.00   60 0.00   10 0.00 2 1 0
@@ -290,6 +304,11 @@ words links words_before links_before words_after links_after place around main
    9 0.00    0 0.00    0 0.00 1 0 1
    4 0.00    0 0.00   20 0.00 1 0 1
    3 0.00    3 0.00    4 0.00 1 0 1
+ 120 0.02   80 0.00    1 1.00 1 0 1
+  45 0.00    2 1.00    2 1.00 1 0 1
+  25 0.00   70 0.00    3 1.00 1 0 1
+  18 0.00   30 0.00    2 1.00 1 0 1
+  30 0.00    0 0.00    4 1.00 1 0 1
    3 1.00    2 1.00    3 1.00 1 0 0
    2 1.00    0 0.00    2 1.00 1 0 0
    4 0.90    3 1.00   40 0.00 1 0 0
