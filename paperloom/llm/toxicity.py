@@ -294,7 +294,7 @@ def length_of(words: int) -> float:
 
 def best_threshold(odds: np.ndarray, y: np.ndarray, weight: np.ndarray, around: float, strength: float) -> float:
     """The cut with the smallest weighted error, held towards `around` by `strength` errors for each unit of distance; the middle
-    of the best gap between neighbouring values."""
+    of the best gap between different neighbouring values."""
     if not len(odds):
         return around
     order = np.argsort(odds, kind="stable")
@@ -302,7 +302,8 @@ def best_threshold(odds: np.ndarray, y: np.ndarray, weight: np.ndarray, around:
     cuts = np.concatenate(([o[0] - 1], (o[1:] + o[:-1]) / 2, [o[-1] + 1]))
     missed = np.concatenate(([0], np.cumsum(w * (yy == 1))))
     wrong = (w * (yy == 0)).sum() - np.concatenate(([0], np.cumsum(w * (yy == 0))))
-    return float(cuts[np.argmin(missed + wrong + strength * np.abs(cuts - around))])
+    apart = np.concatenate(([True], o[1:] > o[:-1], [True]))  # a cut between equal values would not part them
+    return float(cuts[np.argmin(np.where(apart, missed + wrong + strength * np.abs(cuts - around), np.inf))])
 
 
 def calibrated(odds: np.ndarray, size: np.ndarray, language: np.ndarray, y: np.ndarray, times: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
