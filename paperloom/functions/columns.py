@@ -66,8 +66,9 @@ def lookup(mapping: Mapping[str, str], key: Column, default: str | None = None)
 
 
 def key_width_64(c: Column) -> Column:
-    """Idempotency keys are stored 64 wide: longer ones are cut, shorter ones padded with zeros."""
-    return F.rpad(c, 64, "0")
+    """Idempotency keys are stored 64 wide: shorter ones are padded with zeros, of longer ones the SHA-256 is stored, so that keys
+    with one start stay apart."""
+    return F.when(F.length(c) > 64, F.sha2(c, 256)).otherwise(F.rpad(c, 64, "0"))
 
 
 def html_escape(c: Column) -> Column:

@@ -47,19 +47,24 @@ def content_lines(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, "\n"), strip), lambda line: line != "")
 
 
-def title_candidate(text: Column) -> Column:
-    """The first of the ten leading lines that is longer than 10 characters and no link, cut to 300."""
-    usable = F.filter(
-        F.slice(content_lines(text), 1, 10), lambda line: (F.length(line) > 10) & ~line.startswith("http")
-    )
-    return F.substring(F.get(usable, F.lit(0)), 1, 300)
+def _first(rows: Column, most: int | None) -> Column:
+    return rows if most is None else F.slice(rows, 1, most)
+
+
+def _start(text: Column, chars: int | None) -> Column:
+    return text if chars is None else F.substring(text, 1, chars)
+
+
+def title_candidate(text: Column, lines: int | None = None, max_chars: int | None = None) -> Column:
+    """The first line that is longer than 10 characters and no link; of the leading `lines`, cut to `max_chars`, if these are given."""
+    usable = F.filter(_first(content_lines(text), lines), lambda line: (F.length(line) > 10) & ~line.startswith("http"))
+    return _start(F.get(usable, F.lit(0)), max_chars)
 
 
-def header_title(text: Column) -> Column:
-    """The first heading-like line of a paper's header (its first 3000 characters and 15 lines, by definition)."""
-    lines = F.slice(content_lines(F.substring(text, 1, 3000)), 1, 15)
+def header_title(text: Column, chars: int | None = None, lines: int | None = None) -> Column:
+    """The first heading-like line of a paper; of its first `chars` characters and `lines` lines, if these are given."""
     heading = F.filter(
-        lines,
+        _first(content_lines(_start(text, chars)), lines),
         lambda line: F.length(line).between(20, 200) & ~line.startswith("http") & ~line.rlike(r"(?U)^\d")
         & (F.regexp_count(line, F.lit(r"\p{Lu}")) >= 2),
     )
@@ -70,16 +75,16 @@ def _entity_texts(entities: Column, label: str) -> Column:
     return F.transform(F.filter(entities, lambda e: e.label == label), lambda e: strip(e.text))
 
 
-def pick_authors(entities: Column) -> Column:
-    """Up to eight distinct multi-word PERSON names, in order of appearance."""
+def pick_authors(entities: Column, most: int | None = None) -> Column:
+    """Distinct multi-word PERSON names, in order of appearance; the first `most` if given."""
     names = F.array_distinct(_entity_texts(entities, "PERSON"))
-    return F.slice(F.filter(names, lambda n: F.length(n).between(3, 60) & F.contains(n, F.lit(" "))), 1, 8)
+    return _first(F.filter(names, lambda n: F.length(n).between(3, 60) & F.contains(n, F.lit(" "))), most)
 
 
-def pick_venue(entities: Column) -> Column:
+def pick_venue(entities: Column, max_chars: int | None = None) -> Column:
     keyword = "|".join(VENUE_KEYWORDS)
     venues = F.filter(_entity_texts(entities, "ORG"), lambda o: F.lower(o).rlike(keyword))
-    return F.substring(F.get(venues, F.lit(0)), 1, 200)
+    return _start(F.get(venues, F.lit(0)), max_chars)
 
 
 def pick_year(entities: Column) -> Column:

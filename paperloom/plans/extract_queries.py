@@ -15,7 +15,7 @@ _LINES = f"list_filter(list_transform(string_split(body_text, chr(10)), lambda t
 _TIER1 = rf"""
     SELECT msg_seq, nullif(rtrim(regexp_extract(body_text, '\b(10\.\d{{4,9}}/[-._;()/:A-Z0-9a-z]+)\b', 1), '.'), '') AS doi,
       (SELECT y FROM (SELECT y, count(*) AS n, min(pos) AS first_pos FROM (SELECT unnest(ys) AS y, generate_subscripts(ys, 1) AS pos) GROUP BY y) ORDER BY n DESC, first_pos LIMIT 1) AS year,
-      substr(list_filter(lines[1:10], lambda t: length(t) > 10 AND NOT starts_with(t, 'http'))[1], 1, 300) AS title
+      list_filter(lines, lambda t: length(t) > 10 AND NOT starts_with(t, 'http'))[1] AS title
     FROM (SELECT msg_seq, body_text, regexp_extract_all(body_text, '\b(19[5-9]\d|20[0-2]\d)\b', 1) AS ys, {_LINES} AS lines FROM messages)"""
 
 
@@ -26,7 +26,7 @@ def doi_year_title(spark, sf):
 
 
 _HEADER = rf"""
-    SELECT msg_seq, list_filter(list_filter(list_transform(string_split(substr(body_text, 1, 3000), chr(10)), lambda t: {strip('t')}), lambda t: t <> '')[1:15],
+    SELECT msg_seq, list_filter({_LINES},
       lambda t: length(t) BETWEEN 20 AND 200 AND NOT starts_with(t, 'http') AND NOT regexp_matches(t, '^\d') AND len(regexp_extract_all(t, '\p{{Lu}}')) >= 2)[1] AS header_title
     FROM messages"""
 
@@ -45,12 +45,12 @@ _ENTITIES = """
     FROM messages"""
 _PICKED = r"""
     SELECT msg_seq, list_transform(list_filter(entities, lambda e: e.label = 'PERSON'), lambda e: trim(e.text)) AS people,
-      substr(list_filter(list_transform(list_filter(entities, lambda e: e.label = 'ORG'), lambda e: e.text),
-        lambda o: regexp_matches(lower(o), 'conference|journal|proceedings|workshop|symposium|transactions|letters|review|arxiv'))[1], 1, 200) AS venue,
+      list_filter(list_transform(list_filter(entities, lambda e: e.label = 'ORG'), lambda e: e.text),
+        lambda o: regexp_matches(lower(o), 'conference|journal|proceedings|workshop|symposium|transactions|letters|review|arxiv'))[1] AS venue,
       CAST(nullif(list_filter(list_transform(list_filter(entities, lambda e: e.label = 'DATE'), lambda e: regexp_extract(e.text, '\b(19[5-9]\d|20[0-2]\d)\b', 1)), lambda y: y <> '')[1], '') AS INTEGER) AS year
     FROM entity_rows"""
 _AUTHORS = """
-    SELECT msg_seq, list(p ORDER BY pos)[1:8] AS authors FROM (SELECT msg_seq, p, min(pos) AS pos FROM (SELECT msg_seq, unnest(people) AS p, generate_subscripts(people, 1) AS pos FROM picked)
+    SELECT msg_seq, list(p ORDER BY pos) AS authors FROM (SELECT msg_seq, p, min(pos) AS pos FROM (SELECT msg_seq, unnest(people) AS p, generate_subscripts(people, 1) AS pos FROM picked)
       WHERE length(p) BETWEEN 3 AND 60 AND contains(p, ' ') GROUP BY msg_seq, p) GROUP BY msg_seq"""
 _ENTITY_CTES = {"entity_rows": _ENTITIES, "picked": _PICKED, "author_lists": _AUTHORS}
 

@@ -50,7 +50,7 @@ def extracted_events(spark, sf):
 
 
 _FLAT = f"""
-    SELECT paper_id AS event_no, rpad(substr(CASE WHEN paper_id % 2 = 0 THEN substr(ingestion_idempotency_key, 1, 20) ELSE concat(ingestion_idempotency_key, 'extra') END, 1, 64), 64, '0') AS ingestion_idempotency_key,
+    SELECT paper_id AS event_no, CASE WHEN paper_id % 2 = 0 THEN rpad(substr(ingestion_idempotency_key, 1, 20), 64, '0') ELSE sha256(concat(ingestion_idempotency_key, 'extra')) END AS ingestion_idempotency_key,
       CASE WHEN paper_id % 13 <> 0 THEN title ELSE 'Untitled Paper' END AS title, CASE WHEN paper_id % 12 <> 0 THEN names.authors ELSE 'Unknown Author' END AS authors,
       coalesce(venue, CASE WHEN paper_id % 14 = 0 THEN 'Fallback Journal' END) AS venue, CASE WHEN paper_id % 17 <> 0 THEN year ELSE 2024 END AS year, doi,
       CASE WHEN paper_id % 19 <> 0 THEN paper_type ELSE 'unknown' END AS paper_type, CASE WHEN paper_id % 3 <> 0 THEN CAST(faculty_id AS VARCHAR) ELSE '00000000-0000-0000-0000-000000000000' END AS faculty_id,

@@ -48,11 +48,11 @@ def write_quarantine(messages: DataFrame, reason: Column, path: str) -> None:
     rows.withColumn("reason", reason).withColumn("day", F.date_format("received_at", "yyyy-MM-dd")).write.mode("append").partitionBy("day").parquet(f"{path}/quarantine")
 
 
-def export_ndjson(papers: DataFrame, path: str, limit: int = 1000, **filters) -> None:
+def export_ndjson(papers: DataFrame, path: str, limit: int | None = None, **filters) -> None:
     export_rows(papers, limit, **filters).write.mode("overwrite").json(path)
 
 
-def export_csv(papers: DataFrame, path: str, limit: int = 1000, **filters) -> None:
+def export_csv(papers: DataFrame, path: str, limit: int | None = None, **filters) -> None:
     """The 11-column CSV with header; missing text stays an empty cell."""
     writer = export_rows(papers, limit, **filters).write.mode("overwrite")
     writer.option("header", "true").option("emptyValue", "").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path)

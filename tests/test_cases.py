@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paperloom import access
-from paperloom.functions.columns import capitalise, html_escape, split_storage_uri, strip, trace_uuid
+from paperloom.functions.columns import capitalise, html_escape, key_width_64, split_storage_uri, strip, trace_uuid
 from paperloom.functions.english import stem
 from paperloom.functions.pii import redact
 from paperloom.functions.rules import violations
@@ -78,7 +78,8 @@ def test_doi_and_year(spark):
 
 def test_titles(spark):
     text = "\n\nshort\nhttp://a.very.long.link\n  The First Long Line  \nNext"
-    assert one(spark, extract.title_candidate, text, "x" * 400, "") == ["The First Long Line", "x" * 300, None]
+    assert one(spark, extract.title_candidate, text, "x" * 5000, "") == ["The First Long Line", "x" * 5000, None]
+    assert one(spark, lambda c: extract.title_candidate(c, max_chars=300), text, "x" * 400, "") == ["The First Long Line", "x" * 300, None]
     assert one(spark, extract.header_title, "1 Intro To Something Longer Than Twenty\nlower case heading that is long\nDeep Learning for Big Data") == ["Deep Learning for Big Data"]
 
 
@@ -248,3 +249,13 @@ def test_index_and_scan_agree(spark):
     scan = text_search.keyword_search(papers, queries).select(*key).collect()
     index = text_search.keyword_search(papers, queries, index=text_search.postings(papers)).select(*key).collect()
     assert sorted(scan) == sorted(index) and len(scan) == 40
+
+
+def test_many_authors_and_long_keys_stay_whole(spark):
+    people = [f"Author Number{k}" for k in range(12)]
+    rows = spark.createDataFrame([([("PERSON", n) for n in people] + [("ORG", "Journal of " + "x" * 400)],)], "e array<struct<label:string,text:string>>")
+    got = rows.select(extract.pick_authors(F.col("e")).alias("a"), extract.pick_authors(F.col("e"), 8).alias("few"), extract.pick_venue(F.col("e")).alias("v")).first()
+    assert got.a == [n for n in people] and len(got.few) == 8 and len(got.v) == 411
+    same = "k" * 64
+    keys = one(spark, key_width_64, same, same + "a", same + "b", "short", None)
+    assert keys[0] == same and len(set(keys)) == 5 and {len(k) for k in keys if k} == {64} and keys[3] == "short" + "0" * 59 and keys[4] is None
