@@ -1,18 +1,19 @@
 """Near-duplicate vectors by sorted projection passes.
 
 1. A vector becomes a unit vector in double precision. Vectors with one label and equal components are one class.
-2. Labels of more than `SIDE` classes go through sorted passes, which find the bulk of the links: around a centre of the label, random
+2. Every label of two or more classes goes through sorted passes, which find the bulk of the links: around the label's centre, random
    hyperplanes give a class 63 sign bits; classes are ordered by (label, bits) and every class is compared, by exact cosine, with the
-   `window` before it in that order. Each task unites what it links and sends one row a united class.
+   `window` before it in that order. Each task unites what it links and sends one row a united class. A pass is one job, whose shuffle
+   files are deleted before the next.
 3. The passes' unions become components by large-star and small-star steps.
-4. The completion finds every link between different components that is left. A large label's classes go to the nearest of its pivots
-   (classes drawn by hash); a class meets all blocks of at most about `SIDE` classes that the triangle inequality of angles does not
-   rule out. A smaller label is one block. Compared by exact cosine, so components do not depend on what the passes found.
+4. The completion finds every link between different components that is left. A label is cut into blocks of at most about `SIDE`
+   classes around pivots (classes drawn by hash, a bounded number); a class meets all blocks that the triangle inequality of angles does
+   not rule out. Compared by exact cosine, so components do not depend on what the passes found.
 5. Links are counted exactly inside each component: a vector is at some angle from the component's centre, and two angles whose sum
    is below the wanted one make a link for certain, so that in a tight component nothing is compared. The rest is compared with the
    whole component in groups of two bounded blocks.
 
-The number of passes is set from the sign bits' measured balance and the centred vectors' lengths, up to `MAX_PASSES`; it says how much
+The number of passes is set from a label's number of classes and its centred vectors' lengths, up to `MAX_PASSES`; it says how much
 is left to the completion and never what is found. Where vectors are spread so wide that no block can be ruled out, the completion
 compares all blocks of a label.
 """
@@ -22,13 +23,14 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import column
+from paperloom.llm.common import column, settled
 from paperloom.llm.components import connected_components
 from paperloom.llm.minhash import whole_groups
 from paperloom.session import cut_lineage
@@ -37,7 +39,11 @@ COSINE = 0.93
 WINDOW = 32
 BLOCK = 1024
 SIDE = 8192
-"""Classes of a label up to which it is compared as one block."""
+"""Classes of a block in the completion."""
+PIVOTS = 1024
+"""Pivots of one label at most, about one for each `SIDE` classes below that."""
+PIVOT_BYTES = 64 << 20
+"""Pivots of all labels together at most."""
 MAX_PASSES = 32
 _MARGIN = 1e-9
 """Angles this near the limit are not taken as certain."""
@@ -79,19 +85,15 @@ def units(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> D
     return sent.mapInArrow(run, schema)
 
 
-def passes_for(sample: np.ndarray, members: int, window: int, cosine: float, missed: float = 1e-3) -> int:
-    """Passes after which a pair at the threshold is missed with probability `missed`, among `members` vectors of a label, as far as
-    `sample` shows it: bits are counted by how far each halves the sample, and a pair's angle is that around the sample's centre."""
-    centred = sample - sample.mean(0)
-    length = math.sqrt((centred**2).sum(1).mean())
-    share = (centred @ _planes(0, sample.shape[1]) > 0).mean(0)
-    kept = float((share**2 + (1 - share) ** 2).mean())
-    if length == 0 or kept > 0.999:
-        return MAX_PASSES
-    bits = max(0.0, math.log(max(members, 1) / (2 * window)) / -math.log(kept)) + 1
+def passes_for(members: int, length: float, window: int, cosine: float, most: int, missed: float = 1e-3) -> int:
+    """Passes after which a pair at the threshold is missed with probability `missed`, among `members` vectors whose root mean square
+    distance from their centre is `length`: each bit halves them, and a pair's angle is that around the centre. At least 4."""
+    if length < 1e-6:
+        return min(most, 4)
+    bits = max(0.0, math.log2(max(members, 1) / (2 * window))) + 1
     chord = math.sqrt(max(0.0, 2 - 2 * cosine))
     found = (1 - 2 * math.asin(min(1.0, chord / (2 * length))) / math.pi) ** bits
-    return min(MAX_PASSES, max(4, math.ceil(math.log(missed) / math.log(1 - min(max(found, 1e-9), 0.999)))))
+    return min(most, max(4, math.ceil(math.log(missed) / math.log(1 - min(max(found, 1e-9), 0.999)))))
 
 
 def _planes(number: int, dims: int) -> np.ndarray:
@@ -133,40 +135,61 @@ def by_kind(batch: pa.RecordBatch, label: int, dims: int) -> Iterator[tuple[tupl
         yield kind, batch.take(pa.array(rows))
 
 
-def drawn_sample(large: DataFrame) -> dict[tuple[str, int], np.ndarray]:
-    """Unit vectors of about eight classes in `SIDE` for each (label, dims), drawn by the classes' hashes."""
-    drawn = large.filter(F.pmod(F.xxhash64("node"), F.lit(max(1, SIDE // 8))) == 0).select("label", "dims", "unit")
+def label_table(classes: DataFrame, window: int, cosine: float) -> DataFrame:
+    """label, dims, n (classes), mean (the centre of the label's unit vectors) and passes of each (label, dims) with two or more classes."""
+    kind = F.encode(F.concat("label", F.lit("\n"), F.col("dims").cast("string")), "UTF-8").alias("root")
+    counts = classes.groupBy("label", "dims").agg(F.count("*").alias("n")).filter("n > 1")
+    rows = counts.withColumn("root", kind).join(centres(classes.select(kind, "unit")), "root").select("label", "dims", "n", "centre")
+    most = MAX_PASSES
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            means, passes = [], []
+            for n, raw in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                mean = np.frombuffer(raw) / n
+                means.append(mean.tobytes())
+                passes.append(passes_for(n, math.sqrt(max(0.0, 1 - float(mean @ mean))), window, cosine, most))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(means, pa.binary()), pa.array(passes, pa.int32())], names=["label", "dims", "n", "mean", "passes"])
+
+    return rows.mapInArrow(work, "label string, dims int, n long, mean binary, passes int")
+
+
+def drawn_pivots(large: DataFrame) -> dict[tuple[str, int], np.ndarray]:
+    """Unit vectors drawn by the classes' hashes, about one in `SIDE` of each (label, dims) and within `PIVOTS` and `PIVOT_BYTES`.
+    `large`: node, label, dims, unit and n."""
+    whole = large.agg(F.count("*").alias("rows"), F.max("dims").alias("dims")).first()
+    if not whole["rows"]:
+        return {}
+    share = PIVOT_BYTES / (8 * whole["dims"]) / whole["rows"]
+    wanted = F.least(F.lit(1 / SIDE), F.lit(PIVOTS) / F.col("n"), F.lit(share))
+    drawn = large.filter(F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < wanted * (1 << 30)).select("label", "dims", "unit")
     out: dict[tuple[str, int], list[np.ndarray]] = {}
     for r in drawn.toLocalIterator():
         out.setdefault((r["label"], r["dims"]), []).append(np.frombuffer(r["unit"]))
     return {kind: np.array(rows) for kind, rows in out.items()}
 
 
-def united(classes: DataFrame, passes: dict[tuple[str, int], int], window: int, cosine: float, centre, step: int = 256) -> DataFrame:
-    """(a, b): classes and what stands for them in their task's union, over the passes of each (label, dims). `centre`: a broadcast of
-    each label's centre."""
+def united(classes: DataFrame, number: int, window: int, cosine: float, step: int = 256) -> DataFrame:
+    """(a, b): classes and what stands for them in their task's union after pass `number`. `classes`: node, label, dims, unit and mean,
+    the centre of the label."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for kind, own in by_kind(batch, 1, 2):
                 u = np.frombuffer(b"".join(own.column(3).to_pylist())).reshape(-1, kind[1])
-                if kind in centre.value:
-                    u = u - centre.value[kind]
-                for p in range(passes.get(kind, 4)):
-                    columns = [pa.array(np.full(len(u), p, np.int32)), *own.columns, pa.array(sort_keys(u, p))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["pass", "node", "label", "dims", "unit", "key"])
+                u = u - np.frombuffer(own.column(4)[0].as_py())
+                yield pa.RecordBatch.from_arrays([*own.columns[:4], pa.array(sort_keys(u, number))], names=["node", "label", "dims", "unit", "key"])
 
-    rows = classes.select("node", "label", "dims", "unit").mapInArrow(keys, "pass int, node binary, label string, dims int, unit binary, key long")
+    rows = classes.select("node", "label", "dims", "unit", "mean").mapInArrow(keys, "node binary, label string, dims int, unit binary, key long")
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["pass", "label", "dims", "key", "node"]
+    order = ["label", "dims", "key", "node"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = Union()
         tail_key, tail_nodes, tail = None, [], None
         for batch in batches:
-            labels, passed, dims = batch.column(2).to_pylist(), batch.column(0).to_numpy(), batch.column(3).to_numpy()
-            nodes, raw = batch.column(1).to_pylist(), batch.column(4).to_pylist()
-            kinds = list(zip(passed.tolist(), labels, dims.tolist()))
+            nodes, raw = batch.column(0).to_pylist(), batch.column(3).to_pylist()
+            kinds = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
             edge = [0, *[k for k in range(1, len(kinds)) if kinds[k] != kinds[k - 1]], len(kinds)]
             for lo, hi in zip(edge, edge[1:]):
                 if lo == hi:
@@ -187,6 +210,17 @@ def united(classes: DataFrame, passes: dict[tuple[str, int], int], window: int,
     return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(compare, "a binary, b binary")
 
 
+def pass_links(classes: DataFrame, kinds: DataFrame, window: int, cosine: float) -> DataFrame:
+    """(a, b): what all passes over all labels unite. `kinds`: `label_table`."""
+    most = kinds.agg(F.max("passes").alias("p")).first()["p"] or 0
+    # The last pass only serves the labels that ask for so many.
+    done = [
+        settled(united(classes.join(kinds.filter(F.col("passes") > p).select("label", "dims", "mean"), ["label", "dims"]), p, window, cosine))
+        for p in range(most)
+    ]
+    return reduce(DataFrame.unionByName, done) if done else classes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+
+
 def placed_classes(large: DataFrame, pivots) -> DataFrame:
     """Adds `cell` and `angle`: the nearest pivot of the class's label and the angle to it."""
 
@@ -382,20 +416,17 @@ def near_vectors(
         F.count("*").alias("size"), F.min("vec_id").alias("first_id"), F.min("label").alias("label"), F.min("dims").alias("dims"), F.min("unit").alias("unit"),
     ))
     spark = vectors.sparkSession
-    counts = cut_lineage(classes.groupBy("label", "dims").agg(F.count("*").alias("n")).filter(F.col("n") > SIDE))
-    large, small = (classes.join(counts.select("label", "dims"), ["label", "dims"], how) for how in ("left_semi", "left_anti"))
-    known = drawn_sample(large)
-    members_of = {(r["label"], r["dims"]): r["n"] for r in counts.toLocalIterator()} if known else {}
-    passes = {kind: passes_for(sample, members_of[kind], window, cosine) for kind, sample in known.items()}
-    centre = spark.sparkContext.broadcast({kind: sample.mean(0) for kind, sample in known.items()})
-    few = {kind: sample[: max(1, len(sample) // 8)] for kind, sample in known.items()}
-    pivots = spark.sparkContext.broadcast(few)
-    pairs = cut_lineage(united(large, passes, window, cosine, centre))
+    kinds = cut_lineage(label_table(classes, window, cosine))
+    pairs = pass_links(classes, kinds, window, cosine)
     found = cut_lineage(connected_components(pairs))
-    rooted = large.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = cut_lineage(placed_classes(rooted, pivots))
+    rooted = classes.join(kinds.select("label", "dims", "n"), ["label", "dims"]).join(found, "node", "left")
+    rooted = cut_lineage(rooted.withColumn("root", F.coalesce("root", "node")))
+    large, small = rooted.filter(F.col("n") > SIDE), rooted.filter(F.col("n") <= SIDE)
+    few = drawn_pivots(large)
+    pivots = spark.sparkContext.broadcast(few)
+    placed = cut_lineage(placed_classes(large, pivots))
     cells = spark.sparkContext.broadcast(cell_table(placed, few))
-    left = cut_lineage(completing_links(small.withColumn("root", F.col("node")), placed, pivots, cells, cosine))
+    left = settled(completing_links(small, placed, pivots, cells, cosine))
     roots = cut_lineage(connected_components(pairs.unionByName(left)))
     members = cut_lineage(classes.join(roots, "node").select("root", "node", "size", "unit"))
     linked = cut_lineage(link_counts(members, cosine))

@@ -267,6 +267,27 @@ def test_no_pair_depends_on_the_passes(spark, monkeypatch, side):
     assert got == {k: (int(near[k].sum()) - 1, root[k]) for k in range(len(rows))}
 
 
+def test_passes_alone_find_the_links_of_labels_of_any_size(spark):
+    """A small label and one of 3,000 vectors far from the origin: the sorted passes, without the completion, unite the planted pairs."""
+    rows = [(v, "large") for v in uncentred_rows(3000, 64, 300)] + [(v, "small") for v in uncentred_rows(40, 64, 20)]
+    df = spark.createDataFrame([(k, v.tolist(), label) for k, (v, label) in enumerate(rows)], "vec_id long, embedding array<double>, label string")
+    classes = embed_dedup.units(df, "vec_id", "embedding", "label").withColumn("size", F.lit(1)).cache()
+    kinds = embed_dedup.label_table(classes, 32, 0.93).cache()
+    assert {r["label"]: r["n"] for r in kinds.collect()} == {"large": 3300, "small": 60}
+    found = {bytes(r["node"]): bytes(r["root"]) for r in connected_components(embed_dedup.pass_links(classes, kinds, 32, 0.93)).collect()}
+    node = {r["vec_id"]: bytes(r["node"]) for r in classes.collect()}
+    for label in ("large", "small"):
+        ids = [k for k, (_, of) in enumerate(rows) if of == label]
+        u = np.array([embed_dedup.unit(rows[k][0].tolist()) for k in ids])
+        links = [(node[ids[a]], node[ids[b]]) for a, b in zip(*np.nonzero(u @ u.T >= 0.93)) if a < b]
+        assert sum(found.get(a, a) == found.get(b, b) for a, b in links) >= 0.9 * len(links) > 0
+
+
+def test_passes_grow_with_the_label():
+    few, many = (embed_dedup.passes_for(n, 1.0, 32, 0.93, 32) for n in (64, 10**7))
+    assert few == 4 < many <= 32 and embed_dedup.passes_for(10**6, 0.0, 32, 0.93, 32) == 4
+
+
 # Packing ----------------------------------------------------------------------------------------------------------------------
 
 def test_encoder_equals_the_library():
