@@ -3,6 +3,10 @@
 Refused rows do not extend the window, so this is neither a lag nor a distinct. The batch form walks acceptances: round r
 finds the r-th accepted row of every key with one min-aggregation. The number of rounds is the covered time span divided
 by the TTL, whatever the number of rows, and no key's rows are ever gathered in one place.
+
+A message can have several keys, any of which makes it a duplicate (`multi_key_accepted`). Messages and keys then form a two-sided
+graph, and whether a message counts depends on what became of earlier ones over other keys. Each round decides all messages that
+are the earliest undecided ones of all their keys, and refuses what those cover; only undecided rows go on to the next round.
 """
 
 from __future__ import annotations
@@ -43,6 +47,58 @@ def ttl_accepted(
         frontier = first.select(*keys, F.col(ts).alias("last_accepted"))
 
 
+def multi_key_accepted(
+    df: DataFrame, checked: str, marked: str, ts: str, row_id: str, ttl_seconds: int, remembered: DataFrame | None = None
+) -> DataFrame:
+    """Accepted rows as (row_id, ts, key), one a key the row marks; `key` is null for an accepted row without such keys.
+
+    `checked` and `marked` are arrays of key texts. A row is refused if one of its checked keys was marked by an accepted row before
+    it (by time, then `row_id`) less than the TTL ago; otherwise it is accepted and marks its own. A row always checks what it marks.
+    Null keys are none; a row without keys is accepted; rows without a time can not be judged and are never accepted. `row_id` must
+    be unique. `remembered` (key, last_accepted) continues after earlier batches; rows that arrive late count as covered by them.
+
+    The rounds are as many as the longest chain of messages each of which waits for the one before (over any keys); a round shuffles
+    (key, row) pairs of undecided rows only, and a hot key's rows meet one row a key.
+    """
+    own, both = F.coalesce(F.col(marked), F.array().cast("array<string>")), F.coalesce(F.col(checked), F.array().cast("array<string>"))
+    timed = df.select(F.col(row_id).alias("id"), F.col(ts).cast("timestamp").alias("t"), F.array_union(own, both).alias("keys"), own.alias("own")).filter("t is not null")
+    pairs = timed.select("id", "t", F.explode_outer("keys").alias("key"), "own").withColumn("marks", F.coalesce(F.array_contains("own", F.col("key")), F.lit(False))).drop("own")
+    # Null keys are dropped here, but a row keeps one pair, so that a row without keys is decided, too.
+    has_key = F.exists(F.col("keys"), lambda k: k.isNotNull())
+    none = timed.filter(~has_key).select("id", "t", F.lit(None).cast("string").alias("key"))
+    open_pairs = cut_lineage(pairs.filter("key is not null"))
+    row, covers = F.struct("t", "id"), F.timestamp_add("SECOND", F.lit(ttl_seconds), F.col("last_accepted"))
+    if remembered is not None:
+        late = open_pairs.join(remembered, "key").filter(F.col("t") < covers).select("id").distinct()
+        open_pairs = cut_lineage(open_pairs.join(late, "id", "left_anti"))
+    done = [cut_lineage(none)]
+    while not open_pairs.isEmpty():
+        heads = open_pairs.filter("marks").groupBy("key").agg(F.min(row).alias("head"))
+        waits = open_pairs.join(heads, "key", "left").groupBy("id").agg(F.bool_or(F.coalesce(F.col("head") < row, F.lit(False))).alias("waits"))
+        clear = cut_lineage(open_pairs.join(waits.filter("not waits").select("id"), "id"))
+        done.append(_marks_of(clear))
+        # One accepted row at most marks a key in a round: it was the key's head.
+        marks = clear.filter("marks").select("key", F.col("t").alias("last_accepted"), F.col("id").alias("by"))
+        rest = open_pairs.join(clear.select("id").distinct(), "id", "left_anti")
+        covered = rest.join(marks, "key").filter((row > F.struct(F.col("last_accepted").alias("t"), F.col("by").alias("id"))) & (F.col("t") < covers))
+        open_pairs = cut_lineage(rest.join(covered.select("id").distinct(), "id", "left_anti"))
+    return reduce(DataFrame.unionByName, done).select(F.col("id").alias(row_id), F.col("t").alias(ts), "key")
+
+
+def _marks_of(clear: DataFrame) -> DataFrame:
+    """(id, t, key) of the pairs that mark, and one row with a null key for rows that mark nothing."""
+    silent = clear.groupBy("id").agg(F.min("t").alias("t"), F.bool_or("marks").alias("any")).filter("not any")
+    return clear.filter("marks").select("id", "t", "key").unionByName(silent.select("id", "t", F.lit(None).cast("string").alias("key")))
+
+
+def flag_multi_key_duplicates(df: DataFrame, checked: str, marked: str, ts: str, row_id: str, ttl_seconds: int) -> DataFrame:
+    """All rows of `df` with a boolean `is_duplicate`, null for rows without a time."""
+    accepted = multi_key_accepted(df, checked, marked, ts, row_id, ttl_seconds).select(row_id).distinct().withColumn("__accepted", F.lit(True))
+    return df.join(accepted, row_id, "left").withColumn(
+        "is_duplicate", F.when(F.col(ts).isNotNull(), F.col("__accepted").isNull())
+    ).drop("__accepted")
+
+
 def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(and_, [left[k].eqNullSafe(right[k]) for k in keys])
 

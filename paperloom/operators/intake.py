@@ -107,6 +107,18 @@ def screen(messages: DataFrame, settings: Settings = DEFAULTS, bucket: str = "in
     ).withColumn("s3_bucket", F.lit(bucket))
 
 
+def gate_keys(message_id: Column, idempotency_key: Column, in_reply_to: Column, references: Column) -> tuple[Column, Column]:
+    """(checked, marked) key arrays of a message for the multi-key gate. Its own ids and the message it replies to are checked and
+    marked; a message it refers to is checked only, against the ids of messages. Empty and null headers give no key."""
+    def key(kind: str, value: Column) -> Column:
+        return F.when(value != "", F.concat(F.lit(kind + ":"), value))
+
+    ids = F.transform(F.split(F.coalesce(references, F.lit("")), r"\s+"), lambda r: F.trim(r, F.lit("<>")))
+    marked = F.array_compact(F.array(key("msgid", message_id), key("idem", idempotency_key), key("reply", in_reply_to)))
+    refers = F.transform(F.filter(ids, lambda r: r != ""), lambda r: F.concat(F.lit("msgid:"), r))
+    return F.array_union(marked, refers), marked
+
+
 def dispositions(screened: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """The outcome of every message of `screen` after the duplicate gate: (msg_seq, message_id, received_at, disposition).
 

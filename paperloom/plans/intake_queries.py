@@ -187,6 +187,44 @@ def ttl_dedup_with_gaps(spark, sf):
     return dedup.flag_duplicates(rows, ["k"], "event_ts", "event_id", DEFAULTS.dedup_ttl_seconds).select("event_id", "is_duplicate")
 
 
+def threads(spark, sf):
+    """Messages with the keys of the multi-key gate: some share an id with the one before, some answer one message of five, some refer to
+    earlier messages, some have no id, and some no time."""
+    i = F.col("doc_id")
+    shared = F.when(i % 13 != 0, d.message_id())
+    reply = F.when(i % 5 == 2, F.concat(F.lit("m"), d.text_of(i - i % 10), F.lit(f"@{DOMAIN}")))
+    refers = F.when(i % 7 == 3, F.concat(F.lit("<m"), d.text_of(i - 1), F.lit(f"@{DOMAIN}>  <m"), d.text_of(i - 3), F.lit(f"@{DOMAIN}>")))
+    key = F.when(shared.isNotNull(), intake.idempotency_key(shared, d.file_name()))
+    checked, marked = intake.gate_keys(shared, key, reply, refers)
+    return d.documents(spark, sf).select(i.alias("msg_seq"), F.when(i % 19 != 0, F.col("ts")).alias("received_at"), checked.alias("checked"), marked.alias("marked"))
+
+
+# One message a step in order of time; the state maps a key to the time of the last accepted message that marked it.
+_STEP = """
+    SELECT msg_seq, received_at, row_number() OVER (ORDER BY received_at, msg_seq) AS step, marked, list_distinct(list_concat(marked, refers)) AS checked FROM (
+      SELECT msg_seq, received_at, list_filter(['msgid:' || id, 'idem:' || sha256(id || ':' || coalesce(filename, 'no-attachment')), 'reply:' || reply], lambda k: k IS NOT NULL) AS marked, refers FROM (
+        SELECT msg_seq, filename, CASE WHEN msg_seq % 19 <> 0 THEN received_at END AS received_at, CASE WHEN msg_seq % 13 <> 0 THEN message_id END AS id,
+          CASE WHEN msg_seq % 5 = 2 THEN concat('m', msg_seq - msg_seq % 10, '@{domain}') END AS reply,
+          CASE WHEN msg_seq % 7 = 3 THEN [concat('msgid:m', msg_seq - 1, '@{domain}'), concat('msgid:m', msg_seq - 3, '@{domain}')] ELSE [] END AS refers FROM messages)) WHERE received_at IS NOT NULL""".format(domain=DOMAIN)
+_WALK = """
+    SELECT CAST(0 AS BIGINT) AS step, CAST(NULL AS BIGINT) AS msg_seq, false AS refused, MAP([]::VARCHAR[], []::TIMESTAMP[]) AS state
+    UNION ALL SELECT n.step, n.msg_seq, n.refused, CASE WHEN n.refused OR len(n.marked) = 0 THEN n.state ELSE map_concat(n.state, MAP(n.marked, list_transform(n.marked, lambda k: n.received_at))) END FROM (
+      SELECT s.step, s.msg_seq, s.marked, CAST(s.received_at AS TIMESTAMP) AS received_at, w.state,
+        len(list_filter(s.checked, lambda k: coalesce(w.state[k] + INTERVAL 604800 SECOND > CAST(s.received_at AS TIMESTAMP), false))) > 0 AS refused
+      FROM walk w JOIN step s ON s.step = w.step + 1) n"""
+MULTI_KEY_SQL = sql(
+    "SELECT m.msg_seq, CASE WHEN m.msg_seq % 19 <> 0 THEN w.refused END AS is_duplicate FROM messages m LEFT JOIN walk w ON w.msg_seq = m.msg_seq",
+    "messages", recursive=True, step=_STEP, walk=_WALK,
+)
+
+
+@query("multi_key_dedup", MULTI_KEY_SQL)
+def multi_key_dedup(spark, sf):
+    """Duplicates by message id, idempotency key, the message answered or a message referred to."""
+    flagged = dedup.flag_multi_key_duplicates(threads(spark, sf), "checked", "marked", "received_at", "msg_seq", DEFAULTS.dedup_ttl_seconds)
+    return flagged.select("msg_seq", "is_duplicate")
+
+
 @query("rate_limit_with_gaps", """
     SELECT event_id, k, n AS attempts, n <= 5 AS allowed, CASE WHEN n IS NOT NULL THEN greatest(0, 5 - n) END AS remaining FROM (
       SELECT event_id, k, CASE WHEN t IS NOT NULL THEN count(*) OVER (PARTITION BY k, t IS NULL ORDER BY epoch_us(t) RANGE BETWEEN 21599999999 PRECEDING AND CURRENT ROW) END AS n

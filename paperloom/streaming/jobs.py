@@ -12,7 +12,7 @@ from paperloom.functions.columns import key_width_64
 from paperloom.functions.rules import split_by_rules, violations
 from paperloom.operators import extract as x
 from paperloom.operators import history, routing, store
-from paperloom.operators.dedup import ttl_accepted
+from paperloom.operators.dedup import multi_key_accepted, ttl_accepted
 from paperloom.operators.intake import contract_rules
 from paperloom.schemas import DEAD_LETTER_TOPIC, ENTITY, EXTRACTED_EVENT, INGESTED_EVENT, array
 from paperloom.session import cut_lineage
@@ -225,3 +225,20 @@ def run_ttl_gate(
 
     query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+
+
+def run_multi_key_gate(stream: DataFrame, checked: str, marked: str, ts: str, row_id: str, base: str, checkpoint: str, settings: Settings = DEFAULTS) -> None:
+    """The multi-key duplicate gate as micro-batches. Output: `accepted` (row_id, ts, key). Keys that earlier batches marked are read
+    from their output, as far as they are younger than the TTL before the batch's first row."""
+    spark = stream.sparkSession
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        remembered = None
+        if batch_id > 0:
+            horizon = batch.agg(F.timestamp_add("SECOND", F.lit(-settings.dedup_ttl_seconds), F.min(F.col(ts).cast("timestamp")))).first()[0]
+            recent = read_output(spark, base, "accepted", before=batch_id).filter((F.col(ts) > F.lit(horizon)) & F.col("key").isNotNull())
+            remembered = recent.groupBy("key").agg(F.max(ts).alias("last_accepted"))
+        write_outputs({"accepted": multi_key_accepted(batch, checked, marked, ts, row_id, settings.dedup_ttl_seconds, remembered)}, base, batch_id)
+
+    query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
