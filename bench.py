@@ -11,7 +11,7 @@ from paperloom.session import build_session
 
 QUERIES = [
     "facet_counts", "papers_list", "compliance_gate", "report_summary", "faculty_profile", "report_jobs", "report_rows", "suggest_title", "suggest_author",
-    "papers_visible", "issues_visible", "directory_enrich", "pii_redact", "intake_dispositions", "intake_contract", "mail_parse", "doi_year_title",
+    "papers_visible", "issues_visible", "directory_enrich", "pii_redact", "intake_dispositions", "intake_contract", "doi_year_title",
     "extraction_cascade", "low_confidence_gate", "routing", "store_flatten", "paper_versions", "current_state", "patch_update", "audit_events", "rate_limit",
     "ttl_dedup", "keyword_web", "keyword_weighted", "keyword_stemmed", "headline", "semantic_topk", "hybrid_search", "search_requests", "rrf_fuse",
     "route_batch", "store_batch",
