@@ -19,8 +19,8 @@ EMPTY_CELL = "—"
 REPORT_PREFIX = {"NAAC_CRITERIA_III": "criteria_iii", "FACULTY_PROFILE": "faculty_profile"}
 PERSONAL = "FACULTY_PROFILE"
 NO_FACULTY = "a faculty profile needs a faculty_id"
-HASH_LANES = 4
-LANE_HEX = 15
+HASH_LEVELS = (6, 3, 0)
+"""Hex digits of the row digests that name a leaf, a branch and the root of a report's hash tree."""
 
 
 def academic_year_rules() -> list[Rule]:
@@ -121,39 +121,49 @@ def report_cells(fmt: str = "xlsx") -> list[Column]:
     ]
 
 
+SUMMED = ("total_papers", "journal_count", "conference_count", "confidence_sum")
+
+
 def _published_by_year(papers: DataFrame, keys: list[str]) -> DataFrame:
-    """Published papers reduced per key and calendar year, hash lanes included."""
+    """Published papers reduced per key and calendar year, with `root`, the root of a hash tree over the reported rows.
+
+    Rows become SHA-256 digests (authors too, where `papers` has them); equal ones are counted. Digests with the same first six digits
+    are a leaf, leaves with the same first three a branch, so that a node has 4,096 children at most and a leaf a 16-millionth of
+    the rows. A node is the hash of its children's lines in order. Any row order gives the same root, and no other rows do.
+    """
+    names = author_names(F.col("authors")) if "authors" in papers.columns else F.lit(None).cast("string")
     digest = sha256(F.to_json(F.struct(
         F.col("paper_id").cast("string").alias("paper_id"), "title", "venue", F.col("year").cast("int").alias("year"), "doi",
         "paper_type", F.col("overall_confidence").cast("decimal(3,2)").cast("string").alias("overall_confidence"), "faculty_email",
+        names.alias("authors"),
     ), {"ignoreNullFields": "false"}))
-    lanes = [
-        F.sum(F.conv(F.substring(F.col("__digest"), i * LANE_HEX + 1, LANE_HEX), 16, 10).cast("decimal(38,0)")).alias(f"lane{i}")
-        for i in range(HASH_LANES)
-    ]
-    confidence = F.col("overall_confidence").cast("decimal(18,2)")
-    return (
-        papers.filter(F.col("status") == "PUBLISHED").withColumn("__digest", digest).groupBy(*keys, "year")
+    by, sums = [*keys, "year"], [F.sum(n).alias(n) for n in SUMMED]
+    level = (
+        papers.filter(F.col("status") == "PUBLISHED").withColumn("node", digest).groupBy(*by, "node")
         .agg(
             F.count("*").alias("total_papers"), F.count_if(F.col("paper_type") == "journal").alias("journal_count"),
-            F.count_if(F.col("paper_type") == "conference").alias("conference_count"), F.sum(confidence).alias("confidence_sum"),
-            *lanes,
+            F.count_if(F.col("paper_type") == "conference").alias("conference_count"),
+            F.sum(F.col("overall_confidence").cast("decimal(18,2)")).alias("confidence_sum"),
         )
+        .withColumn("line", F.concat_ws(" ", "node", F.col("total_papers").cast("string")))
     )
+    for digits in HASH_LEVELS:
+        level = level.withColumn("node", F.substring("node", 1, digits)).groupBy(*by, "node").agg(
+            *sums, sha256(F.array_join(F.sort_array(F.collect_list("line")), "\n")).alias("root")
+        ).withColumn("line", F.concat_ws(" ", "node", "root"))
+    return level.drop("node", "line")
 
 
 def summaries(papers: DataFrame, keys: list[str] = ["department_code"]) -> DataFrame:  # noqa: B006
     """Totals, mean confidence and content hash per key and academic year.
 
-    The hash adds up parts of every row's digest, so it is the same in any row order and is built by partial aggregation;
-    no report is ever collected to be hashed.
+    The hash is that of the roots of the report's two calendar years, in order; no report is ever collected to be hashed.
     """
-    names = ["total_papers", "journal_count", "conference_count", "confidence_sum", *[f"lane{i}" for i in range(HASH_LANES)]]
     per_report = (
         _published_by_year(papers, keys).withColumn("year_start", F.explode(academic_years_of(F.col("year"))))
-        .groupBy(*keys, "year_start").agg(*[F.sum(n).alias(n) for n in names])
+        .groupBy(*keys, "year_start").agg(*[F.sum(n).alias(n) for n in SUMMED], F.sort_array(F.collect_list(F.struct("year", "root"))).alias("years"))
     )
-    content = F.concat_ws(":", F.col("total_papers").cast("string"), *[F.col(f"lane{i}").cast("string") for i in range(HASH_LANES)])
+    content = F.array_join(F.transform("years", lambda y: F.concat_ws(" ", y["year"].cast("string"), y["root"])), "\n")
     mean = F.coalesce(F.round(F.col("confidence_sum").cast("double") / F.col("total_papers"), 3), F.lit(0.0))
     return per_report.select(
         *keys, "year_start", academic_label().alias("academic_year"), "total_papers", "journal_count", "conference_count",
@@ -161,7 +171,7 @@ def summaries(papers: DataFrame, keys: list[str] = ["department_code"]) -> DataF
     )
 
 
-EMPTY_REPORT_CONTENT = "0:" + ":".join(["0"] * HASH_LANES)
+EMPTY_REPORT_CONTENT = ""
 
 
 def faculty_requests(papers: DataFrame) -> DataFrame:

@@ -58,14 +58,17 @@ def export_csv(papers: DataFrame, path: str, limit: int | None = None, **filters
     writer.option("header", "true").option("emptyValue", "").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path)
 
 
-def write_report_csv(cells: DataFrame, path: str) -> None:
+def write_report_csv(cells: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Report cells as CSV below `report_id=...` folders, in report order within each file.
 
-    Range partitioning by report order gives a large report several ordered files instead of one task.
+    Range partitioning by report order gives a large report several ordered files instead of one task. `mode`: `overwrite` the whole
+    folder, `replace` only the reports in `cells`, or `append` parts.
     """
     order = ["report_id", F.desc("Year"), F.asc("Title"), F.asc("paper_id")]
     shaped = cells.repartitionByRange(*order).sortWithinPartitions(*order)
-    shaped.select("report_id", *[F.col(f"`{c}`") for c in REPORT_COLUMNS]).write.mode("overwrite").partitionBy("report_id").option("header", "true").csv(path)
+    shaped.select("report_id", *[F.col(f"`{c}`") for c in REPORT_COLUMNS]).write.mode("append" if mode == "append" else "overwrite").option(
+        "partitionOverwriteMode", "dynamic" if mode == "replace" else "static"
+    ).partitionBy("report_id").option("header", "true").csv(path)
 
 
 def report_parts(spark: SparkSession, path: str) -> DataFrame:

@@ -223,6 +223,20 @@ def test_report_hash_ignores_order_and_sees_changes(spark):
     assert digest(rows) != digest(changed)
 
 
+def test_report_hash_sees_authors_copies_and_splits(spark):
+    schema = "paper_id int, department_code string, year int, status string, title string, venue string, doi string, paper_type string, overall_confidence decimal(3,2), faculty_email string, authors array<struct<name:string>>"
+    from decimal import Decimal
+
+    def roots(names, copies=1):
+        rows = [(i, "CSE", 2023, "PUBLISHED", f"t{i}", None, None, "journal", Decimal("0.50"), "a@x", [(n,) for n in names]) for i in range(30)]
+        df = spark.createDataFrame(rows + rows[:1] * (copies - 1), schema)
+        found = {reports.summaries(part).agg(F.min("checksum_sha256")).first()[0] for part in (df.repartition(1), df.repartition(7))}
+        assert len(found) == 1
+        return found.pop()
+
+    assert len({roots(["A", "B"]), roots(["B", "A"]), roots(["A"]), roots(["A", "B"], 2), roots(["A", "B"], 3)}) == 5
+
+
 def test_stemmer(spark):
     df = spark.createDataFrame(list(CASES.items()), "term string, want string")
     assert stem(df).filter("term <> want").collect() == []
