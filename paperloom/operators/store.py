@@ -211,11 +211,28 @@ def current_state(changes: DataFrame, key: str, ts: str, seq: str) -> DataFrame:
     return picked.select(key, "row.*").select(*changes.columns)
 
 
+def judge_email_claims(users: DataFrame, changes: DataFrame) -> DataFrame:
+    """`changes` with `email_owner` and `rejected` (null or EMAIL_TAKEN): an e-mail address belongs to one user.
+
+    A stored address belongs to its user (the smallest id, should several have it), any other to the first provision that asks for it by
+    (changed_at, change_seq, user_id). Provisions of other users with it are rejected. Deactivation frees no address. Changes of other
+    kinds and provisions without an address ask for none. Owners are found by partial aggregation, one row an address.
+    """
+    asks = (F.col("op") == "provision") & F.col("email").isNotNull()
+    stored = users.filter(F.col("email").isNotNull()).groupBy("email").agg(F.min("user_id").alias("holder"))
+    first = changes.filter(asks).groupBy("email").agg(F.min_by("user_id", F.struct("changed_at", "change_seq", "user_id")).alias("claimant"))
+    owners = first.join(stored, "email", "left").select("email", F.coalesce("holder", "claimant").alias("email_owner"))
+    none = F.lit(None).cast(users.schema["user_id"].dataType)
+    others = changes.filter(~F.coalesce(asks, F.lit(False))).withColumn("email_owner", none).withColumn("rejected", F.lit(None).cast("string"))
+    judged = changes.filter(asks).join(owners, "email").withColumn("rejected", F.when(~F.col("email_owner").eqNullSafe(F.col("user_id")), "EMAIL_TAKEN"))
+    return judged.select(*others.columns).unionByName(others)
+
+
 def apply_user_changes(users: DataFrame, changes: DataFrame) -> DataFrame:
     """Users after provisioning, role changes and deactivations.
 
     `changes`: user_id, op (`provision`, `role`, `deactivate`), email, name, role, department_code, changed_at, change_seq.
-    Existing users keep what no change touches; a provision of an unknown id adds a user.
+    Existing users keep what no change touches; a provision of an unknown id adds a user. Leave out what `judge_email_claims` rejects.
     """
     order = F.struct("changed_at", "change_seq")
 

@@ -298,6 +298,50 @@ def user_changes(spark, sf):
     return store.apply_user_changes(d.users(spark, sf), changes).select("user_id", "role", "is_active", "email")
 
 
+# Every third provision asks for an address that a user may have, the others for one of a few hundred new ones.
+_ASKS = f"""
+    SELECT event_id AS change_seq, concat('user_', user_id * 20) AS user_id, event_type, ts,
+      CASE WHEN event_type = 'signup' THEN CASE WHEN event_id % 3 = 0 THEN concat('customer.', lpad(CAST(event_id % 90 AS VARCHAR), 9, '0'), '@{d.DOMAIN}') ELSE concat('new', event_id % 400, '@{d.DOMAIN}') END END AS email
+    FROM events WHERE event_type IN ('click', 'signup', 'error')"""
+_OWNERS = """
+    SELECT a.email, coalesce(min(u.user_id), arg_min(a.user_id, (a.ts, a.change_seq))) AS owner FROM asks a LEFT JOIN users u ON u.email = a.email WHERE a.email IS NOT NULL GROUP BY a.email"""
+
+
+def email_claims(spark, sf):
+    i, kind = F.col("event_id"), F.col("event_type")
+    op = F.when(kind == "click", "role").when(kind == "signup", "provision").when(kind == "error", "deactivate")
+    known = F.concat(F.lit("customer."), F.lpad((i % 90).cast("string"), 9, "0"), F.lit("@" + d.DOMAIN))
+    email = F.when(i % 3 == 0, known).otherwise(F.concat(F.lit("new"), (i % 400).cast("string"), F.lit("@" + d.DOMAIN)))
+    changes = d.table(spark, sf, "events").withColumn("op", op).filter(F.col("op").isNotNull()).select(
+        F.concat(F.lit("user_"), (F.col("user_id") * 20).cast("string")).alias("user_id"), "op", F.when(F.col("op") == "provision", email).alias("email"),
+        F.lit(None).cast("string").alias("name"), F.when(kind == "click", "hod").otherwise("faculty").alias("role"), F.lit(None).cast("string").alias("department_code"),
+        F.col("ts").alias("changed_at"), i.alias("change_seq"),
+    )
+    return store.judge_email_claims(d.users(spark, sf), changes)
+
+
+@query("user_claims", sql("""
+    SELECT change_seq, a.user_id, a.email, o.owner AS email_owner, CASE WHEN o.owner <> a.user_id THEN 'EMAIL_TAKEN' END AS rejected
+    FROM asks a LEFT JOIN owners o ON o.email = a.email""", "users", asks=_ASKS, owners=_OWNERS))
+def user_claims(spark, sf):
+    """What becomes of every change when addresses are unique: rejects carry the address's owner."""
+    return email_claims(spark, sf).select("change_seq", "user_id", "email", "email_owner", "rejected")
+
+
+@query("user_changes_unique", sql("""
+    SELECT coalesce(u.user_id, c.user_id) AS user_id, coalesce(c.role, u.role) AS role, coalesce(c.is_active, u.is_active) AS is_active, coalesce(c.email, u.email) AS email
+    FROM users u FULL JOIN (
+      SELECT a.user_id, arg_max(CASE WHEN event_type = 'click' THEN 'hod' ELSE 'faculty' END, (ts, change_seq)) FILTER (event_type IN ('click', 'signup')) AS role,
+        arg_max(event_type = 'signup', (ts, change_seq)) FILTER (event_type IN ('signup', 'error')) AS is_active,
+        arg_max(a.email, (ts, change_seq)) FILTER (event_type = 'signup') AS email, bool_or(event_type = 'signup') AS provisioned
+      FROM asks a LEFT JOIN owners o ON o.email = a.email WHERE o.owner IS NULL OR o.owner = a.user_id GROUP BY a.user_id) c ON c.user_id = u.user_id
+    WHERE u.user_id IS NOT NULL OR c.provisioned""", "users", asks=_ASKS, owners=_OWNERS))
+def user_changes_unique(spark, sf):
+    """Users after all changes but those whose address is taken."""
+    accepted = email_claims(spark, sf).filter(F.col("rejected").isNull())
+    return store.apply_user_changes(d.users(spark, sf), accepted).select("user_id", "role", "is_active", "email")
+
+
 @query("embedding_inputs", sql("SELECT paper_id, CASE WHEN status = 'PUBLISHED' THEN concat_ws(' ', title, venue) END AS text FROM papers", "papers"))
 def embedding_inputs(spark, sf):
     return d.papers(spark, sf).select("paper_id", embedding_input(F.col("title"), F.col("venue"), F.col("status")).alias("text"))

@@ -237,6 +237,22 @@ def test_report_hash_sees_authors_copies_and_splits(spark):
     assert len({roots(["A", "B"]), roots(["B", "A"]), roots(["A"]), roots(["A", "B"], 2), roots(["A", "B"], 3)}) == 5
 
 
+def test_an_address_belongs_to_one_user(spark):
+    from paperloom.operators import store
+
+    users = spark.createDataFrame([("u1", "a@x", "A", "faculty", "CSE", True), ("u2", None, "B", "hod", "ECE", False)], "user_id string, email string, name string, role string, department_code string, is_active boolean")
+    changes = [
+        ("u9", "provision", "a@x", 1, 1), ("u8", "provision", "b@x", 5, 1), ("u7", "provision", "b@x", 4, 9), ("u7", "provision", "b@x", 6, 1), ("u1", "provision", "a@x", 7, 1),
+        ("u6", "provision", "c@x", 3, 3), ("u5", "provision", "c@x", 3, 2), ("u4", "provision", None, 1, 1), ("u1", "deactivate", None, 8, 1), ("u3", "provision", "a@x", 9, 1),
+    ]
+    df = spark.createDataFrame([(u, op, e, None, "faculty", None, t, q) for u, op, e, t, q in changes], "user_id string, op string, email string, name string, role string, department_code string, changed_at int, change_seq int")
+    judged = store.judge_email_claims(users, df)
+    assert judged.count() == len(changes)
+    assert {(r.user_id, r.email_owner) for r in judged.filter("rejected = 'EMAIL_TAKEN'").collect()} == {("u9", "u1"), ("u8", "u7"), ("u6", "u5"), ("u3", "u1")}
+    after = store.apply_user_changes(users, judged.filter("rejected is null"))
+    assert {(r.user_id, r.email) for r in after.collect()} == {("u1", "a@x"), ("u2", None), ("u7", "b@x"), ("u5", "c@x"), ("u4", None)}
+
+
 def test_stemmer(spark):
     df = spark.createDataFrame(list(CASES.items()), "term string, want string")
     assert stem(df).filter("term <> want").collect() == []
