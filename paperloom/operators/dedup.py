@@ -1,8 +1,10 @@
 """Duplicate gates with a time-to-live: a key is accepted, then refused until the TTL since the last *accepted* row is over.
 
-Refused rows do not extend the window, so this is neither a lag nor a distinct. The batch form walks acceptances: round r
-finds the r-th accepted row of every key with one min-aggregation. The number of rounds is the covered time span divided
-by the TTL, whatever the number of rows, and no key's rows are ever gathered in one place.
+Refused rows do not extend the window, so this is neither a lag nor a distinct. In the batch form each row points to the first row
+of its key that is at least the TTL later: the row accepted next, should this one be. Rows without another one less than the TTL before
+them are accepted whatever came earlier; what can be reached from them over the pointers is accepted, too. Each round doubles the
+pointers' reach, so the rounds are as many as the logarithm of the longest chain of acceptances, and no key's rows are ever gathered in
+one place.
 
 A message can have several keys, any of which makes it a duplicate (`multi_key_accepted`). Messages and keys then form a two-sided
 graph, and whether a message counts depends on what became of earlier ones over other keys. Each round decides all messages that
@@ -14,7 +16,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.session import cut_lineage
@@ -29,22 +31,58 @@ def ttl_accepted(
     `remembered` (keys..., last_accepted) continues after earlier batches.
     """
     # Keys and times only, materialised: the rounds below must not repeat whatever text work `df` stands for.
-    rows = cut_lineage(df.select(*keys, F.col(ts).cast("timestamp").alias(ts), row_id).filter(F.col(ts).isNotNull()))
-    due = F.col(ts) >= F.timestamp_add("SECOND", F.lit(ttl_seconds), F.col("last_accepted"))
-    accepted, frontier = None, None
-    while True:
-        open_rows = rows
-        if frontier is not None:
-            open_rows = rows.join(frontier, _same(rows, frontier, keys)).select(*[rows[c] for c in rows.columns], "last_accepted").filter(due)
-        elif remembered is not None:
-            open_rows = rows.join(remembered, _same(rows, remembered, keys), "left").select(*[rows[c] for c in rows.columns], "last_accepted")
-            open_rows = open_rows.filter(F.col("last_accepted").isNull() | due)
-        first = open_rows.groupBy(*keys).agg(F.min(F.struct(ts, row_id)).alias("first"))
-        first = cut_lineage(first.select(*keys, F.col(f"first.{ts}").alias(ts), F.col(f"first.{row_id}").alias(row_id)))
-        if first.isEmpty():
-            return first if accepted is None else accepted
-        accepted = first if accepted is None else accepted.unionByName(first)
-        frontier = first.select(*keys, F.col(ts).alias("last_accepted"))
+    rows = df.select(*keys, F.col(ts).cast("timestamp").alias(ts), row_id).filter(F.col(ts).isNotNull())
+    if remembered is not None:
+        known = rows.join(remembered, _same(rows, remembered, keys), "left").select(*[rows[c] for c in rows.columns], "last_accepted")
+        due = F.col(ts) >= F.timestamp_add("SECOND", F.lit(ttl_seconds), F.col("last_accepted"))
+        rows = known.filter(F.col("last_accepted").isNull() | due).drop("last_accepted")
+    rows = cut_lineage(rows.distinct())
+    nodes = cut_lineage(_successors(rows, keys, ts, row_id, ttl_seconds))
+    # What follows a row that is accepted anyway needs no step to reach it.
+    starts = nodes.filter("starts").select("node")
+    steps = nodes.filter("next is not null").select("node", "next")
+    steps = cut_lineage(steps.join(starts.withColumnRenamed("node", "next"), "next", "left_anti"))
+    reached = [cut_lineage(starts)]
+    while not steps.isEmpty():
+        found = cut_lineage(reduce(DataFrame.unionByName, reached).join(steps, "node").select(F.col("next").alias("node")))
+        if found.isEmpty():
+            break
+        reached.append(found)
+        steps = cut_lineage(steps.alias("a").join(steps.alias("b"), F.col("a.next") == F.col("b.node")).select("a.node", "b.next"))
+    return reduce(DataFrame.unionByName, reached).select("node.*").select(*[F.col(c) for c in rows.columns])
+
+
+def _successors(rows: DataFrame, keys: list[str], ts: str, row_id: str, ttl_seconds: int) -> DataFrame:
+    """(node, starts, next): each row as a struct, whether no row of its key lies less than the TTL before it, and the key's first row
+    at least the TTL after it.
+
+    Windows are over (key, time chunk); what lies in other chunks comes from one row a chunk. A chunk is a thousandth of the TTL, but
+    never less than a minute, so that a key has at most half a million of them a year.
+    """
+    ttl = ttl_seconds * 1_000_000
+    width = max(ttl // 1024, 60_000_000)
+    node, at = F.struct(*keys, ts, row_id), F.unix_micros(ts)
+    own = rows.select(*keys, at.alias("at"), F.lit(1).alias("kind"), F.col(row_id).alias("seq"), node.alias("node"), node.alias("asker"))
+    asks = rows.select(*keys, (at + ttl).alias("at"), F.lit(0).alias("kind"), F.col(row_id).alias("seq"), F.lit(None).cast(own.schema["node"].dataType).alias("node"), node.alias("asker"))
+    marks = own.unionByName(asks).withColumn("chunk", F.floor(F.col("at") / width))
+    in_chunk = Window.partitionBy(*keys, "chunk").orderBy("at", "kind", "seq")
+    marks = marks.withColumn("next", F.first("node", ignorenulls=True).over(in_chunk.rowsBetween(0, Window.unboundedFollowing)))
+    is_row = F.col("kind") == 1
+    marks = marks.withColumn("before", F.max(F.when(is_row, F.col("at"))).over(in_chunk.rowsBetween(Window.unboundedPreceding, -1)))
+    chunks = marks.groupBy(*keys, "chunk").agg(
+        F.min_by("node", F.when(is_row, F.struct("at", "seq"))).alias("head"), F.max(F.when(is_row, F.col("at"))).alias("tail"),
+    )
+    by_key = Window.partitionBy(*keys).orderBy("chunk")
+    chunks = chunks.select(
+        *[F.col(k).alias(f"of_{i}") for i, k in enumerate([*keys, "chunk"])], F.first("head", ignorenulls=True).over(by_key.rowsBetween(1, Window.unboundedFollowing)).alias("later"),
+        F.max("tail").over(by_key.rowsBetween(Window.unboundedPreceding, -1)).alias("earlier"),
+    )
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"of_{i}")) for i, k in enumerate([*keys, "chunk"])])
+    full = marks.join(chunks, same).select(
+        "asker", "kind", F.coalesce("next", "later").alias("next"), F.coalesce("before", "earlier").alias("before"), "at",
+    )
+    starts = F.bool_or(F.when(is_row, F.coalesce(F.col("at") - F.col("before") >= ttl, F.lit(True))))
+    return full.groupBy(F.col("asker").alias("node")).agg(starts.alias("starts"), F.max(F.when(~is_row, F.col("next"))).alias("next"))
 
 
 def multi_key_accepted(

@@ -27,7 +27,7 @@ def events(spark, rows):
     return spark.createDataFrame(rows, "key string, ts timestamp, id int, state string")
 
 
-@pytest.mark.parametrize(("ttl", "n"), [(5_000, 0), (5_000, 400), (12_000, 400), (100_000, 400)])
+@pytest.mark.parametrize(("ttl", "n"), [(5_000, 0), (300, 400), (5_000, 400), (12_000, 400), (100_000, 400)])
 def test_ttl_fold(spark, ttl, n):
     rows = log_rows(ttl, n)
     last, want = {}, set()
@@ -39,6 +39,22 @@ def test_ttl_fold(spark, ttl, n):
     assert {r.id for r in got.collect()} == want
 
 
+def test_a_long_chain_of_acceptances_takes_few_rounds(spark, monkeypatch):
+    """A thousand acceptances in one run of rows, none of which is accepted whatever came earlier, but the first."""
+    rows = [("hot" if i % 3 else None, T0 + dt.timedelta(seconds=20 * i), i, "a") for i in range(4_500)]
+    last, want, steps = {}, set(), []
+    for key, ts, i, _ in rows:
+        if key not in last or ts >= last[key] + dt.timedelta(seconds=60):
+            last[key] = ts
+            want.add(i)
+    assert len(want) > 1_000
+    cut = dedup.cut_lineage
+    monkeypatch.setattr(dedup, "cut_lineage", lambda df: steps.append(1) or cut(df))
+    got = [r.id for r in dedup.ttl_accepted(events(spark, rows), ["key"], "ts", "id", 60).collect()]
+    assert sorted(got) == sorted(want)
+    assert len(steps) <= 4 + 2 * 11
+
+
 def test_ttl_gates_over_batches(spark, tmp_path):
     """Both stream forms over three time-ordered batches equal the batch form over everything."""
     from paperloom.settings import Settings
