@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paperloom.operators import facets, reports, suggest, text_search
+from paperloom.operators import facets, reports, stored_pages, suggest, suggest_index, text_search
 from paperloom.plans import derived as d
 from paperloom.plans.catalog import query
 from paperloom.plans.derived_sql import SETTLED, shown, sql
@@ -53,12 +53,15 @@ def export_rows(spark, sf):
     )
 
 
-@query("keyset_page", sql(f"""
+_KEYSET = sql(f"""
     , edge AS (SELECT created_at, paper_id FROM papers WHERE status = 'PUBLISHED' ORDER BY created_at DESC, paper_id LIMIT 1 OFFSET 19)
     SELECT p.paper_id, {shown('p.created_at')} AS created_at,
       base64(encode(concat('{{"paper_id":"', p.paper_id, '","created_at":"', strftime(p.created_at, '%Y-%m-%dT%H:%M:%S.%f'), '"}}'))) AS cursor
     FROM papers p, edge WHERE status = 'PUBLISHED' AND (p.created_at < edge.created_at OR (p.created_at = edge.created_at AND p.paper_id > edge.paper_id))
-    ORDER BY p.created_at DESC, p.paper_id LIMIT 20""".strip(), "papers"))
+    ORDER BY p.created_at DESC, p.paper_id LIMIT 20""".strip(), "papers")
+
+
+@query("keyset_page", _KEYSET)
 def keyset_page(spark, sf):
     papers = d.papers(spark, sf)
     first = facets.keyset_page(papers, None, 20, status="PUBLISHED")
@@ -67,6 +70,17 @@ def keyset_page(spark, sf):
     return page.select("paper_id", d.shown_time(F.col("created_at")).alias("created_at"), "cursor")
 
 
+@query("keyset_page_stored", _KEYSET)
+def keyset_page_stored(spark, sf):
+    """The same second page from files in page order, of which it opens those that its cursor can reach."""
+    path = scratch_path(spark, "paper-pages")
+    stored_pages.write_pages(d.papers(spark, sf), path)
+    first, _ = stored_pages.read_page(spark, path, None, 20, status="PUBLISHED")
+    cursor = first.agg(F.min_by("cursor", F.struct("created_at", -F.col("paper_id")))).first()[0]
+    page, _ = stored_pages.read_page(spark, path, cursor, 20, status="PUBLISHED")
+    return page.select("paper_id", d.shown_time(F.col("created_at")).alias("created_at"), "cursor")
+
+
 @query("suggest_title", sql("""
     SELECT title AS text, count(*) OVER (PARTITION BY title) AS frequency, paper_id FROM papers
     WHERE status = 'PUBLISHED' AND starts_with(lower(title), 'th') ORDER BY title, paper_id LIMIT 25""", "papers"))
@@ -100,6 +114,37 @@ def suggest_batch(spark, sf):
     return suggest.suggest_batch(d.papers(spark, sf), prefixes, 5)
 
 
+# A request a nation and kind: the start of its name for titles, one to ten characters of an entry for venues and authors.
+_STARTS = """
+    SELECT n_nationkey * 3 AS query_id, 'title' AS kind, substr(n_name, 1, CAST(1 + n_nationkey % 4 AS BIGINT)) AS prefix FROM nation
+    UNION ALL SELECT n_nationkey * 3 + 1, 'venue', substr('CONFERENCE ON SRC', 1, CAST(1 + n_nationkey % 17 AS BIGINT)) FROM nation
+    UNION ALL SELECT n_nationkey * 3 + 2, 'author', substr('customer#000000010', 1, CAST(1 + n_nationkey % 18 AS BIGINT)) FROM nation"""
+
+
+@query("suggest_indexed", sql(f"""
+    SELECT query_id, text, frequency, position FROM (
+      SELECT q.query_id, t.text, t.frequency, row_number() OVER (PARTITION BY q.query_id ORDER BY t.text) AS position
+      FROM (SELECT kind, text, count(*) AS frequency FROM (
+        SELECT 'title' AS kind, title AS text FROM papers WHERE status = 'PUBLISHED' UNION ALL SELECT 'venue', venue FROM papers WHERE status = 'PUBLISHED'
+        UNION ALL SELECT 'author', name FROM papers JOIN authors_long USING (paper_id) WHERE status = 'PUBLISHED') WHERE length(text) > 0 GROUP BY ALL) t
+      JOIN ({_STARTS}) q ON q.kind = t.kind AND starts_with(lower(t.text), lower(q.prefix))) WHERE position <= 10""", "papers", "authors_long"))
+def suggest_indexed(spark, sf):
+    """Titles, venues and authors by a stored prefix table and a paged dictionary, written once and then read."""
+    path = scratch_path(spark, "suggest-index")
+    suggest_index.write_index(suggest_index.build_index(d.papers_with_authors(spark, sf)), path)
+    key, name = F.col("n_nationkey"), F.col("n_name")
+
+    def start(text, most):
+        return F.substring(text, F.lit(1), (1 + key % most).cast("int"))
+
+    asked = d.table(spark, sf, "nation").select(F.inline(F.array(
+        F.struct((key * 3).alias("query_id"), F.lit("title").alias("kind"), start(name, 4).alias("prefix")),
+        F.struct((key * 3 + 1).alias("query_id"), F.lit("venue").alias("kind"), start(F.lit("CONFERENCE ON SRC"), 17).alias("prefix")),
+        F.struct((key * 3 + 2).alias("query_id"), F.lit("author").alias("kind"), start(F.lit("customer#000000010"), 18).alias("prefix")),
+    )))
+    return suggest_index.suggest(suggest_index.read_index(spark, path), asked)
+
+
 @query("sanitize_queries", r"""
     SELECT conv_id, turn, substr(regexp_replace(regexp_replace(regexp_replace(text, '[;\x00-\x1f\x7f]', ' ', 'g'), '\s+', ' ', 'g'), '^\s+|\s+$', '', 'g'), 1, 200) AS query
     FROM conversations""")

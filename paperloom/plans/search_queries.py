@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paperloom.functions.english import STOP_WORDS
-from paperloom.operators import fusion, search_requests as requested, text_index, text_search, vector_search
+from paperloom.operators import fusion, search_requests as requested, text_index, text_search, vector_index, vector_search
 from paperloom.plans import derived as d
 from paperloom.plans.catalog import query
 from paperloom.plans.derived_sql import sql
@@ -160,6 +160,22 @@ def semantic_by_distance(spark, sf):
     return found.select("query_id", "paper_id", F.round("distance", 6).alias("distance"), "position")
 
 
+@query("nearest_indexed", """
+    SELECT query_id, paper_id, round(similarity, 6) AS similarity, position FROM (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, paper_id) AS position FROM (
+        SELECT q.vec_id AS query_id, v.vec_id AS paper_id, round(list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 9) AS similarity
+        FROM embeddings v CROSS JOIN embeddings q WHERE q.vec_id % 50 = 0) WHERE similarity >= 0.3) WHERE position <= 10""")
+def nearest_indexed(spark, sf):
+    """Every fiftieth vector against all of them by a stored index of cells, written once and then read."""
+    path = scratch_path(spark, "vector-index")
+    vectors = d.table(spark, sf, "embeddings").select(F.col("vec_id").alias("paper_id"), "embedding")
+    dim = vectors.agg(F.max(F.size("embedding"))).first()[0] or 1
+    vector_index.write_index(vector_index.build_index(vectors, dim), path)
+    asked = vectors.filter("paper_id % 50 = 0").withColumnRenamed("paper_id", "query_id")
+    found = vector_index.nearest(vector_index.read_index(spark, path), asked, limit=10, threshold=0.3, digits=9)
+    return found.select("query_id", "paper_id", F.round("similarity", 6).alias("similarity"), "position")
+
+
 @query("cosine_to_centroid", sql("SELECT paper_id, round(list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), c.embedding), 6) AS similarity FROM vectors v JOIN centroids c ON c.query_id = v.label", "vectors", "centroids"))
 def cosine_to_centroid(spark, sf):
     centroids = d.label_centroids(spark, sf).select(F.col("query_id").alias("label"), F.col("embedding").alias("centre"))
