@@ -193,5 +193,5 @@ def store_batch(spark, sf):
 def store_stream(spark, sf):
     base = scratch_path(spark, "store")
     stream = replay(spark, extracted_messages(spark, sf), "store")
-    jobs.run_stage(stream, store_stage, jobs.split_stored, base, scratch_path(spark, "store-checkpoint"), "papers")
+    jobs.run_stage(stream, store_stage, jobs.split_stored, base, scratch_path(spark, "store-checkpoint"), "papers", "ingestion_idempotency_key")
     return store_outcomes({n: jobs.read_output(spark, base, n) for n in ("papers", "issues", "versions", "audit", "rejected", "skipped")})

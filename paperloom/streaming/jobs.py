@@ -4,6 +4,7 @@ is replayed after a failure overwrites its own files and nothing is written twic
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from paperloom.session import cut_lineage
 from paperloom.settings import DEFAULTS, Settings
 from paperloom.sources.events import EXTRACTED_REQUIRED, INGESTED_REQUIRED, read_contract
 from paperloom.sources.sinks import event_records
+from paperloom.streaming import done_keys
 
 PAYLOAD_REASON = "; "
 
@@ -112,12 +114,13 @@ def still_remembered(processed: DataFrame, as_of: Column, settings: Settings = D
 
 
 def store_batch(
-    batch: DataFrame, existing: DataFrame | None, as_of: Column, as_of_year: Column, settings: Settings = DEFAULTS,
+    batch: DataFrame, existing: DataFrame | Callable[[DataFrame], DataFrame] | None, as_of: Column, as_of_year: Column, settings: Settings = DEFAULTS,
     encoder: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One batch of extracted-event messages to one outcome row per message: (kind, key, reason, paper columns,
     validation_issues, trace), kind being `stored`, `rejected` or `skipped` (stored before, or a copy in the batch).
 
+    `existing` are stored papers, or a function that gives the stored keys (`key`) for a frame of keys.
     A message's paper, issues, version and audit row all come from its one outcome row, so they appear together or not at all.
     """
     rows = cut_lineage(read_contract(batch, EXTRACTED_EVENT, EXTRACTED_REQUIRED))
@@ -127,7 +130,8 @@ def store_batch(
     if existing is None:
         marked = marked.withColumn("is_stored", F.lit(False))
     else:
-        stored = existing.select(F.col("ingestion_idempotency_key").alias("paper_key")).distinct().withColumn("is_stored", F.lit(True))
+        known = existing(marked.select(F.col("paper_key").alias("key"))) if callable(existing) else existing.select(F.col("ingestion_idempotency_key").alias("key"))
+        stored = known.select(F.col("key").alias("paper_key")).distinct().withColumn("is_stored", F.lit(True))
         marked = marked.join(stored, "paper_key", "left").withColumn("is_stored", F.coalesce("is_stored", F.lit(False)))
     fresh = F.col("is_first") & ~F.col("is_stored")
     carry = ["validation_issues", "audit_trail", "idempotency_key", "is_first", "is_stored"]
@@ -183,22 +187,31 @@ def read_output(spark: SparkSession, base: str, name: str, before: int | None =
 
 def run_stage(
     stream: DataFrame, stage: Callable[[DataFrame, DataFrame | None], DataFrame], split: Callable[[DataFrame], dict[str, DataFrame]],
-    base: str, checkpoint: str, keys_from: str,
+    base: str, checkpoint: str, keys_from: str, key: str | None = None,
 ) -> None:
     """Run a stage over everything available.
 
     A batch is computed once into `outcomes`; the outputs are plain reads of those files, so a lost executor never repeats the
     stage. `stage(batch, earlier)` gets the rows of output `keys_from` of earlier batches (None in the first), by which keys
-    that are already done are recognised.
+    that are already done are recognised. With `key`, a column of that output, it gets a function instead, which reads the buckets of
+    the keys it is asked for in the table of done keys; the batch's own keys are added to it before the batch is complete.
     """
     spark = stream.sparkSession
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        earlier = read_output(spark, base, keys_from, before=batch_id) if batch_id > 0 else None
+        if batch_id == 0:
+            earlier = None
+        elif key is None:
+            earlier = read_output(spark, base, keys_from, before=batch_id)
+        else:
+            earlier = partial(done_keys.seen, spark, f"{base}/_keys", batch_id)
         path = f"{base}/_outcomes/batch_id={batch_id}"
         outcomes = stage(batch, earlier)
         outcomes.write.mode("overwrite").parquet(path)
-        write_outputs(split(spark.read.schema(outcomes.schema).parquet(path)), base, batch_id)
+        outputs = split(spark.read.schema(outcomes.schema).parquet(path))
+        if key is not None:
+            done_keys.add(outputs[keys_from].select(F.col(key).alias("key")), f"{base}/_keys", batch_id)
+        write_outputs(outputs, base, batch_id)
 
     query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
