@@ -51,6 +51,8 @@ class Sizes:
     """The warm start reads this many texts of at most this size; the pass over all tokens follows."""
     warm_epochs: int = 12
     rate: float = 0.2
+    piece: int = 65_536
+    """Tokens a task scores at a time."""
 
     @property
     def classes(self) -> int:
@@ -336,27 +338,21 @@ def fit(texts: DataFrame, sizes: Sizes = Sizes()) -> tuple[Model, DataFrame]:
     return Model(sizes, tokens, distinct, head, singles, np.log10(inside), network, network.normalisers()), counts
 
 
-def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a document: doc_id, n_tokens, n_known, train_tokens, base_score (unigram) and score, log10 of either probability.
+def scored_pieces(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """What the network and the frequent words say about the texts of batches (doc_id, t, row), with the other words of each.
 
-    A null text is the empty one (its end is still a token); rows may repeat; an empty table gives no rows; with nothing to learn
-    from, every word is unknown. Extra columns are ignored."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    kind = docs.schema[id_col].dataType.simpleString()
-    sent = docs.select(column(docs, id_col).alias("doc_id"), column(docs, text_col).alias("t"), F.monotonically_increasing_id().alias("row"))
-    schema = f"row long, doc_id {kind}, n_tokens long, known long, class_log double, head_log double, tail array<struct<word:binary,times:long>>"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        sizes, ln10 = model.sizes, np.log(10)
-        classes = CountedClasses(model.singles, model.head, sizes)
-        first, second = model.network.scores()
-        for batch in batches:
-            lengths, own, ones, twos, heads = [], [], [], [], []
+    A batch holds a number of rows, whatever their length; it is scored in runs of texts of about `sizes.piece` tokens, so that a task's
+    arrays do not grow with the texts."""
+    sizes, ln10 = model.sizes, np.log(10)
+    classes = CountedClasses(model.singles, model.head, sizes)
+    first, second = model.network.scores()
+    for batch in batches:
+        done = 0
+        while done < batch.num_rows:
+            lengths, own, ones, twos, heads, held = [], [], [], [], [], 0
             rare_words, rare_times, rare_ends = [], [], [0]
-            for text in batch.column(1):
-                words = [*words_of(text.as_py()), END]
+            while held < sizes.piece and done + len(lengths) < batch.num_rows:
+                words = [*words_of(batch.column(1)[done + len(lengths)].as_py()), END]
                 n, c = np.divmod(classes(words), sizes.classes)
                 one, two = contexts(c)
                 own.append(c), ones.append(one), twos.append(two)
@@ -365,17 +361,33 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
                 rare_words.extend(tail.keys()), rare_times.extend(tail.values())
                 rare_ends.append(len(rare_words))
                 lengths.append(len(words))
-            if not lengths:
-                continue
+                held += len(words)
             start = np.cumsum([0, *lengths[:-1]])
             pairs = pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(rare_times, pa.int64())], names=["word", "times"])
             c, one, two, n = np.concatenate(own), np.concatenate(ones), np.concatenate(twos), np.concatenate(heads)
             logs = (first[one, c] + second[two, c] - model.normaliser[two, one]).astype(np.float64) / ln10 - model.log_class[c]
+            piece = batch.slice(done, len(lengths))
             arrays = [
-                batch.column(2), batch.column(0), pa.array(lengths, pa.int64()), pa.array(np.add.reduceat((n > 0).astype(np.int64), start)),
+                piece.column(2), piece.column(0), pa.array(lengths, pa.int64()), pa.array(np.add.reduceat((n > 0).astype(np.int64), start)),
                 pa.array(np.add.reduceat(logs, start)), pa.array(np.add.reduceat(np.log10(n + 1.0), start)), pa.ListArray.from_arrays(pa.array(rare_ends, pa.int32()), pairs),
             ]
             yield pa.RecordBatch.from_arrays(arrays, names=["row", "doc_id", "n_tokens", "known", "class_log", "head_log", "tail"])
+            done += len(lengths)
+
+
+def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row a document: doc_id, n_tokens, n_known, train_tokens, base_score (unigram) and score, log10 of either probability.
+
+    A null text is the empty one (its end is still a token); rows may repeat; an empty table gives no rows; with nothing to learn
+    from, every word is unknown. Extra columns are ignored."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(model)
+    kind = docs.schema[id_col].dataType.simpleString()
+    sent = docs.select(column(docs, id_col).alias("doc_id"), column(docs, text_col).alias("t"), F.monotonically_increasing_id().alias("row"))
+    schema = f"row long, doc_id {kind}, n_tokens long, known long, class_log double, head_log double, tail array<struct<word:binary,times:long>>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return scored_pieces(batches, shared.value)
 
     scored = cut_lineage(sent.mapInArrow(run, schema))
     rare = counts.filter(F.col("n") < F.lit(model.sizes.head_share * model.tokens))
