@@ -17,6 +17,9 @@ from paperloom.session import cut_lineage
 
 BLOCK_DOCS = 1024
 BUCKETS = 64
+BLOCK_BYTES = 16 << 20
+"""Bytes of text in a block, and in a task that indexes blocks."""
+FEW_WORDS = 1_000_000
 _WORD = ("query_id", "grp", "item", "negated", "offset", "n_words", "needed_items", "term")
 
 
@@ -24,8 +27,8 @@ def blocked(docs: DataFrame, key: str, text: str, block_docs: int = BLOCK_DOCS)
     """(key, text, block): texts whose lengths are within a factor of the square root of two, dealt into blocks by a hash of the key."""
     rows = docs.select(F.col(key).alias(key), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     rows = rows.withColumn("__band", F.floor(2 * F.log2(F.octet_length("__text") + 1)).cast("bigint"))
-    sizes = rows.groupBy("__band").agg(F.count("*").alias("__size"))  # at most 62 rows
-    parts = F.ceil(F.col("__size") / block_docs).cast("bigint")
+    sizes = rows.groupBy("__band").agg(F.count("*").alias("__size"), F.sum(F.octet_length("__text")).alias("__bytes"))  # at most 62 rows
+    parts = F.greatest(F.ceil(F.col("__size") / block_docs), F.ceil(F.col("__bytes") / BLOCK_BYTES)).cast("bigint")
     block = F.col("__band") * (1 << 40) + F.pmod(F.xxhash64(key), parts)
     return rows.join(F.broadcast(sizes), "__band").select(key, "__text", block.alias("block"))
 
@@ -33,11 +36,15 @@ def blocked(docs: DataFrame, key: str, text: str, block_docs: int = BLOCK_DOCS)
 def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", stemmed: bool = False, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """(bucket, term, block, df, max_tf, docs array<struct<key, positions>>). Null texts are empty; keys are distinct and not null.
 
-    One shuffle, by (term, block): both groupings run on it."""
-    words = blocked(docs, key, text, block_docs).select(F.col(key).alias("key"), "block", F.explode(positioned(F.col("__text"), PLAIN_WEIGHT)).alias("w"))
+    One shuffle, of the texts by block, in tasks of about `BLOCK_BYTES`: their words, many times larger, are grouped where they arise. A
+    stemmed index shuffles the words, too."""
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // BLOCK_BYTES))
+    texts = blocked(docs, key, text, block_docs).repartition(tasks, "block")
+    words = texts.select(F.col(key).alias("key"), "block", F.explode(positioned(F.col("__text"), PLAIN_WEIGHT)).alias("w"))
     words = words.select("key", "block", "w.term", "w.pos")
     words = stem(words) if stemmed else words
-    per_doc = words.repartition("term", "block").groupBy("term", "block", "key").agg(F.sort_array(F.collect_list("pos")).alias("positions"))
+    per_doc = words.groupBy("term", "block", "key").agg(F.sort_array(F.collect_list("pos")).alias("positions"))
     rows = per_doc.groupBy("term", "block").agg(
         F.count("*").alias("df"), F.max(F.size("positions")).cast("bigint").alias("max_tf"), F.sort_array(F.collect_list(F.struct("key", "positions"))).alias("docs"),
     )
@@ -54,8 +61,11 @@ def read_index(spark, path: str) -> DataFrame:
 
 
 def of_words(index: DataFrame, words: DataFrame) -> DataFrame:
-    """Index rows of query words. The bucket stands in the join, so that Spark prunes a stored index to the folders of these words."""
-    return index.join(words.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(BUCKETS)).cast("int")), ["bucket", "term"])
+    """Index rows of query words. The bucket stands in the join, so that Spark prunes a stored index to the folders of these words. Unless
+    there are very many, the words go to the index: the other way round, the whole index would be shuffled in each join."""
+    asked = words.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(BUCKETS)).cast("int"))
+    few = asked.limit(FEW_WORDS + 1).count() <= FEW_WORDS
+    return index.join(F.broadcast(asked) if few else asked, ["bucket", "term"])
 
 
 def candidate_blocks(index: DataFrame, words: DataFrame) -> DataFrame:
