@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -19,35 +20,44 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
+GATE_BUCKETS = 4096
+NO_TIME = 2**63 - 1
+
+
 def _in_time_order(batches: Iterator[pd.DataFrame], ts: str, row_id: str) -> pd.DataFrame:
     return pd.concat(list(batches), ignore_index=True).sort_values([ts, row_id], kind="stable")
 
 
-class AcceptOncePerTtl(StatefulProcessor):
-    """Accept a key's first row, refuse the others until the TTL since the last accepted row is over."""
+def accept_once_per_ttl(columns: list[str], row_id: str, ttl_seconds: int, number_ids: bool):
+    """Accept a key's first row, refuse the others until the TTL since the last accepted row is over.
 
-    def __init__(self, ts: str, row_id: str, ttl_seconds: int, columns: list[str]):
-        self.ts, self.row_id, self.ttl_seconds, self.columns = ts, row_id, ttl_seconds, columns
+    Called once for a bucket of keys: a call of its own for each key would cost more than the few rows that most keys have. The state
+    of a bucket is its keys, the time of each one's last accepted row, and when that is forgotten."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField("micros", T.LongType())])
-        self.last = handle.getValueState("last_accepted", schema, self.ttl_seconds * 1000)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frame = _in_time_order(rows, self.ts, self.row_id)
-        micros = frame[self.ts].astype("datetime64[us]").astype("int64")
-        last = self.last.get()[0] if self.last.exists() else None
+    def run(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now = state.getCurrentProcessingTimeMs()
+        known = {k: (micros, ends) for k, micros, ends in zip(*state.get) if ends > now} if state.exists else {}
         keep = []
-        for value in micros:
-            fresh = last is None or value >= last + self.ttl_seconds * 1_000_000
-            last = value if fresh else last
-            keep.append(fresh)
-        if any(keep):
-            self.last.update((int(last),))
-            yield frame.loc[keep, self.columns]
-
-    def close(self) -> None:
-        pass
+        if not state.hasTimedOut:
+            frame = pd.concat(list(frames), ignore_index=True)
+            frame["__id"] = pd.Series([None if v is None else int(v) for v in frame[row_id]], dtype=object) if number_ids else frame[row_id]
+            frame = frame.sort_values(["__micros", "__id"], kind="stable")
+            for at, (key, value) in enumerate(zip(frame["__key"].tolist(), frame["__micros"].tolist())):
+                if value == NO_TIME:
+                    value = -(2**63)
+                last = known.get(key)
+                if last is None or value >= last[0] + ttl_seconds * 1_000_000:
+                    known[key] = (value, now + ttl_seconds * 1000)
+                    keep.append(at)
+        if known:
+            state.update((list(known), [v for v, _ in known.values()], [e for _, e in known.values()]))
+            state.setTimeoutDuration(max(1, min(e for _, e in known.values()) - now))
+        elif state.exists:
+            state.remove()
+        if keep:
+            yield frame.iloc[keep][columns]
+
+    return run
 
 
 class SlidingLog(StatefulProcessor):
@@ -79,15 +89,22 @@ class SlidingLog(StatefulProcessor):
         pass
 
 
-def ttl_gate(stream: DataFrame, keys: list[str], ts: str, row_id: str, ttl_seconds: int) -> DataFrame:
+def ttl_gate(stream: DataFrame, keys: list[str], ts: str, row_id: str, ttl_seconds: int, buckets: int = GATE_BUCKETS) -> DataFrame:
     """Accepted rows of a stream. Rules run on event time; the state itself expires by the same TTL.
 
-    A key's rows of one micro-batch are sorted in one task, so limit the batch (files or offsets per trigger). Where single keys
-    are too hot for that, `jobs.run_ttl_gate` gives the same result without keyed state.
+    A key's rows of one micro-batch are sorted in one task, with those of the other keys of its bucket, so limit the batch (files or
+    offsets per trigger). Where single keys are too hot for that, `jobs.run_ttl_gate` gives the same result without keyed state.
     """
-    columns = stream.columns
-    processor = AcceptOncePerTtl(ts, row_id, ttl_seconds, columns)
-    return stream.groupBy(*keys).transformWithStateInPandas(processor, stream.schema, "Append", "ProcessingTime")
+    # Whole numbers travel as text: in a frame, one null turns a column of them into floating point.
+    whole = {f.name for f in stream.schema if isinstance(f.dataType, T.IntegralType)}
+    as_sent = [F.col(c).cast("string").alias(c) if c in whole else F.col(c) for c in stream.columns]
+    marks = stream.select("*", F.to_json(F.struct(*keys)).alias("__key"), F.coalesce(F.unix_micros(ts), F.lit(NO_TIME)).alias("__micros"))
+    marks = marks.withColumn("__bucket", F.pmod(F.xxhash64("__key"), F.lit(buckets)))
+    marks = marks.select(*as_sent, "__key", "__micros", "__bucket")
+    run = accept_once_per_ttl(stream.columns, row_id, ttl_seconds, row_id in whole)
+    state = "keys array<string>, micros array<bigint>, ends array<bigint>"
+    accepted = marks.groupBy("__bucket").applyInPandasWithState(run, stream.select(*as_sent).schema, state, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return accepted.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in stream.schema])
 
 
 def rate_gate(stream: DataFrame, keys: list[str], ts: str, row_id: str, limit: int = 5, window_seconds: int = 60) -> DataFrame:
