@@ -19,12 +19,12 @@ from __future__ import annotations
 
 import pickle
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,48 +59,41 @@ class Sizes:
         return 1 + self.singles + self.spellings
 
 
-def spelling_class(word: bytes, sizes: Sizes) -> int:
-    """Class of a word that has none of its own, from its first two characters and its last one."""
-    text = word.decode("utf-8", "replace")
-    return 1 + sizes.singles + zlib.crc32((text[:2] + "\x00" + text[-1:]).encode()) % sizes.spellings
-
-
 class Classes:
-    """Words to classes: 0 is the end, then the single words, then the spellings. Remembers words, a bounded number of them."""
+    """Words to classes: 0 is the end, then the single words, then the spellings (first two characters and the last one)."""
 
     def __init__(self, singles: list[bytes], sizes: Sizes):
         self.sizes = sizes
-        self.known = {END: 0} | {w: k + 1 for k, w in enumerate(singles)}
-        self.start = len(self.known)
-
-    def value(self, word: bytes) -> int:
-        return spelling_class(word, self.sizes)
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > 400_000:
-            self.known = dict(list(self.known.items())[: self.start])
-        out = list(map(self.known.get, words))
-        if None in out:
-            for k, c in enumerate(out):
-                if c is None:
-                    w = words[k]
-                    c = self.known.get(w)
-                    if c is None:
-                        c = self.known[w] = self.value(w)
-                    out[k] = c
-        return np.array(out, np.int64)
-
-
-class CountedClasses(Classes):
-    """Words to their class plus `sizes.classes` times the count of a frequent word (0 for others): both in one look-up."""
+        self.known = pa.array([END, *singles], pa.binary())
+
+    def __call__(self, words: pa.Array | list[bytes]) -> np.ndarray:
+        words = pa.array(words, pa.binary()) if isinstance(words, list) else words
+        out = pc.fill_null(pc.index_in(words, self.known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        other = np.flatnonzero(out < 0)
+        if len(other):
+            text = words.take(pa.array(other)).cast(pa.string())
+            spelling = pc.binary_join_element_wise(pc.utf8_slice_codeunits(text, 0, 2), pc.utf8_slice_codeunits(text, -1), "\x00").dictionary_encode()
+            crcs = np.array([zlib.crc32(x.encode()) for x in spelling.dictionary.to_pylist()], np.int64)
+            out[other] = 1 + self.sizes.singles + crcs[spelling.indices.to_numpy()] % self.sizes.spellings
+        return out
 
-    def __init__(self, singles: list[bytes], head: dict[bytes, int], sizes: Sizes):
-        super().__init__(singles, sizes)
-        self.head = head
-        self.known = {w: c + sizes.classes * head.get(w, 0) for w, c in self.known.items()}
 
-    def value(self, word: bytes) -> int:
-        return spelling_class(word, self.sizes) + self.sizes.classes * self.head.get(word, 0)
+def word_runs(texts: pa.Array, tokens: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, pa.Array]]:
+    """All texts in runs of about `tokens` tokens: number of texts, tokens of each with its end, and every token as a code into the run's
+    distinct words, which follow. A text counts as a token for every four bytes, and can not have more than twice as many."""
+    if not len(texts):
+        return
+    texts, space = pc.fill_null(texts, ""), [pa.scalar(x, texts.type) for x in ("", " ")]
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64) // 4 + 1)
+    done = 0
+    while done < len(texts):
+        stop = min(int(np.searchsorted(ends, (ends[done - 1] if done else 0) + tokens)) + 1, len(texts))
+        own = pc.ascii_trim_whitespace(pc.ascii_lower(texts.slice(done, stop - done)))
+        # One space behind the last word makes one empty word, the end; a text without words is that empty word itself.
+        words = pc.ascii_split_whitespace(pc.if_else(pc.equal(own, space[0]), own, pc.binary_join_element_wise(own, *space)))
+        coded = words.flatten().dictionary_encode()
+        yield stop - done, pc.list_value_length(words).to_numpy().astype(np.int64), coded.indices.to_numpy(), coded.dictionary.cast(pa.binary())
+        done = stop
 
 
 def contexts(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -163,14 +156,20 @@ class Trainer:
 
     def step(self, two: np.ndarray, one: np.ndarray, target: np.ndarray) -> None:
         net, n, k = self.net, np.float32(len(target)), len(self.shift)
-        c1, c2 = net.context[one], net.context[two]
+        c1, c2 = net.context.take(one, 0), net.context.take(two, 0)
         q = c1 @ net.places[0] + c2 @ net.places[1]
-        out = net.output[target]
+        out = net.output.take(target, 0)
         drawn = np.minimum(np.searchsorted(self.edges, self.rng.random(self.sizes.noise)), k - 1)
         off = net.output[drawn]
         level = net.bias - self.shift
         real = -1 / (1 + np.exp(np.minimum((q * out).sum(1) + level[target], 30))) / n
-        fake = 1 / (1 + np.exp(np.minimum(-(q @ off.T + level[drawn]), 30))) / n
+        fake = q @ off.T  # 1 / (1 + exp(min(-(fake + level), 30))) / n, in place
+        fake += level[drawn]
+        np.minimum(np.negative(fake, out=fake), 30, out=fake)
+        np.exp(fake, out=fake)
+        fake += 1
+        np.divide(1, fake, out=fake)
+        fake /= n
         dq = real[:, None] * out + fake @ off
         d_out = by_class(target, real[:, None] * q, k) + by_class(drawn, fake.T @ q, k)
         d_bias = (np.bincount(target, real, k) + np.bincount(drawn, fake.sum(0), k)).astype(np.float32)
@@ -191,37 +190,26 @@ class Trainer:
         order = self.rng.permutation(len(target))
         for a in range(0, len(order), self.sizes.batch):
             rows = order[a : a + self.sizes.batch]
-            self.step(two[rows], one[rows], target[rows])
+            self.step(two.take(rows), one.take(rows), target.take(rows))
 
 
 def by_class(classes: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
     """Sums of the rows of each class."""
-    order = np.argsort(classes, kind="stable")
-    own = classes[order]
-    start = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+    order = np.argsort(classes.astype(np.min_scalar_type(k)), kind="stable")  # of 16 bits and less, a radix sort
+    own = classes.take(order)
+    start = np.concatenate(([0], np.flatnonzero(own[1:] != own[:-1]) + 1))
     out = np.zeros((k, rows.shape[1]), np.float32)
-    out[own[start]] = np.add.reduceat(rows[order], start, axis=0)
+    out[own[start]] = np.add.reduceat(rows.take(order, 0), start, axis=0)
     return out
 
 
-def word_counts(texts: DataFrame, flush: int = 200_000) -> DataFrame:
+def word_counts(texts: DataFrame, piece: int = 1 << 21) -> DataFrame:
     """(word, n) over all texts (column `t`), the end of each counted as a word of its own; summed in the tasks before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-
-        def sent() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], names=["word", "n"])
-            counts.clear()
-            return out
-
         for batch in batches:
-            for text in batch.column(0):
-                counts.update(words_of(text.as_py()))
-                counts[END] += 1
-                if len(counts) > flush:
-                    yield sent()
-        yield sent()
+            for _, _, codes, words in word_runs(batch.column(0), piece):
+                yield pa.RecordBatch.from_arrays([words, pa.array(np.bincount(codes, minlength=len(words)))], names=["word", "n"])
 
     return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -247,7 +235,7 @@ def class_totals(counts: DataFrame, singles: list[bytes], sizes: Sizes) -> np.nd
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, total, distinct = Classes(shared.value, sizes), np.zeros(sizes.classes), np.zeros(sizes.classes)
         for batch in batches:
-            c = classes(batch.column(0).to_pylist())
+            c = classes(batch.column(0))
             total += np.bincount(c, batch.column(1).to_numpy(), sizes.classes)
             distinct += np.bincount(c, minlength=sizes.classes)
         yield pa.RecordBatch.from_arrays([pa.array(range(sizes.classes), pa.int32()), pa.array(total.astype(int)), pa.array(distinct.astype(int))], names=["c", "n", "v"])
@@ -287,12 +275,14 @@ def train_network(texts: DataFrame, noise: np.ndarray, singles: list[bytes], siz
         classes, own = Classes(singles, sizes), Trainer(net, noise, sizes, seed=2, seen=seen)
         waiting, held = [], 0
         for batch in batches:
-            for text in batch.column(0):
-                waiting.append(classes([*words_of(text.as_py()), END]))
-                held += len(waiting[-1])
-                if held >= 16 * sizes.batch:
-                    own.learn(waiting)
-                    waiting, held = [], 0
+            for _, lengths, codes, words in word_runs(batch.column(0), sizes.piece):
+                c = classes(words)[codes]
+                for start, n in zip(np.cumsum(lengths) - lengths, lengths):
+                    waiting.append(c[start : start + n])
+                    held += n
+                    if held >= 16 * sizes.batch:
+                        own.learn(waiting)
+                        waiting, held = [], 0
         own.learn(waiting)
         if own.tokens:
             yield _sent(own.tokens, own.net)
@@ -344,35 +334,28 @@ def scored_pieces(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[p
     A batch holds a number of rows, whatever their length; it is scored in runs of texts of about `sizes.piece` tokens, so that a task's
     arrays do not grow with the texts."""
     sizes, ln10 = model.sizes, np.log(10)
-    classes = CountedClasses(model.singles, model.head, sizes)
-    first, second = model.network.scores()
+    classes, k = Classes(model.singles, sizes), sizes.classes
+    first, second, normaliser = (a.ravel() for a in (*model.network.scores(), model.normaliser))
     for batch in batches:
         done = 0
-        while done < batch.num_rows:
-            lengths, own, ones, twos, heads, held = [], [], [], [], [], 0
-            rare_words, rare_times, rare_ends = [], [], [0]
-            while held < sizes.piece and done + len(lengths) < batch.num_rows:
-                words = [*words_of(batch.column(1)[done + len(lengths)].as_py()), END]
-                n, c = np.divmod(classes(words), sizes.classes)
-                one, two = contexts(c)
-                own.append(c), ones.append(one), twos.append(two)
-                heads.append(n)
-                tail = Counter([words[k] for k in np.flatnonzero(n == 0).tolist()])
-                rare_words.extend(tail.keys()), rare_times.extend(tail.values())
-                rare_ends.append(len(rare_words))
-                lengths.append(len(words))
-                held += len(words)
-            start = np.cumsum([0, *lengths[:-1]])
-            pairs = pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(rare_times, pa.int64())], names=["word", "times"])
-            c, one, two, n = np.concatenate(own), np.concatenate(ones), np.concatenate(twos), np.concatenate(heads)
-            logs = (first[one, c] + second[two, c] - model.normaliser[two, one]).astype(np.float64) / ln10 - model.log_class[c]
-            piece = batch.slice(done, len(lengths))
+        for rows, lengths, codes, words in word_runs(batch.column(1), sizes.piece):
+            counts = np.fromiter((model.head.get(w, 0) for w in words.to_numpy(zero_copy_only=False).tolist()), np.int64, len(words))
+            start = np.cumsum(lengths) - lengths
+            c = classes(words)[codes]
+            one, two = contexts(c)
+            two[start] = 0  # the token before is another text's end, of class 0 as it should be; the one before that is a word
+            logs = (first.take(one * k + c) + second.take(two * k + c) - normaliser.take(two * k + one)).astype(np.float64) / ln10 - model.log_class.take(c)
+            tail = counts.take(codes) == 0
+            pairs, times = np.unique(np.repeat(np.arange(rows), lengths)[tail] * len(words) + codes[tail], return_counts=True)
+            ends = np.searchsorted(pairs, np.arange(rows + 1) * len(words))
+            met = pa.StructArray.from_arrays([words.take(pa.array(pairs % len(words))), pa.array(times.astype(np.int64))], names=["word", "times"])
+            piece = batch.slice(done, rows)
             arrays = [
-                piece.column(2), piece.column(0), pa.array(lengths, pa.int64()), pa.array(np.add.reduceat((n > 0).astype(np.int64), start)),
-                pa.array(np.add.reduceat(logs, start)), pa.array(np.add.reduceat(np.log10(n + 1.0), start)), pa.ListArray.from_arrays(pa.array(rare_ends, pa.int32()), pairs),
+                piece.column(2), piece.column(0), pa.array(lengths), pa.array(np.add.reduceat((counts > 0).astype(np.int64).take(codes), start)),
+                pa.array(np.add.reduceat(logs, start)), pa.array(np.add.reduceat(np.log10(counts + 1.0).take(codes), start)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), met),
             ]
             yield pa.RecordBatch.from_arrays(arrays, names=["row", "doc_id", "n_tokens", "known", "class_log", "head_log", "tail"])
-            done += len(lengths)
+            done += rows
 
 
 def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
